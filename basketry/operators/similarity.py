@@ -1,0 +1,485 @@
+"""Exact item-to-item cosine similarity over a threshold.
+
+Items are hashed into blocks; a tile is a pair of blocks. Spark ships to each tile only what it
+needs and a task adds up one tile's dot products in a numpy array, so pairs below the threshold
+never leave the task. Items with the very same content are computed once, as one representative.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from basketry.functions import split_list
+
+BLOCK_ITEMS = 1024
+CHUNK_ROWS = 50_000
+LANE_BLOCKS = 64
+EXPAND_AT_ONCE = 2_000_000
+# Similarities are rounded, so that equal ones stay equal whatever order their terms were added in.
+DIGITS = 9
+SLACK = 10.0**-DIGITS
+
+
+class Similarity(NamedTuple):
+    """All pairs over the threshold.
+
+    ``pairs``: (item, other, sim), both directions, between representatives. A representative that
+    stands for several items is also paired with itself, sim 1. ``members``: (item, rep), every
+    item with its representative, the smallest id among equal items.
+    """
+
+    pairs: DataFrame
+    members: DataFrame
+
+
+# ---------------------------------------------------------------------------- blocks and tiles
+
+
+def _blocks_for(items: DataFrame, block_items: int) -> int:
+    """Number of blocks, from an approximate count: it sizes the work and never the result."""
+    n = items.agg(F.approx_count_distinct("item")).first()[0]
+    return max(1, math.ceil(n / block_items))
+
+
+def _block_of(item: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
+
+
+def _tasks_for(df: DataFrame) -> int:
+    """Tile tasks. The number is given outright so that AQE does not merge small, heavy tiles."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return max(4 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Splits sorted batches where the key changes: (key, slice)."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        changed = np.zeros(batch.num_rows, dtype=bool)
+        for c in columns:
+            changed[1:] |= c[1:] != c[:-1]
+        edges = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            yield tuple(c[start].item() for c in columns), batch.slice(start, end - start)
+
+
+PAIR_FIELDS = pa.schema(
+    [
+        ("a", pa.int64()),
+        ("b", pa.int64()),
+        ("dot", pa.float64()),
+        ("scale", pa.float64()),
+    ]
+)
+PAIR_DDL = "a bigint, b bigint, dot double, scale double"
+
+
+def _pair_batches(a, b, dot, scale) -> Iterator[pa.RecordBatch]:
+    step = 200_000
+    for i in range(0, len(a), step):
+        cut = slice(i, i + step)
+        arrays = [pa.array(np.ascontiguousarray(x[cut])) for x in (a, b, dot, scale)]
+        yield pa.RecordBatch.from_arrays(arrays, schema=PAIR_FIELDS)
+
+
+def _over(found: DataFrame, threshold: float) -> DataFrame:
+    sim = F.round(F.col("dot") / F.col("scale"), DIGITS)
+    return found.select("a", "b", sim.alias("sim")).where(F.col("sim") > threshold)
+
+
+# ------------------------------------------------------------------------------- sparse tiles
+
+
+class _Side:
+    """Positions of the items seen so far in one block of a tile."""
+
+    def __init__(self) -> None:
+        self.position: dict[int, int] = {}
+        self.norm2: list[float] = []
+
+    def codes(self, ids: np.ndarray, norm2: np.ndarray) -> np.ndarray:
+        unique, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
+        known = np.empty(len(unique), dtype=np.int64)
+        for i, item in enumerate(unique.tolist()):
+            at = self.position.get(item)
+            if at is None:
+                at = self.position[item] = len(self.norm2)
+                self.norm2.append(float(norm2[first[i]]))
+            known[i] = at
+        return known[inverse]
+
+    def ids(self) -> np.ndarray:
+        return np.fromiter(self.position, dtype=np.int64, count=len(self.position))
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """ids, weights, squared norms and row offsets of an array<struct<item, w, norm2>> column."""
+    offsets = column.offsets.to_numpy()
+    entries = column.flatten()
+    ids, weights, norm2 = (entries.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    return ids, weights, norm2, offsets - offsets[0]
+
+
+class _SparseTile:
+    """Dot products between two blocks, summed over the features fed to it."""
+
+    def __init__(self, diagonal: bool) -> None:
+        self.left = _Side()
+        self.right = self.left if diagonal else _Side()
+        self.diagonal = diagonal
+        self.dots = np.zeros((64, 64))
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        ids, wa, na, offset_a = _flat(batch.column("left"))
+        codes_a = self.left.codes(ids, na)
+        if self.diagonal:
+            codes_b, wb, offset_b = codes_a, wa, offset_a
+        else:
+            ids, wb, nb, offset_b = _flat(batch.column("right"))
+            codes_b = self.right.codes(ids, nb)
+        self._grow()
+        len_a, len_b = np.diff(offset_a), np.diff(offset_b)
+        work = np.cumsum(len_a * len_b)
+        start = 0
+        while start < len(work):
+            done = work[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(work, done + EXPAND_AT_ONCE, side="right")))
+            part_a = slice(offset_a[start], offset_a[end])
+            spans = np.repeat(len_b[start:end], len_a[start:end])
+            from_b = np.repeat(offset_b[start:end], len_a[start:end])
+            ends = np.cumsum(spans)
+            total = int(ends[-1]) if len(ends) else 0
+            at_b = np.arange(total) - np.repeat(ends - spans - from_b, spans)
+            rows = np.repeat(codes_a[part_a], spans)
+            values = np.repeat(wa[part_a], spans) * wb[at_b]
+            np.add.at(self.dots.reshape(-1), rows * self.dots.shape[1] + codes_b[at_b], values)
+            start = end
+
+    def _grow(self) -> None:
+        need = (len(self.left.norm2), len(self.right.norm2))
+        have = self.dots.shape
+        if need[0] > have[0] or need[1] > have[1]:
+            size = tuple(h if n <= h else max(n, 2 * h) for n, h in zip(need, have))
+            bigger = np.zeros(size)
+            bigger[: have[0], : have[1]] = self.dots
+            self.dots = bigger
+
+    def pairs(self, threshold: float | None) -> Iterator[pa.RecordBatch]:
+        """Non-zero pairs, or only those over the threshold when one is given."""
+        rows, columns = np.nonzero(self.dots)
+        a, b = self.left.ids()[rows], self.right.ids()[columns]
+        dot = self.dots[rows, columns]
+        scale = np.sqrt(np.array(self.left.norm2)[rows] * np.array(self.right.norm2)[columns])
+        keep = a < b if self.diagonal else np.ones(len(a), dtype=bool)
+        if threshold is not None:
+            keep &= dot / scale > threshold - SLACK
+        a, b, dot, scale = a[keep], b[keep], dot[keep], scale[keep]
+        yield from _pair_batches(np.minimum(a, b), np.maximum(a, b), dot, scale)
+
+
+def _sparse_kernel(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, tile = None, None
+        for key, batch in _runs(batches, ["i", "j", "chunk", "chunks"]):
+            if key != current:
+                if tile is not None:
+                    yield from tile.pairs(threshold if current[3] == 1 else None)
+                current, tile = key, _SparseTile(diagonal=key[0] == key[1])
+            tile.add(batch)
+        if tile is not None:
+            yield from tile.pairs(threshold if current[3] == 1 else None)
+
+    return run
+
+
+def _tile_rows(entries: DataFrame, blocks: int) -> DataFrame:
+    """(feature, i, j, left, right, chunks): per feature, the item lists of two blocks.
+
+    A list holds at most one block of items. The blocks of one feature meet by joining on the
+    feature and a lane; a feature spread over many blocks has many lanes, so that no task pairs
+    up a hot feature alone. ``chunks`` splits the features of a tile whose blocks have many rows.
+    """
+    lists = (
+        entries.withColumn("block", _block_of("item", blocks))
+        .groupBy("feature", "block")
+        .agg(F.collect_list(F.struct("item", "w", "norm2")).alias("list"))
+    )
+    rows_in_block = lists.groupBy("block").agg(F.count("*").alias("n"))
+    lists = lists.join(F.broadcast(rows_in_block), "block")  # one row per block
+    same = lists.select(
+        "feature",
+        F.col("block").alias("i"),
+        F.col("block").alias("j"),
+        F.col("list").alias("left"),
+        F.lit(None).cast(lists.schema["list"].dataType).alias("right"),
+        "n",
+    )
+    if blocks > 1:
+        spread = lists.groupBy("feature").agg(F.count("*").alias("m"))
+        lanes = F.ceil(F.col("m") / LANE_BLOCKS).cast("int")
+        spread = spread.where("m > 1").select("feature", lanes.alias("lanes"))
+        lists = lists.join(spread, "feature")
+        left = lists.select(
+            "feature",
+            F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"),
+            F.col("block").alias("i"),
+            F.col("list").alias("left"),
+            F.col("n").alias("n_left"),
+        )
+        right = lists.select(
+            "feature",
+            F.pmod("block", "lanes").alias("lane"),
+            F.col("block").alias("j"),
+            F.col("list").alias("right"),
+            F.col("n").alias("n_right"),
+        )
+        cross = left.join(right, ["feature", "lane"]).where("i < j")
+        cross = cross.withColumn("n", F.least("n_left", "n_right"))
+        same = same.unionByName(cross.select(same.columns))
+    return same.withColumn("chunks", F.ceil(F.col("n") / CHUNK_ROWS).cast("int")).drop("n")
+
+
+def sparse_pairs(
+    entries: DataFrame, threshold: float, block_items: int = BLOCK_ITEMS
+) -> DataFrame:
+    """(a, b, sim) with a < b and cosine > threshold >= 0, for sparse items.
+
+    ``entries``: (feature, item, w, norm2), at most one row per feature and item, ``norm2`` the
+    item's squared norm over all its features.
+    """
+    blocks = _blocks_for(entries, block_items)
+    rows = _tile_rows(entries, blocks)
+    chunk = F.pmod(F.xxhash64("feature"), F.col("chunks")).cast("int")
+    tiles = (
+        rows.withColumn("chunk", chunk)
+        .drop("feature")
+        .repartition(_tasks_for(entries), "i", "j", "chunk")
+        .sortWithinPartitions("i", "j", "chunk")
+    )
+    partial = tiles.mapInArrow(_sparse_kernel(threshold), PAIR_DDL)
+    total = partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"), F.first("scale").alias("scale"))
+    return _over(total, threshold)
+
+
+# -------------------------------------------------------------------------------- dense tiles
+
+
+def _matrix(column: pa.Array, rows: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+
+
+def _dense_pairs(left, right, diagonal: bool, threshold: float) -> Iterator[pa.RecordBatch]:
+    ids_a, unit_a = left
+    ids_b, unit_b = right
+    for start in range(0, len(ids_a), BLOCK_ITEMS):
+        strip = unit_a[start : start + BLOCK_ITEMS] @ unit_b.T
+        rows, columns = np.nonzero(strip > threshold - SLACK)
+        a, b, dot = ids_a[start + rows], ids_b[columns], strip[rows, columns]
+        if diagonal:
+            keep = a < b
+            a, b, dot = a[keep], b[keep], dot[keep]
+        yield from _pair_batches(np.minimum(a, b), np.maximum(a, b), dot, np.ones(len(dot)))
+
+
+def _dense_kernel(threshold: float):
+    def stacked(parts):
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def finish(tile, sides):
+        if not sides[0] or (tile[0] != tile[1] and not sides[1]):
+            return
+        left = stacked(sides[0])
+        right = left if tile[0] == tile[1] else stacked(sides[1])
+        yield from _dense_pairs(left, right, tile[0] == tile[1], threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, sides = None, ([], [])
+        for (i, j, side), batch in _runs(batches, ["i", "j", "side"]):
+            if (i, j) != tile:
+                if tile is not None:
+                    yield from finish(tile, sides)
+                tile, sides = (i, j), ([], [])
+            ids = batch.column("item").to_numpy(zero_copy_only=False)
+            sides[side].append((ids, _matrix(batch.column("unit"), len(ids))))
+        if tile is not None:
+            yield from finish(tile, sides)
+
+    return run
+
+
+def unit_vectors(vectors: DataFrame) -> DataFrame:
+    """(item, unit): vectors scaled to length 1; a vector without direction has no similarity."""
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x))
+    return (
+        vectors.withColumn("norm", norm)
+        .where((F.col("norm") > 0) & ~F.isnan("norm"))
+        .select("item", F.transform("vector", lambda x: x / F.col("norm")).alias("unit"))
+    )
+
+
+def dense_pairs(units: DataFrame, threshold: float, block_items: int = 2 * BLOCK_ITEMS) -> DataFrame:
+    """(a, b, sim) with a < b and cosine > threshold, for unit vectors (item, unit).
+
+    A vector goes once to every tile its block takes part in. Blocks are hashed, so tiles are of
+    even size whatever the data, and each is one matrix product.
+    """
+    blocks = _blocks_for(units, block_items)
+    placed = units.withColumn("block", _block_of("item", blocks)).withColumn(
+        "partner", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    )
+    tiles = (
+        placed.select(
+            F.least("block", "partner").alias("i"),
+            F.greatest("block", "partner").alias("j"),
+            F.when(F.col("block") <= F.col("partner"), 0).otherwise(1).alias("side"),
+            F.col("item").cast("bigint").alias("item"),
+            "unit",
+        )
+        .repartition(_tasks_for(units), "i", "j")
+        .sortWithinPartitions("i", "j", "side")
+    )
+    found = tiles.mapInArrow(_dense_kernel(threshold), PAIR_DDL)
+    return _over(found, threshold)
+
+
+# ------------------------------------------------------------------------- the three measures
+
+
+def _both_ways(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs in both directions, and (rep, rep, 1) for each rep that stands for several items."""
+    two = F.array(
+        F.struct(F.col("a").alias("item"), F.col("b").alias("other")),
+        F.struct(F.col("b").alias("item"), F.col("a").alias("other")),
+    )
+    mirrored = pairs.select(F.explode(two).alias("p"), "sim").select(
+        F.col("p.item").cast("int").alias("item"), F.col("p.other").cast("int").alias("other"), "sim"
+    )
+    itself = groups.where("copies > 1").select(
+        F.col("rep").alias("item"), F.col("rep").alias("other"), F.lit(1.0).alias("sim")
+    )
+    return mirrored.unionByName(itself)
+
+
+def vector_similarity(vectors: DataFrame, threshold: float = 0.4) -> Similarity:
+    """Cosine similarity of item vectors (productId, vector)."""
+    units = unit_vectors(vectors.select(F.col("productId").alias("item"), "vector"))
+    groups = units.groupBy("unit").agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
+    found = dense_pairs(groups.select(F.col("rep").alias("item"), "unit"), threshold)
+    members = units.join(groups, "unit").select("item", "rep")
+    return Similarity(_both_ways(found, groups), members)
+
+
+def rater_similarity(ratings: DataFrame, threshold: float = 0.4) -> Similarity:
+    """Co-rating cosine: common raters of two products over sqrt(raters of one * of the other).
+
+    Products with the same set of raters are recognised by its size and two 64-bit hashes that
+    combine in any order, so no rater list is ever built.
+    """
+    rated = ratings.select(F.col("userId").alias("feature"), F.col("productId").alias("item")).distinct()
+    items = rated.groupBy("item").agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("feature")).alias("h1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "feature")).alias("h2"),
+    )
+    groups = items.groupBy("n", "h1", "h2").agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
+    members = items.join(groups, ["n", "h1", "h2"]).select("item", "rep")
+    weights = groups.select(F.col("rep").alias("item"), F.col("n").cast("double").alias("norm2"))
+    entries = rated.join(weights, "item").select(
+        "feature", F.col("item").cast("bigint").alias("item"), F.lit(1.0).alias("w"), "norm2"
+    )
+    return Similarity(_both_ways(sparse_pairs(entries, threshold), groups), members)
+
+
+def tag_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
+    """TF-IDF cosine over a product's set of tags, idf = ln((products + 1) / (with tag + 1)).
+
+    A tag carried by every product has weight 0 and joins no pair.
+    """
+    tagged = products.select(
+        F.col("productId").alias("item"),
+        F.array_sort(F.array_distinct(split_list(F.col("tags")))).alias("tags"),
+    )
+    groups = tagged.groupBy("tags").agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
+    words = groups.select("rep", "copies", F.explode("tags").alias("feature"))
+    total = groups.agg(F.sum("copies")).scalar()
+    idf = (
+        words.groupBy("feature")
+        .agg(F.sum("copies").alias("df"))
+        .select("feature", F.ln((total + 1) / (F.col("df") + 1)).alias("w"))
+        .where("w > 0")
+    )
+    weighted = words.join(idf, "feature").select("rep", "feature", "w")
+    norms = weighted.groupBy("rep").agg(F.sum(F.col("w") * F.col("w")).alias("norm2"))
+    entries = weighted.join(norms, "rep").select(
+        "feature", F.col("rep").cast("bigint").alias("item"), "w", "norm2"
+    )
+    known = groups.join(norms.select("rep"), "rep", "left_semi")
+    members = tagged.join(known, "tags").select("item", "rep")
+    return Similarity(_both_ways(sparse_pairs(entries, threshold), known), members)
+
+
+# -------------------------------------------------------------------------------- list forms
+
+
+def top_similar(similarity: Similarity, k: int) -> DataFrame:
+    """(productId, rank, otherId, sim): the k most similar other products of each product.
+
+    Exact: a group ranked below k + 1 others, or a member ranked below k + 1 others of its group,
+    always has k better entries before it, so neither can be listed.
+    """
+    pairs, members = similarity
+    by_sim = Window.partitionBy("item").orderBy(F.desc("sim"), "other")
+    near = pairs.withColumn("group_rank", F.row_number().over(by_sim)).where(
+        F.col("group_rank") <= k + 1
+    )
+    in_group = Window.partitionBy("rep").orderBy("item")
+    first = members.withColumn("member_rank", F.row_number().over(in_group)).where(
+        F.col("member_rank") <= k + 1
+    )
+    other = first.select(F.col("rep").alias("other"), F.col("item").alias("otherId"))
+    listed = near.join(other, "other").select(F.col("item").alias("rep"), "otherId", "sim")
+    place = Window.partitionBy("rep").orderBy(F.desc("sim"), "otherId")
+    listed = listed.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1)
+    own = members.join(listed, "rep").where("item <> otherId")
+    final = Window.partitionBy("item").orderBy("place")
+    return (
+        own.withColumn("rank", F.row_number().over(final))
+        .where(F.col("rank") <= k)
+        .select(F.col("item").alias("productId"), "rank", "otherId", "sim")
+    )
+
+
+def as_recs(top: DataFrame) -> DataFrame:
+    """(productId, recs) with the list in rank order, from the rows of :func:`top_similar`."""
+    entry = F.struct("rank", F.col("otherId").alias("productId"), F.col("sim").alias("score"))
+    lists = top.groupBy("productId").agg(F.array_sort(F.collect_list(entry)).alias("l"))
+    return lists.select(
+        "productId", F.transform("l", lambda e: F.struct(e.productId, e.score)).alias("recs")
+    )
+
+
+def as_map(recs: DataFrame) -> DataFrame:
+    """(productId, sims): the list as a map from other product to similarity."""
+    return recs.select("productId", F.map_from_entries("recs").alias("sims"))
+
+
+def sim_of(sims: Column, other: Column) -> Column:
+    """Similarity looked up in a map; 0.0 where the product is not listed."""
+    return F.coalesce(F.try_element_at(sims, other), F.lit(0.0))
+
+
+def from_pairs(pairs: DataFrame) -> Similarity:
+    """A similarity from a stored (productId, otherId, sim) table."""
+    p = pairs.select(F.col("productId").alias("item"), F.col("otherId").alias("other"), "sim")
+    ids = p.select(F.explode(F.array("item", "other")).alias("item")).distinct()
+    return Similarity(p, ids.select("item", F.col("item").alias("rep")))
