@@ -53,4 +53,4 @@ def parse_recent_entry(entry: Column) -> Column:
 
 def split_list(text: Column) -> Column:
     """A ``|``-separated list without blank members."""
-    return F.filter(F.transform(F.split(text, r"\|"), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(text, r"\|"), lambda t: F.trim(t)), lambda t: t != "")
