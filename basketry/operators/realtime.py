@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from basketry.functions import log_gain
 from basketry.operators.ratings import latest_rating, recent_ratings
 from basketry.operators.similarity import Similarity
+from basketry.session import stored
 
 
 def candidate_products(
@@ -21,11 +22,11 @@ def candidate_products(
     """(userId, rank, productId, rep, sim): for each event (userId, productId), the n products most
     similar to it that the user has not rated. One event per user.
 
-    A user with r rated products can lose at most r list entries to them, so only the first n + r
+    A user with r ratings can lose at most r list entries to rated products, so only the first n + r
     entries of a similarity list can matter; the join reads no further and stays exact.
     """
     rated = ratings.select("userId", "productId").distinct()
-    reach = rated.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
+    reach = ratings.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
     trigger = (
         events.select("userId", F.col("productId").alias("item"))
         .join(reach, "userId", "left")
@@ -116,8 +117,8 @@ def stream_recs(
     ``ratings`` already holds the events. Since the last save wins, each user's latest event
     decides; ``events`` defaults to the latest rating of every user.
     """
-    events = latest_rating(ratings) if events is None else latest_rating(events)
+    recents = stored(recent_ratings(ratings, n_recent), "recent-ratings")
+    events = recents.where("position = 1") if events is None else latest_rating(events)
     candidates = candidate_products(events, ratings, similarity, n_candidates)
-    recents = recent_ratings(ratings, n_recent)
     scored = score_candidates(candidates, recents, similarity, threshold)
     return to_user_recs(events.select("userId"), ranked_scores(scored))

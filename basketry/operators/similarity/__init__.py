@@ -5,7 +5,7 @@ the cosines of one pair of blocks with numpy, and only pairs over the threshold
 with the very same content are computed once, as one representative.
 """
 
-from .common import Similarity
+from .common import Similarity, kept
 from .lists import as_map, as_recs, from_pairs, sim_of, top_similar
 from .raters import rater_similarity
 from .tags import tag_similarity
@@ -16,6 +16,7 @@ __all__ = [
     "as_map",
     "as_recs",
     "from_pairs",
+    "kept",
     "rater_similarity",
     "sim_of",
     "tag_similarity",

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.session import stored
+
 # Similarities are rounded, so that equal ones stay equal whatever order their terms were added in.
 DIGITS = 9
 SLACK = 10.0**-DIGITS
@@ -64,13 +66,13 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[t
             yield tuple(c[start].item() for c in columns), batch.slice(start, end - start)
 
 
-def block_pairs(lists: DataFrame) -> DataFrame:
+def block_pairs(lists: DataFrame, most_blocks: int | None = None) -> DataFrame:
     """(feature, i, j, left, right, info_left, info_right) with i <= j for every two blocks of a feature.
 
-    ``lists``: (feature, block, list, info, blocks), ``blocks`` being how many blocks the feature
-    is spread over. On the diagonal ``right`` is NULL and stands for ``left``. Blocks of one feature
-    meet by joining on the feature and a lane; a feature of many blocks has many lanes, so no task
-    has to pair up a hot feature alone.
+    ``lists``: (feature, block, list, info) and ``blocks``, how many blocks the feature is spread
+    over, which may be left out if no feature has more than ``most_blocks``. On the diagonal
+    ``right`` is NULL and stands for ``left``. Blocks of one feature meet by joining on the feature
+    and a lane; a feature of many blocks has many lanes, so no task pairs up a hot feature alone.
     """
     same = lists.where(F.size("list") > 1).select(
         "feature",
@@ -81,8 +83,13 @@ def block_pairs(lists: DataFrame) -> DataFrame:
         F.col("info").alias("info_left"),
         F.col("info").alias("info_right"),
     )
-    lanes = F.ceil(F.col("blocks") / LANE_BLOCKS).cast("int")
-    spread = lists.where("blocks > 1").withColumn("lanes", lanes)
+    if most_blocks == 1:
+        return same
+    if "blocks" in lists.columns:
+        lanes = F.ceil(F.col("blocks") / LANE_BLOCKS).cast("int")
+        spread = lists.where("blocks > 1").withColumn("lanes", lanes)
+    else:
+        spread = lists.withColumn("lanes", F.lit(1))
     left = spread.select(
         "feature",
         F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"),
@@ -101,6 +108,11 @@ def block_pairs(lists: DataFrame) -> DataFrame:
     return same.unionByName(cross.drop("lane"))
 
 
+def kept(similarity: Similarity) -> Similarity:
+    """The similarity as stored tables, for use in more than one place."""
+    return Similarity(stored(similarity.pairs, "pairs"), stored(similarity.members, "members"))
+
+
 def over(found: DataFrame, threshold: float) -> DataFrame:
     sim = F.round(F.col("dot") / F.col("scale"), DIGITS)
     return found.select("a", "b", sim.alias("sim")).where(F.col("sim") > threshold)

@@ -11,10 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.session import use_checkpoints
+from basketry.session import stored
 
 from .common import (
     FOUND_DDL,
+    LANE_BLOCKS,
     SLACK,
     Similarity,
     block_pairs,
@@ -143,9 +144,11 @@ def _levelled(items: DataFrame, threshold: float) -> DataFrame:
     return items.withColumn("level", F.floor(F.ln(F.col("n").cast("double")) / step).cast("int"))
 
 
-def _placed(items: DataFrame, block_items: int) -> DataFrame:
+def _placed(items: DataFrame, block_items: int) -> tuple[DataFrame, int]:
     """Adds ``block``: items hashed into blocks of about ``block_items`` within their level.
 
+    Also gives the number of blocks.
+
     The levels are few, the logarithm of the largest count, so their sizes may come to the driver.
     """
     sizes = sorted((r["level"], r["count"]) for r in items.groupBy("level").count().collect())
@@ -155,7 +158,7 @@ def _placed(items: DataFrame, block_items: int) -> DataFrame:
     for (level, _), width, start in zip(sizes, blocks, starts):
         inside = F.pmod(F.xxhash64("item"), F.lit(width)).cast("int") + start
         block = F.when(F.col("level") == level, inside).otherwise(block)
-    return items.withColumn("block", block)
+    return items.withColumn("block", block), sum(blocks)
 
 
 def common_rater_pairs(
@@ -168,22 +171,23 @@ def common_rater_pairs(
     everything sends block lists to the tiles and no item pairs. ``chunks`` splits the users of a
     tile with many; counts of such a tile are added up before the threshold is applied.
     """
-    placed = _placed(_levelled(items, threshold), block_items)
-    lists = (
+    placed, blocks = _placed(_levelled(items, threshold), block_items)
+    entry = F.struct(F.col("item").cast("bigint").alias("item"), "n")
+    lists = stored(
         rated.join(placed, "item")
         .groupBy("feature", "block", "level")
-        .agg(F.collect_list(F.struct(F.col("item").cast("bigint").alias("item"), "n")).alias("list"))
+        .agg(F.collect_list(entry).alias("list")),
+        "rater-lists",
     )
     rows = lists.groupBy("block").agg(F.count("*").alias("rows"))
-    spread = lists.groupBy("feature").agg(F.count("*").alias("blocks"))
-    lists = (
-        lists.join(F.broadcast(rows), "block")  # one row per block
-        .join(spread, "feature")
-        .withColumn("info", F.struct("level", "rows"))
-    )
+    informed = lists.join(F.broadcast(rows), "block")  # one row per block
+    informed = informed.withColumn("info", F.struct("level", "rows")).drop("level", "rows")
+    if blocks > LANE_BLOCKS:
+        spread = lists.groupBy("feature").agg(F.count("*").alias("blocks"))
+        informed = informed.join(spread, "feature")
     rows = F.least("info_left.rows", "info_right.rows")
     tiles = (
-        block_pairs(lists)
+        block_pairs(informed, most_blocks=blocks)
         .where(F.abs(F.col("info_left.level") - F.col("info_right.level")) <= 1)
         .withColumn("chunks", F.ceil(rows / CHUNK_ROWS).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64("feature"), F.col("chunks")).cast("int"))
@@ -202,14 +206,15 @@ def rater_similarity(ratings: DataFrame, threshold: float = 0.4) -> Similarity:
     Products with the same set of raters are recognised by its size and two 64-bit hashes that
     combine in any order, so no rater list is ever built.
     """
-    use_checkpoints(ratings.sparkSession)
-    rated = ratings.select(F.col("userId").alias("feature"), F.col("productId").alias("item")).distinct()
+    pairs = ratings.select(F.col("userId").alias("feature"), F.col("productId").alias("item"))
+    rated = stored(pairs.distinct(), "rated")
     items = rated.groupBy("item").agg(
         F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("feature")).alias("h1"),
         F.bit_xor(F.xxhash64(F.lit(1), "feature")).alias("h2"),
-    ).checkpoint()
+    )
     same = ["n", "h1", "h2"]
+    items = stored(items, "rated-items")
     groups = items.groupBy(*same).agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
     members = items.join(groups, same).select("item", "rep")
     found = common_rater_pairs(rated, groups.select(F.col("rep").alias("item"), "n"), threshold)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import split_list
+from basketry.session import stored
 
 from .common import (
     FOUND_DDL,
@@ -94,28 +95,35 @@ def weighted_tags(groups: DataFrame) -> DataFrame:
     return words.join(idf.where("w > 0"), "feature").select("item", "feature", "w")
 
 
-def tag_pairs(weighted: DataFrame, threshold: float, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(a, b, sim) with a < b and cosine > threshold > 0.
+def prefix_entries(weighted: DataFrame, threshold: float) -> DataFrame:
+    """(item, feature, norm2, vector) for the tags that can bring an item over the threshold > 0.
 
     Take an item's tags rarest first. Once the remaining ones are no longer than threshold times the
     whole vector, they cannot lift a pair over the threshold alone; so two items over it share a tag
-    before that point in both. Only those tags bring items together, each item with its whole vector,
-    and very common tags hardly ever do. A tag with many items is split into blocks.
+    before that point in both. Very common tags hardly ever come before it.
     """
     whole = Window.partitionBy("item")
     tail = whole.orderBy(F.asc("w"), F.desc("feature"))
     square = F.col("w") * F.col("w")
-    entries = weighted.select(
+    return weighted.select(
         "item",
         "feature",
         F.sum(square).over(whole).alias("norm2"),
         F.sum(square).over(tail).alias("rest2"),
         F.collect_list(F.struct("feature", "w")).over(whole).alias("vector"),
     ).where(F.sqrt("rest2") > (threshold - SLACK) * F.sqrt("norm2"))
+
+
+def tag_pairs(entries: DataFrame, threshold: float, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """(a, b, sim) with a < b and cosine > threshold, from the entries of :func:`prefix_entries`.
+
+    Only items that share such a tag meet, each with its whole vector. A tag with many items is split
+    into blocks.
+    """
     blocks = entries.groupBy("feature").agg(
         F.ceil(F.count("*") / block_items).cast("int").alias("blocks"), F.count("*").alias("items")
     )
-    lists = (
+    lists = stored(
         entries.join(blocks.where("items > 1"), "feature")
         .withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
         .groupBy("feature", "block", "blocks")
@@ -124,10 +132,11 @@ def tag_pairs(weighted: DataFrame, threshold: float, block_items: int = BLOCK_IT
                 F.struct(F.col("item").cast("bigint").alias("item"), "norm2", "vector")
             ).alias("list")
         )
-        .withColumn("info", F.lit(0))
+        .withColumn("info", F.lit(0)),
+        "tag-lists",
     )
     rows = block_pairs(lists).select("feature", "i", "j", "left", "right")
-    spread = rows.repartition(task_count(weighted), "feature", "i", "j")
+    spread = rows.repartition(task_count(entries), "feature", "i", "j")
     found = spread.drop("i", "j").mapInArrow(_kernel(threshold), FOUND_DDL)
     return over(found, threshold)
 
@@ -139,7 +148,8 @@ def tag_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
         F.array_sort(F.array_distinct(split_list(F.col("tags")))).alias("tags"),
     )
     groups = tagged.groupBy("tags").agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
-    weighted = weighted_tags(groups)
-    known = groups.join(weighted.select(F.col("item").alias("rep")), "rep", "left_semi")
+    groups = stored(groups, "tag-sets")
+    entries = stored(prefix_entries(weighted_tags(groups), threshold), "tag-entries")
+    known = groups.join(entries.select(F.col("item").alias("rep")), "rep", "left_semi")
     members = tagged.join(known, "tags").select("item", "rep")
-    return Similarity(both_ways(tag_pairs(weighted, threshold), known), members)
+    return Similarity(both_ways(tag_pairs(entries, threshold), known), members)

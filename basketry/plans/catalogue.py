@@ -105,6 +105,10 @@ def distinct_entities(spark, sf_dir):
     return statistics.distinct_entities(tables.order_ratings(spark, sf_dir))
 
 
+def _co_rated(ratings: DataFrame) -> similarity.Similarity:
+    return similarity.kept(similarity.rater_similarity(ratings))
+
+
 # ---------------------------------------------------------------------------------- serving
 
 
@@ -152,7 +156,7 @@ def recs_to_products(spark, sf_dir):
 def serve_user_recs(spark, sf_dir):
     """The first real-time recommendations of every customer who has any, by customer name."""
     ratings = tables.event_ratings(spark, sf_dir)
-    recs = realtime.stream_recs(ratings, similarity.rater_similarity(ratings))
+    recs = realtime.stream_recs(ratings, _co_rated(ratings))
     customers = tables.table(spark, sf_dir, "customer").select(
         F.col("c_name").alias("username"), F.col("c_custkey").cast("int").alias("userId")
     )
@@ -334,7 +338,7 @@ def sim_map(spark, sf_dir):
 def candidate_products(spark, sf_dir):
     ratings = tables.event_ratings(spark, sf_dir)
     found = realtime.candidate_products(
-        history.latest_rating(ratings), ratings, similarity.rater_similarity(ratings), LIST
+        history.latest_rating(ratings), ratings, _co_rated(ratings), LIST
     )
     return rounded(found.select("userId", "rank", "productId", "sim"), "sim")
 
@@ -342,7 +346,7 @@ def candidate_products(spark, sf_dir):
 @query
 def stream_recs(spark, sf_dir):
     ratings = tables.event_ratings(spark, sf_dir)
-    recs = realtime.stream_recs(ratings, similarity.rater_similarity(ratings))
+    recs = realtime.stream_recs(ratings, _co_rated(ratings))
     return rounded(serving.flatten(recs, "userId", keep_empty=True), "score")
 
 

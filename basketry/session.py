@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Joins and aggregations are planned at run time from measured sizes: small sides are
 # broadcast, small partitions merged and skewed join partitions split.
@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Lets the linear algebra of the factorisation use SIMD; set it for executors on a cluster too.
+    "spark.driver.extraJavaOptions": "--add-modules=jdk.incubator.vector",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -60,6 +62,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    For results that several later steps read: they are worked out once, outlive lost executors,
+    and each reader scans only the columns it needs.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Point the context's checkpoints at the shared folder unless one is already set."""
     context = spark.sparkContext
