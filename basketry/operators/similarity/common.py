@@ -44,11 +44,10 @@ def task_count(df: DataFrame) -> int:
 
 
 def found_batches(a, b, dot, scale) -> Iterator[pa.RecordBatch]:
-    """Pairs as Arrow batches of bounded size, the smaller id first."""
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    for i in range(0, len(low), FOUND_ROWS):
+    """Pairs as Arrow batches of bounded size."""
+    for i in range(0, len(a), FOUND_ROWS):
         cut = slice(i, i + FOUND_ROWS)
-        arrays = [pa.array(np.ascontiguousarray(x[cut])) for x in (low, high, dot, scale)]
+        arrays = [pa.array(np.ascontiguousarray(x[cut])) for x in (a, b, dot, scale)]
         yield pa.RecordBatch.from_arrays(arrays, schema=FOUND)
 
 
@@ -118,16 +117,18 @@ def over(found: DataFrame, threshold: float) -> DataFrame:
     return found.select("a", "b", sim.alias("sim")).where(F.col("sim") > threshold)
 
 
-def both_ways(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs in both directions, and (rep, rep, 1) for each rep that stands for several items."""
-    two = F.array(
-        F.struct(F.col("a").alias("item"), F.col("b").alias("other")),
-        F.struct(F.col("b").alias("item"), F.col("a").alias("other")),
-    )
-    mirrored = pairs.select(F.explode(two).alias("p"), "sim").select(
-        F.col("p.item").cast("int").alias("item"), F.col("p.other").cast("int").alias("other"), "sim"
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Pairs, each found once, in both directions."""
+    two = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.select(F.explode(two).alias("p"), "sim").select("p.a", "p.b", "sim")
+
+
+def similarity(directed: DataFrame, groups: DataFrame, members: DataFrame) -> Similarity:
+    """Adds (rep, rep, 1) for each rep that stands for several items to the directed pairs."""
+    pairs = directed.select(
+        F.col("a").cast("int").alias("item"), F.col("b").cast("int").alias("other"), "sim"
     )
     itself = groups.where("copies > 1").select(
         F.col("rep").alias("item"), F.col("rep").alias("other"), F.lit(1.0).alias("sim")
     )
-    return mirrored.unionByName(itself)
+    return Similarity(pairs.unionByName(itself), members)

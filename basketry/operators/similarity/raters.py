@@ -23,11 +23,13 @@ from .common import (
     found_batches,
     over,
     runs,
+    similarity,
     task_count,
 )
 
 BLOCK_ITEMS = 1024
-CHUNK_ROWS = 50_000
+# A chunk hands on at most one count per pair of its two blocks, so about one per row it took in.
+CHUNK_ROWS = BLOCK_ITEMS**2
 EXPAND_AT_ONCE = 2_000_000
 
 
@@ -114,7 +116,8 @@ class _Tile:
         keep = a < b if self.diagonal else np.ones(len(a), dtype=bool)
         if self.whole:
             keep &= common / scale > threshold - SLACK
-        yield from found_batches(a[keep], b[keep], common[keep], scale[keep])
+        a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
+        yield from found_batches(a, b, common[keep], scale[keep])
 
 
 def _kernel(threshold: float):
@@ -164,7 +167,7 @@ def _placed(items: DataFrame, block_items: int) -> tuple[DataFrame, int]:
 def common_rater_pairs(
     rated: DataFrame, items: DataFrame, threshold: float, block_items: int = BLOCK_ITEMS
 ) -> DataFrame:
-    """(a, b, sim) with a < b and cosine > threshold.
+    """(a, b, sim), a < b, with cosine > threshold.
 
     ``rated``: distinct (feature, item), feature being the user; ``items``: (item, n) with n raters,
     only these take part. A user's items travel as one list per block, so even a user who rated
@@ -218,4 +221,4 @@ def rater_similarity(ratings: DataFrame, threshold: float = 0.4) -> Similarity:
     groups = items.groupBy(*same).agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
     members = items.join(groups, same).select("item", "rep")
     found = common_rater_pairs(rated, groups.select(F.col("rep").alias("item"), "n"), threshold)
-    return Similarity(both_ways(found, groups), members)
+    return similarity(both_ways(found), groups, members)

@@ -20,6 +20,7 @@ from .common import (
     both_ways,
     found_batches,
     over,
+    similarity,
     task_count,
 )
 
@@ -115,7 +116,7 @@ def prefix_entries(weighted: DataFrame, threshold: float) -> DataFrame:
 
 
 def tag_pairs(entries: DataFrame, threshold: float, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(a, b, sim) with a < b and cosine > threshold, from the entries of :func:`prefix_entries`.
+    """(a, b, sim), each pair once, with cosine > threshold, from the entries of :func:`prefix_entries`.
 
     Only items that share such a tag meet, each with its whole vector. A tag with many items is split
     into blocks.
@@ -152,4 +153,4 @@ def tag_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
     entries = stored(prefix_entries(weighted_tags(groups), threshold), "tag-entries")
     known = groups.join(entries.select(F.col("item").alias("rep")), "rep", "left_semi")
     members = tagged.join(known, "tags").select("item", "rep")
-    return Similarity(both_ways(tag_pairs(entries, threshold), known), members)
+    return similarity(both_ways(tag_pairs(entries, threshold)), known, members)

@@ -196,7 +196,7 @@ def user_register(spark, sf_dir):
 def user_update(spark, sf_dir):
     """Customers with orders are no longer new and prefer their market segment."""
     customer = tables.table(spark, sf_dir, "customer")
-    orders = tables.table(spark, sf_dir, "orders")
+    orders = tables.table(spark, sf_dir, "orders").select("o_custkey").distinct()
     active = customer.join(orders, customer.c_custkey == orders.o_custkey, "left_semi")
     names = active.select("c_name", "c_mktsegment")
     registered = tables.customer_users(spark, sf_dir)
@@ -273,7 +273,8 @@ def product_similarity_members(spark, sf_dir):
 
 @query
 def product_recs(spark, sf_dir):
-    return _top(similarity.vector_similarity(tables.embedding_vectors(spark, sf_dir)))
+    vectors = tables.embedding_vectors(spark, sf_dir)
+    return _top(similarity.vector_similarity(vectors, lists_of=LIST))
 
 
 @query
@@ -391,7 +392,7 @@ def als_user_recs(spark, sf_dir):
 
 @query
 def als_product_recs(spark, sf_dir):
-    return _top(als.product_similarity(_order_model(spark, sf_dir)))
+    return _top(als.product_similarity(_order_model(spark, sf_dir), lists_of=LIST))
 
 
 @query

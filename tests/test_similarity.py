@@ -131,7 +131,7 @@ def test_very_common_tags_bring_no_items_together(spark):
 @pytest.mark.parametrize("block_items", [2048, 7])
 @pytest.mark.parametrize("threshold", [0.4, -0.2])
 def test_vectors(spark, monkeypatch, block_items, threshold):
-    monkeypatch.setattr(vectors.unit_pairs, "__defaults__", (block_items,))
+    monkeypatch.setattr(vectors.unit_pairs, "__defaults__", (None, block_items))
     generator = np.random.default_rng(2)
     data = {i: generator.normal(size=6) for i in range(60)}
     for i in range(60, 90):
@@ -148,6 +148,10 @@ def test_vectors(spark, monkeypatch, block_items, threshold):
                 if sim > threshold:
                     expected[a, b] = sim
     same(expand(similar), expected)
+    short = similarity.vector_similarity(df, threshold, lists_of=4)
+    whole, listed = (similarity.top_similar(s, 4) for s in (similar, short))
+    order = ("productId", "rank")
+    assert rows(listed, *order) == rows(whole, *order)
 
 
 def test_exactly_the_threshold_is_out(spark):
