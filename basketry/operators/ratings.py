@@ -5,6 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry import schemas
+from basketry.functions import epoch_seconds, normalise_score
+
+
+def from_web(requests: DataFrame) -> DataFrame:
+    """Ratings from web requests (userId, productId, raw, timestamp): stars halved, time in seconds."""
+    return schemas.conform(
+        requests.withColumns(
+            {
+                "score": normalise_score(F.col("raw")),
+                "timestamp": epoch_seconds(F.col("timestamp")),
+            }
+        ),
+        schemas.RATING,
+    )
+
 
 def newest(*columns: str) -> Column:
     """An order key that is larger for newer ratings; equal times fall back to the given columns."""

@@ -12,7 +12,7 @@ from basketry.functions import log_line, normalise_score, split_list
 from basketry.operators import factorization as als
 from basketry.operators import ratings as history
 from basketry.operators import realtime, serving, similarity, statistics, users
-from basketry.session import fresh_path
+from basketry.session import fresh_path, stored
 from basketry.sources import files, sinks, tables
 from basketry.streaming import events as stream
 
@@ -168,6 +168,13 @@ def serve_user_recs(spark, sf_dir):
 # ------------------------------------------------------------------------- rating and user tables
 
 
+@query
+def rating_from_web(spark, sf_dir):
+    """Order lines as web requests with the time in milliseconds."""
+    stars = tables.order_stars(spark, sf_dir)
+    return history.from_web(stars.withColumn("timestamp", F.col("timestamp") * 1000))
+
+
 @query
 def rating_upsert(spark, sf_dir):
     """Order ratings as the stored table, event ratings as the changes."""
@@ -450,6 +457,28 @@ def stream_similar(spark, sf_dir):
     )
 
 
+@query
+def stream_rescore(spark, sf_dir):
+    """Real-time lists kept up to date by two arrivals of log files, each rescoring whom it touched."""
+    similar = _co_rated(tables.event_ratings(spark, sf_dir))
+    log = tables.event_log(spark, sf_dir)
+    half = log.agg(F.avg("event_id")).first()[0]
+    source, target, progress = (fresh_path(spark, x) for x in ("log", "ratings", "ratings-progress"))
+    snapshot = spark.createDataFrame([], schemas.USER_RECS)
+    since = F.lit("1970-01-01").cast("timestamp")
+    for arrival in (F.col("event_id") <= half, F.col("event_id") > half):
+        log.where(arrival).select("value").write.mode("append").text(source)
+        lines = stream.text_lines(spark, source)
+        ratings = stream.stamped(stream.parsed_ratings(stream.rating_messages(lines)))
+        stream.append_files(ratings, target, progress).awaitTermination()
+        stored_ratings = spark.read.schema(ratings.schema).parquet(target)
+        new = stored_ratings.where(F.col("ingestedAt") > since)
+        lists = stream.rescore(stored_ratings.drop("ingestedAt"), similar, snapshot, new.drop("ingestedAt"))
+        snapshot = stored(lists, "stream-recs")
+        since = F.lit(stored_ratings.agg(F.max("ingestedAt")).first()[0])
+    return rounded(serving.flatten(snapshot, "userId", keep_empty=True), "score")
+
+
 @query
 def stream_user_recents(spark, sf_dir):
     """The bounded history of every user after the whole stream."""

@@ -249,6 +249,7 @@ CHECKS: dict[str, str] = {
         SELECT c_name AS username, userId, rank, productId, name, info.score
         FROM listed JOIN customer ON c_custkey = userId JOIN info USING (productId)
         WHERE rank <= 6""",
+    "rating_from_web": f"WITH {R_ORDER} SELECT * FROM r_order",
     "rating_upsert": "WITH " + UPSERT.replace("{when}", "max"),
     "rating_upsert_keep_time": "WITH " + UPSERT.replace("{when}", "min"),
     "user_register": f"""
@@ -303,3 +304,4 @@ CHECKS: dict[str, str] = {
                productId, score, timestamp
         FROM r_event QUALIFY position <= 40""",
 }
+CHECKS["stream_rescore"] = CHECKS["stream_recs"]
