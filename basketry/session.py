@@ -25,6 +25,9 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Holds a local session's own choice; Spark's setting cannot be changed once it runs.
+OWN_DIR = "basketry.scratch.dir"
+
 
 def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings their own."""
@@ -47,13 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a folder of its own; the choice is kept in the
     session so later calls agree on it.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     chosen = tempfile.mkdtemp(prefix="basketry-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
+    spark.conf.set(OWN_DIR, chosen)
     return chosen
 
 

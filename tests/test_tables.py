@@ -1,5 +1,6 @@
 """Scans, sinks, statistics, rating and user tables, serving."""
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -178,3 +179,22 @@ def test_recs_for_users(spark):
 def test_order_ratings_read_only_what_they_need(spark, small):
     plan = tables.order_ratings(spark, small).select("productId")._jdf.queryExecution().toString()
     assert "l_extendedprice" not in plan.split("Physical Plan")[1]
+
+
+def test_shared_dir(spark, monkeypatch):
+    from basketry import session
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Fake:
+        def __init__(self, master, **conf):
+            self.conf = Conf(conf)
+            self.sparkContext = type("Context", (), {"master": master})
+
+    assert session.shared_dir(Fake("spark://h:1", **{"spark.checkpoint.dir": "/shared"})) == "/shared"
+    local = Fake("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local)
+    with pytest.raises(ValueError):
+        session.shared_dir(Fake("spark://h:1"))
+    assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
