@@ -36,6 +36,12 @@ class Similarity(NamedTuple):
     members: DataFrame
 
 
+def check_threshold(threshold: float) -> None:
+    """For counts and weights: pairs with nothing in common are never looked at."""
+    if threshold < 0:
+        raise ValueError("threshold must not be negative")
+
+
 def task_count(df: DataFrame) -> int:
     """Tasks for block work. The number is given outright so AQE does not merge small, heavy tasks."""
     spark = df.sparkSession

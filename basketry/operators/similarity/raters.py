@@ -20,6 +20,7 @@ from .common import (
     Similarity,
     block_pairs,
     both_ways,
+    check_threshold,
     found_batches,
     over,
     runs,
@@ -209,6 +210,7 @@ def rater_similarity(ratings: DataFrame, threshold: float = 0.4) -> Similarity:
     Products with the same set of raters are recognised by its size and two 64-bit hashes that
     combine in any order, so no rater list is ever built.
     """
+    check_threshold(threshold)
     pairs = ratings.select(F.col("userId").alias("feature"), F.col("productId").alias("item"))
     rated = stored(pairs.distinct(), "rated")
     items = rated.groupBy("item").agg(

@@ -18,6 +18,7 @@ from .common import (
     Similarity,
     block_pairs,
     both_ways,
+    check_threshold,
     found_batches,
     over,
     similarity,
@@ -144,6 +145,7 @@ def tag_pairs(entries: DataFrame, threshold: float, block_items: int = BLOCK_ITE
 
 def tag_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
     """TF-IDF cosine over the tag sets of products that have a weighted tag."""
+    check_threshold(threshold)
     tagged = products.select(
         F.col("productId").alias("item"),
         F.array_sort(F.array_distinct(split_list(F.col("tags")))).alias("tags"),

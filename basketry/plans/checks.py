@@ -48,11 +48,11 @@ MONTH = "(extract(year FROM m) * 100 + extract(month FROM m))::INTEGER"
 LOG = R_EVENT + f""",
 log AS (
   SELECT event_id, CASE
-    WHEN event_type <> 'error' THEN 'INFO --- [http] ProductRestApi :  {MARKER}'
+    WHEN event_type <> 'error' THEN 'INFO --- [http] web :  {MARKER}'
          || userId || '|' || productId || '|' || score::VARCHAR || '|' || timestamp
-    WHEN value < 2 THEN 'INFO --- [http] ProductRestApi :  {MARKER}'
-    WHEN value < 5 THEN 'INFO --- [http] ProductRestApi :  {MARKER}' || userId || '|' || productId
-    WHEN value < 10 THEN 'INFO --- [http] ProductRestApi :  {MARKER}' || userId || '|' || productId || '|x|y'
+    WHEN value < 2 THEN 'INFO --- [http] web :  {MARKER}'
+    WHEN value < 5 THEN 'INFO --- [http] web :  {MARKER}' || userId || '|' || productId
+    WHEN value < 10 THEN 'INFO --- [http] web :  {MARKER}' || userId || '|' || productId || '|x|y'
     ELSE 'ERROR --- [http] user ' || userId END AS value
   FROM ev
 ),

@@ -61,7 +61,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Errors give lines without a marker or with a marked but unusable message.
     """
     e = _event_fields(table(spark, sf_dir, "events"))
-    prefix = F.concat(F.lit("INFO --- [http] ProductRestApi :  "))
+    prefix = F.lit("INFO --- [http] web :  ")
     user, product = F.col("userId"), F.col("productId")
     line = (
         F.when(
@@ -69,7 +69,10 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(prefix, log_line(user, product, F.col("score"), F.col("timestamp"))),
         )
         .when(F.col("value") < 2, F.concat(prefix, F.lit(LOG_MARKER)))
-        .when(F.col("value") < 5, F.concat(prefix, F.lit(LOG_MARKER), F.concat_ws("|", user, product)))
+        .when(
+            F.col("value") < 5,
+            F.concat(prefix, F.lit(LOG_MARKER), F.concat_ws("|", user, product)),
+        )
         .when(
             F.col("value") < 10,
             F.concat(prefix, F.lit(LOG_MARKER), F.concat_ws("|", user, product, F.lit("x"), F.lit("y"))),

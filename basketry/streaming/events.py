@@ -109,6 +109,18 @@ def append_files(
     return writer.outputMode("append").trigger(**trigger).start(path)
 
 
+def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+    """Sends (key, value) rows to a topic every two seconds; needs the Kafka connector."""
+    return (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=INTERVAL)
+        .start()
+    )
+
+
 # ------------------------------------------------------------------------------ per-user state
 
 

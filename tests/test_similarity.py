@@ -154,6 +154,23 @@ def test_vectors(spark, monkeypatch, block_items, threshold):
     assert rows(listed, *order) == rows(whole, *order)
 
 
+def test_negative_thresholds_are_refused(spark):
+    with pytest.raises(ValueError):
+        similarity.rater_similarity(spark.createDataFrame([], schemas.RATING), -0.1)
+    with pytest.raises(ValueError):
+        similarity.tag_similarity(spark.createDataFrame([], schemas.PRODUCT), -0.1)
+
+
+def test_nothing_in_nothing_out(spark):
+    no_vectors = spark.createDataFrame([], "productId int, vector array<double>")
+    for found in (
+        similarity.rater_similarity(spark.createDataFrame([], schemas.RATING)),
+        similarity.tag_similarity(spark.createDataFrame([], schemas.PRODUCT)),
+        similarity.vector_similarity(no_vectors),
+    ):
+        assert rows(found.pairs) == rows(found.members) == []
+
+
 def test_exactly_the_threshold_is_out(spark):
     data = [(u, 1, 1.0, 0) for u in range(5)] + [(u, 2, 1.0, 0) for u in (0, 1, 5, 6, 7)]
     df = spark.createDataFrame(data, schemas.RATING)

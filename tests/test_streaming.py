@@ -64,6 +64,21 @@ def test_restart_takes_only_new_files(spark, tmp_path):
     assert run(ratings_of(spark, source), tmp_path, "out").count() == 2
 
 
+def test_continuous_run(spark, tmp_path):
+    source = Source(tmp_path)
+    source.add([marked((1, 2, 3.0, 4))])
+    ratings = ratings_of(spark, source)
+    query = stream.append_files(ratings, str(tmp_path / "out"), str(tmp_path / "progress"), continuous=True)
+    try:
+        query.processAllAvailable()
+        source.add([marked((1, 3, 3.0, 5))])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    out = spark.read.schema(ratings.schema).parquet(str(tmp_path / "out"))
+    assert rows(out, "productId") == [(1, 2, 3.0, 4), (1, 3, 3.0, 5)]
+
+
 def test_join_with_stored_lists(spark, tmp_path):
     source = Source(tmp_path)
     source.add([marked((1, 2, 3.0, 4)), marked((1, 99, 3.0, 5))])
