@@ -378,13 +378,23 @@ def rmse_eval(spark, sf_dir):
 @query
 def als_factors(spark, sf_dir):
     model = _order_model(spark, sf_dir)
-    by_user = als.user_vectors(model).select(F.lit("user").alias("kind"), F.col("userId").alias("id"), "vector")
-    by_product = als.product_vectors(model).select(
-        F.lit("product").alias("kind"), F.col("productId").alias("id"), "vector"
-    )
+    by_user = als.user_vectors(model).toDF("id", "vector").withColumn("kind", F.lit("user"))
+    by_product = als.product_vectors(model).toDF("id", "vector").withColumn("kind", F.lit("product"))
     return by_user.unionByName(by_product)
 
 
+@query
+def als_factor_shape(spark, sf_dir):
+    """Whom a small model has factors for, how many each, and whether they are finite."""
+    model = als.train(tables.order_ratings(spark, sf_dir), rank=5, iterations=2)
+    by_user = als.user_vectors(model).toDF("id", "vector").withColumn("kind", F.lit("user"))
+    by_product = als.product_vectors(model).toDF("id", "vector").withColumn("kind", F.lit("product"))
+    finite = F.forall("vector", lambda x: F.abs(x) < 1e9)
+    return by_user.unionByName(by_product).select(
+        "kind", "id", F.size("vector").alias("dims"), finite.alias("finite")
+    )
+
+
 @query
 def als_predict(spark, sf_dir):
     """Predictions for every pair rated by an event, from the model of the order ratings."""

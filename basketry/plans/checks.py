@@ -293,6 +293,9 @@ CHECKS: dict[str, str] = {
         mean AS (SELECT productId, avg(score) AS prediction FROM split WHERE part = 'train' GROUP BY 1)
         SELECT round(sqrt(avg((score - prediction) * (score - prediction))), 6) AS rmse
         FROM split JOIN mean USING (productId) WHERE part = 'test'""",
+    "als_factor_shape": f"""WITH {R_ORDER}
+        SELECT DISTINCT 'user' AS kind, userId AS id, 5::INTEGER AS dims, true AS finite FROM r_order
+        UNION ALL SELECT DISTINCT 'product', productId, 5::INTEGER, true FROM r_order""",
     "stream_log_filter": f"WITH {LOG} SELECT 'logProcessor' AS key, value FROM message WHERE value <> ''",
     "stream_rating_parse": f"WITH {LOG} SELECT userId, productId, score, timestamp FROM parsed WHERE {USABLE}",
     "stream_similar": f"""WITH {CO_RATED} {top_of(20)}

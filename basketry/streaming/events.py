@@ -23,6 +23,8 @@ CAPACITY = 40
 MESSAGE_KEY = "logProcessor"
 INTERVAL = "2 seconds"
 
+FILES_PER_BATCH = 1000
+
 HISTORY = "userId int, productId int, score double, timestamp bigint"
 STATE = "products array<int>, scores array<double>, times array<bigint>, version bigint"
 RECENT = "userId int, version bigint, position int, productId int, score double, timestamp bigint"
@@ -31,12 +33,11 @@ RECENT = "userId int, version bigint, position int, productId int, score double,
 # ----------------------------------------------------------------------------------- sources
 
 
-def text_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Log lines from text files appended to a folder, as (value)."""
-    reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+def text_lines(
+    spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Log lines from text files appended to a folder, as (value); a backlog takes several batches."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, rows_per_batch: int) -> DataFrame:
@@ -85,10 +86,16 @@ def with_event_time(ratings: DataFrame) -> DataFrame:
     return ratings.withColumn("eventTime", F.timestamp_seconds("timestamp"))
 
 
-def join_recs(ratings: DataFrame, recs: DataFrame) -> DataFrame:
-    """Each rating event with the stored list of its product; no list gives an empty one."""
+def join_recs(ratings: DataFrame, recs: DataFrame, salts: int = 4) -> DataFrame:
+    """Each rating event with the stored list of its product; no list gives an empty one.
+
+    Streams are not re-planned at run time, so events of a hot product are spread over ``salts``
+    partitions, each of which gets the list.
+    """
     empty = F.array().cast(recs.schema["recs"].dataType)
-    joined = ratings.join(recs, "productId", "left")
+    salted = ratings.withColumn("salt", F.pmod(F.xxhash64("userId", "timestamp"), F.lit(salts)).cast("int"))
+    copies = recs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = salted.join(copies, ["productId", "salt"], "left").drop("salt")
     return joined.withColumn("recs", F.coalesce("recs", empty))
 
 

@@ -86,6 +86,8 @@ def test_join_with_stored_lists(spark, tmp_path):
     joined = run(stream.join_recs(ratings_of(spark, source), recs), tmp_path, "joined")
     got = {r["productId"]: [tuple(x) for x in r["recs"]] for r in joined.collect()}
     assert got == {2: [(7, 0.9), (8, 0.5)], 99: []}
+    hot = spark.range(1000).selectExpr("CAST(id AS INT) userId", "2 productId", "1D score", "id timestamp")
+    assert stream.join_recs(hot, recs).where("size(recs) = 2").count() == 1000
 
 
 @pytest.mark.parametrize("capacity", [40, 3])
