@@ -149,10 +149,11 @@ def tag_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
     tagged = products.select(
         F.col("productId").alias("item"),
         F.array_sort(F.array_distinct(split_list(F.col("tags")))).alias("tags"),
-    )
-    groups = tagged.groupBy("tags").agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
+    ).withColumn("key", F.xxhash64("tags"))
+    same = ["key", "tags"]
+    groups = tagged.groupBy(*same).agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
     groups = stored(groups, "tag-sets")
     entries = stored(prefix_entries(weighted_tags(groups), threshold), "tag-entries")
     known = groups.join(entries.select(F.col("item").alias("rep")), "rep", "left_semi")
-    members = tagged.join(known, "tags").select("item", "rep")
+    members = tagged.join(known, same).select("item", "rep")
     return similarity(both_ways(tag_pairs(entries, threshold)), known, members)

@@ -131,7 +131,7 @@ def test_very_common_tags_bring_no_items_together(spark):
 @pytest.mark.parametrize("block_items", [2048, 7])
 @pytest.mark.parametrize("threshold", [0.4, -0.2])
 def test_vectors(spark, monkeypatch, block_items, threshold):
-    monkeypatch.setattr(vectors.unit_pairs, "__defaults__", (None, block_items))
+    monkeypatch.setattr(vectors.vector_pairs, "__defaults__", (None, block_items))
     generator = np.random.default_rng(2)
     data = {i: generator.normal(size=6) for i in range(60)}
     for i in range(60, 90):
