@@ -31,6 +31,7 @@ from .common import (
 BLOCK_ITEMS = 1024
 # A chunk hands on at most one count per pair of its two blocks, so about one per row it took in.
 CHUNK_ROWS = BLOCK_ITEMS**2
+BROADCAST_BLOCKS = 100_000
 EXPAND_AT_ONCE = 2_000_000
 
 
@@ -184,7 +185,9 @@ def common_rater_pairs(
         "rater-lists",
     )
     rows = lists.groupBy("block").agg(F.count("*").alias("rows"))
-    informed = lists.join(F.broadcast(rows), "block")  # one row per block
+    if blocks <= BROADCAST_BLOCKS:  # one small row per block
+        rows = F.broadcast(rows)
+    informed = lists.join(rows, "block")
     informed = informed.withColumn("info", F.struct("level", "rows")).drop("level", "rows")
     if blocks > LANE_BLOCKS:
         spread = lists.groupBy("feature").agg(F.count("*").alias("blocks"))

@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LIST = 20
 SHOWN = 6
 NOW_MILLIS = 1_556_436_808_000
+SHARDS = 4
 SEARCH = "widget|ring"
 
 QUERIES: dict[str, Query] = {}
@@ -479,8 +480,9 @@ def stream_rescore(spark, sf_dir):
     for arrival in (F.col("event_id") <= half, F.col("event_id") > half):
         log.where(arrival).select("value").write.mode("append").text(source)
         lines = stream.text_lines(spark, source)
-        ratings = stream.stamped(stream.parsed_ratings(stream.rating_messages(lines)))
-        stream.append_files(ratings, target, progress).awaitTermination()
+        parsed = stream.parsed_ratings(stream.rating_messages(lines))
+        ratings = sinks.sharded(stream.stamped(parsed), SHARDS)
+        stream.append_files(ratings, target, progress, partition_by="shard").awaitTermination()
         stored_ratings = spark.read.schema(ratings.schema).parquet(target)
         new = stored_ratings.where(F.col("ingestedAt") > since)
         lists = stream.rescore(stored_ratings.drop("ingestedAt"), similar, snapshot, new.drop("ingestedAt"))

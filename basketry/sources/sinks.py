@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -21,6 +22,23 @@ def overwrite_for_lookup(df: DataFrame, path: str, *keys: str, files: int | None
     df.repartitionByRange(*parts).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
+def sharded(df: DataFrame, shards: int, key: str = "userId") -> DataFrame:
+    """Adds ``shard``, a hash of the key, to partition a table by."""
+    return df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+
+
+def overwrite_sharded(df: DataFrame, path: str, *keys: str, files: int | None = None) -> None:
+    """Replace the table, one folder per shard, sorted by ``keys`` inside.
+
+    A join that includes the shard reads only the folders its other side needs. Ranges over shard
+    and keys let one hot key spread over several files.
+    """
+    order = ["shard", *keys]
+    parts = [files, *order] if files else order
+    ranged = df.repartitionByRange(*parts).sortWithinPartitions(*order)
+    ranged.write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
 def replace_rows(current: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """``current`` with every row whose key occurs in ``new`` replaced by the new rows."""
     kept = current.join(new.select(key), key, "left_anti")

@@ -103,7 +103,12 @@ def join_recs(ratings: DataFrame, recs: DataFrame, salts: int = 4) -> DataFrame:
 
 
 def append_files(
-    df: DataFrame, path: str, checkpoint: str, continuous: bool = False, name: str | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    continuous: bool = False,
+    name: str | None = None,
+    partition_by: str | None = None,
 ) -> StreamingQuery:
     """Appends the stream to parquet files, exactly once across restarts.
 
@@ -112,6 +117,8 @@ def append_files(
     writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     trigger = {"processingTime": INTERVAL} if continuous else {"availableNow": True}
     return writer.outputMode("append").trigger(**trigger).start(path)
 
@@ -198,9 +205,12 @@ def rescore(
     """The snapshot (userId, recs) with the lists of all users in ``new`` computed afresh.
 
     ``ratings`` is the whole rating table including ``new``. Doing it again changes nothing, so a
-    replayed batch is harmless.
+    replayed batch is harmless. If both carry ``shard``, the column the table is partitioned by, only
+    the shards of touched users are read.
     """
-    touched = new.select("userId").distinct()
-    history = ratings.join(touched, "userId", "left_semi")
+    both = set(ratings.columns) & set(new.columns)
+    keys = ["userId", *(["shard"] if "shard" in both else [])]
+    touched = new.select(*keys).distinct()
+    history = ratings.join(touched, keys, "left_semi").drop("shard")
     lists = stream_recs(history, similarity, events=new, **options)
     return replace_rows(snapshot, lists, "userId")

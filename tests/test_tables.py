@@ -56,6 +56,23 @@ def test_lookup_layout_splits_a_hot_user(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(userId), EqualTo(userId,7)]" in plan
 
 
+def test_sharded_table_reads_only_the_shards_it_needs(spark, tmp_path):
+    many = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("userId"),
+        F.col("id").cast("int").alias("productId"), F.lit(1.0).alias("score"), F.col("id").alias("timestamp"),
+    )
+    path = str(tmp_path / "t")
+    sinks.overwrite_sharded(sinks.sharded(many, 16), path, "userId", "productId", files=8)
+    back = spark.read.parquet(path)
+    assert back.count() == 3000 and back.select("shard").distinct().count() == 16
+    hot = back.where("userId = 7").select(F.input_file_name()).distinct().count()
+    assert hot > 1
+    asked = spark.createDataFrame([(7,), (8,)], "userId int").where("userId > 0")
+    found = back.join(sinks.sharded(asked, 16), ["userId", "shard"], "left_semi")
+    assert found.count() == many.where("userId in (7, 8)").count()
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_replace_rows(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "userId int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "userId int, v string")
