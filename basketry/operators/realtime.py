@@ -16,6 +16,17 @@ from basketry.operators.similarity import Similarity
 from basketry.session import stored
 
 
+# Users who can reach further than this into a similarity list are served from the whole list. Within
+# it Spark cuts each list in the map tasks already, as it does for limits up to 1,000.
+LIST_REACH = 500
+
+
+def _first(rows: DataFrame, key: str, rank: str, *order) -> DataFrame:
+    """The first entries of each key's list, numbered."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn(rank, place).where(F.col(rank) <= LIST_REACH)
+
+
 def candidate_products(
     events: DataFrame, ratings: DataFrame, similarity: Similarity, n: int = 20
 ) -> DataFrame:
@@ -23,7 +34,8 @@ def candidate_products(
     similar to it that the user has not rated. One event per user.
 
     A user with r ratings can lose at most r list entries to rated products, so only the first n + r
-    entries of a similarity list can matter; the join reads no further and stays exact.
+    entries of a similarity list can matter; the join reads no further and stays exact. Only users
+    with very many ratings read whole lists.
     """
     rated = ratings.select("userId", "productId").distinct()
     reach = ratings.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
@@ -32,22 +44,27 @@ def candidate_products(
         .join(reach, "userId", "left")
         .withColumn("reach", F.coalesce("reach", F.lit(n + 1)))
         .join(similarity.members, "item")
-        .withColumnRenamed("item", "rated")
+        .withColumnRenamed("item", "trigger")
     )
-    by_sim = Window.partitionBy("item").orderBy(F.desc("sim"), "other")
-    near = similarity.pairs.withColumn("group_rank", F.row_number().over(by_sim)).select(
-        F.col("item").alias("rep"), "other", "sim", "group_rank"
+    lists = similarity.pairs.withColumnRenamed("item", "rep")
+    members = similarity.members.select(
+        F.col("rep").alias("other"), F.col("item").alias("productId")
     )
-    in_group = Window.partitionBy("rep").orderBy("item")
-    member = similarity.members.withColumn("member_rank", F.row_number().over(in_group)).select(
-        F.col("rep").alias("other"), F.col("item").alias("productId"), "member_rank"
+    near = _first(lists, "rep", "group_rank", F.desc("sim"), F.asc("other"))
+    first = _first(members, "other", "member_rank", F.asc("productId"))
+    fields = ["userId", "trigger", "productId", "other", "sim"]
+    few = (
+        trigger.where(F.col("reach") <= LIST_REACH)
+        .join(near, "rep")
+        .where(F.col("group_rank") <= F.col("reach"))
+        .join(first, "other")
+        .where(F.col("member_rank") <= F.col("reach"))
     )
+    many = trigger.where(F.col("reach") > LIST_REACH).join(lists, "rep").join(members, "other")
     possible = (
-        trigger.join(near, "rep")
-        .where(F.col("group_rank") <= F.col("reach"))
-        .select("userId", "reach", "rated", "other", "sim")
-        .join(member, "other")
-        .where((F.col("member_rank") <= F.col("reach")) & (F.col("productId") != F.col("rated")))
+        few.select(fields)
+        .unionByName(many.select(fields))
+        .where(F.col("productId") != F.col("trigger"))
         .join(rated, ["userId", "productId"], "left_anti")
     )
     place = Window.partitionBy("userId").orderBy(F.desc("sim"), "productId")
