@@ -28,11 +28,12 @@ from .common import (
     task_count,
 )
 
-BLOCK_ITEMS = 1024
+BLOCK_ITEMS = 2048
 # A chunk hands on at most one count per pair of its two blocks, so about one per row it took in.
 CHUNK_ROWS = BLOCK_ITEMS**2
 BROADCAST_BLOCKS = 100_000
 EXPAND_AT_ONCE = 2_000_000
+STRIP_ROWS = 256
 
 
 class _Side:
@@ -108,18 +109,22 @@ class _Tile:
 
     def pairs(self, threshold: float) -> Iterator[pa.RecordBatch]:
         """Pairs over the threshold; every counted pair if the tile is one of several chunks."""
-        rows, columns = np.nonzero(self.common)
-        a, b = self.left.ids()[rows], self.right.ids()[columns]
-        common = self.common[rows, columns]
-        scale = np.sqrt(
-            np.array(self.left.raters, dtype=float)[rows]
-            * np.array(self.right.raters, dtype=float)[columns]
-        )
-        keep = a < b if self.diagonal else np.ones(len(a), dtype=bool)
-        if self.whole:
-            keep &= common / scale > threshold - SLACK
-        a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
-        yield from found_batches(a, b, common[keep], scale[keep])
+        ids_a, ids_b = self.left.ids(), self.right.ids()
+        raters_a = np.array(self.left.raters, dtype=float)
+        raters_b = np.array(self.right.raters, dtype=float)
+        for start in range(0, len(ids_a), STRIP_ROWS):
+            strip = slice(start, min(start + STRIP_ROWS, len(ids_a)))
+            common = self.common[strip, : len(ids_b)]
+            scale = np.sqrt(raters_a[strip, None] * raters_b[None, :])
+            keep = common > ((threshold - SLACK) * scale if self.whole else 0.0)
+            keep &= common > 0
+            if self.diagonal:
+                keep &= ids_a[strip, None] < ids_b[None, :]
+            rows, columns = np.nonzero(keep)
+            a, b = ids_a[start + rows], ids_b[columns]
+            yield from found_batches(
+                np.minimum(a, b), np.maximum(a, b), common[rows, columns], scale[rows, columns]
+            )
 
 
 def _kernel(threshold: float):
