@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import token_files
+from basketry.llm import chat, mixing, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +25,74 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_token_files(spark, sf_dir):
     return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_chat(spark, sf_dir):
+    own = spark.createDataFrame(
+        [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.chat_digests(given.unionByName(own))
+
+
+CHECKS["op9_chat"] = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed AS (
+  SELECT *, row_number() OVER w - 1 AS place, coalesce(lag(role) OVER w, 'start') AS before
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), marked AS (
+  SELECT *,
+    CASE role WHEN 'system' THEN 8 + 10 WHEN 'user' THEN 7 + 9 WHEN 'assistant' THEN 4 + 6
+      ELSE 8 + length(role) + 9 + length(regexp_replace(role, '[^<\\[\\\\]', '', 'g')) END AS marks,
+    length(text) + length(regexp_replace(text, '[^<\\[\\\\]', '', 'g')) AS chars,
+    before || '>' || role IN
+      ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS allowed
+  FROM placed
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(marks + chars) AS BIGINT) AS formatted_chars,
+  bool_and(allowed) AS valid, min(place) FILTER (NOT allowed) AS first_error
+FROM marked GROUP BY conv_id"""
+
+
+@query
+def op10_mixing(spark, sf_dir):
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+CHECKS["op10_mixing"] = """
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS position
+  FROM sized GROUP BY source
+), capped AS (
+  SELECT *, [5.0, 2.0, 1.0][CAST((position - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap,
+    1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE AS total
+  FROM sources
+), shared AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY cap / weight, position ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+    row_number() OVER (ORDER BY cap / weight, position) AS rank
+  FROM capped
+), goals AS (
+  SELECT source, source_size,
+    least(cap, weight * coalesce((SELECT arg_min(level, rank) FROM shared WHERE level * weight < cap), 'inf'::DOUBLE)) AS target,
+    CAST('0x' || substr(md5('7:' || coalesce('=' || source, 'null')), 1, 5) AS BIGINT) / 1048576.0::DOUBLE AS u
+  FROM shared
+), ranked AS (
+  SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    row_number() OVER (PARTITION BY s.source ORDER BY size, doc_id) AS r
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (floor(u + rate * r) - floor(u + rate * (r - 1))) AS BIGINT) AS taken
+FROM ranked"""
