@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import chat, mixing, token_files
+from basketry.llm import chat, license_scan, mixing, secret_scan, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,13 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
   CAST(size * (floor(u + rate * r) - floor(u + rate * (r - 1))) AS BIGINT) AS taken
 FROM ranked"""
+
+
+@query
+def op3_secrets(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_licenses(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
