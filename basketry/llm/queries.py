@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import chat, license_scan, mixing, secret_scan, token_files
+from basketry.llm import chat, license_scan, mixing, quality_rules, ranking, secret_scan, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,3 +106,14 @@ def op3_secrets(spark, sf_dir):
 @query
 def op7_licenses(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), quality_rules.trusted_ids(labels))
+
+
+@query
+def op8_quality_ranking(spark, sf_dir):
+    return ranking.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
