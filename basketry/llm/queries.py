@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import chat, license_scan, mixing, quality_rules, ranking, secret_scan, token_files
+from basketry.llm import chat, license_scan, mixing, near_dup, quality_rules, ranking, secret_scan, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +117,30 @@ def op5_quality_rules(spark, sf_dir):
 @query
 def op8_quality_ranking(spark, sf_dir):
     return ranking.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_near_duplicates(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+
+
+CHECKS["op2_near_duplicates"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b USING (shingle) GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared s JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * s.n >= 85 * (a.n + b.n - s.n)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+), classes AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN classes c ON c.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
