@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from basketry.llm.words import SEPARATOR, Hasher, Slice, lowered, runs, text_slices
 from basketry.session import fresh_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,9 +44,8 @@ SAMPLE_IDS = 4096
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
-# Ids of words met before are kept by each Python worker, for so many words.
-KNOWN_WORDS = 400_000
-TAIL = b".,|!?;:"
+# Each Python worker keeps the ids of so many pieces, some 30 bytes each, then starts over.
+KNOWN_PIECES = 2_000_000
 
 FRAMES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("seq", pa.int64()), ("frame", pa.binary())])
 BLOCKS = pa.schema(
@@ -74,13 +74,57 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Known:
+    """Id lists by 64-bit hash: sorted keys with places in a pool, and a smaller sorted part for new ones."""
+
+    def __init__(self, width: str):
+        self.pool = np.zeros(1 << 16, width)
+        self.used = 0
+        self.parts = [self._empty(), self._empty()]
+
+    @staticmethod
+    def _empty() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return sum(len(p[0]) for p in self.parts)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and length by key; length -1 for unknown ones."""
+        places, lengths = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
+        for known, place, length in self.parts:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                places[hit], lengths[hit] = place[at[hit]], length[at[hit]]
+        return places, lengths
+
+    def add(self, keys: np.ndarray, lists: list[np.ndarray]) -> None:
+        """New keys in ascending order with their ids."""
+        lengths = np.array([len(x) for x in lists], np.int64)
+        total = int(lengths.sum())
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + total] = np.concatenate(lists)
+        places = self.used + np.cumsum(lengths) - lengths
+        self.used += total
+        self.parts[1] = self._merged(self.parts[1], (keys, places, lengths))
+        if 8 * len(self.parts[1][0]) > len(self.parts[0][0]):
+            self.parts = [self._merged(*self.parts), self._empty()]
+
+    @staticmethod
+    def _merged(old: tuple, new: tuple) -> tuple:
+        order = np.argsort(np.concatenate([old[0], new[0]]), kind="stable")
+        return tuple(np.concatenate(x)[order] for x in zip(old, new, strict=True))
+
+
 class Encoder:
     """Ids of texts as little-endian arrays; equal to encoding each text at once.
 
-    The tokenizer drops white space and never joins letters across it, so a text's ids are those of
-    its words in turn. Words are looked up; new ones go to the tokenizer in one call a batch. A-Z are
-    lower-cased before, as the tokenizer's own normaliser does, except in texts where a special
-    token's string might be meant.
+    The tokenizer drops white space and looks at runs of letters, single digits and runs of other
+    signs one by one, so a text's ids are those of its pieces in turn. Pieces are looked up by hash;
+    new ones go to the tokenizer together. A-Z are lower-cased before, as the tokenizer's own
+    normaliser does. A text that might hold a special token's string goes to it whole.
     """
 
     def __init__(self, path: str):
@@ -88,7 +132,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
+        self.hasher = Hasher()
+        self.known = Known(self.width)
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -98,45 +143,75 @@ class Encoder:
             held.encoder, held.encoder_path = cls(path), path
         return held.encoder
 
-    def _learn(self, new: list[bytes], known: dict[bytes, bytes]) -> None:
-        cores: dict[bytes, bytes] = {}
-        whole = []
-        for word in new:
-            core = word.rstrip(TAIL)
-            # Letters and a run of punctuation after them are always separate pieces.
-            if len(core) < len(word) and core[-1:].isalnum():
-                cores[word] = core
-            else:
-                whole.append(word)
-        parts = {x for word, core in cores.items() for x in (core, word[len(core) :])}
-        missing = list({*whole, *(x for x in parts if x not in known)})
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        for word, encoding in zip(missing, found, strict=True):
-            known[word] = np.array(encoding.ids, self.width).tobytes()
-        for word, core in cores.items():
-            known[word] = known[core] + known[word[len(core) :]]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
-        known = self.known
-        if len(known) + len(new) > KNOWN_WORDS:  # words past the bound are kept for this call only
-            known = {w: known[w] for words in split for w in words if w in known}
-        if new:
-            self._learn(list(new), known)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-
-def chunks(texts: list, size: int) -> Iterator[range]:
-    """Ranges of rows with about so many bytes; a longer text is a range of its own."""
-    first = total = 0
-    for i, t in enumerate(texts):
-        total += len(t)
-        if total >= size:
-            yield range(first, i + 1)
-            first, total = i + 1, 0
-    if first < len(texts):
-        yield range(first, len(texts))
+    def _encoded(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of single pieces. Words of letters alone go many to a call and are told apart again."""
+        texts = [w.decode() for w in words]
+        found: list = [None] * len(words)
+        letters = [i for i, t in enumerate(texts) if t.isalpha()]
+        lines = [letters[i : i + 256] for i in range(0, len(letters), 256)]
+        encoded = self.tokenizer.encode_batch([" ".join([texts[i] for i in x]) for x in lines], add_special_tokens=False)
+        for line, encoding in zip(lines, encoded, strict=True):
+            ids = np.array(encoding.ids, self.width)
+            starts = np.flatnonzero(np.diff(np.array(encoding.word_ids, np.int64), prepend=-1)).tolist()
+            if len(starts) == len(line):
+                for i, start, end in zip(line, starts, [*starts[1:], len(ids)], strict=True):
+                    found[i] = ids[start:end]
+        rest = [i for i, x in enumerate(found) if x is None]
+        for i, encoding in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
+            found[i] = np.array(encoding.ids, self.width)
+        return found
+
+    def encode(self, piece: Slice) -> list[np.ndarray]:
+        """The ids of every row of a slice."""
+        row, start, end = pieces(piece)
+        data = lowered(piece.data)
+        keys, first, which = np.unique(self.hasher.ranges(data, start, end), return_index=True, return_inverse=True)
+        places, lengths = self.known.find(keys)
+        new = np.flatnonzero(lengths < 0)
+        if len(self.known) + len(new) > KNOWN_PIECES:
+            self.known = Known(self.width)
+            new = np.arange(len(keys))
+        if len(new):
+            raw = data.tobytes()
+            spans = zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)
+            self.known.add(keys[new], self._encoded([raw[a:b] for a, b in spans]))
+            places, lengths = self.known.find(keys)
+        lengths = lengths[which]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.known.pool[np.repeat(places[which] - (ends - lengths), lengths) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(piece.last - piece.first + 1))]
+        found = [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
+        mark = np.flatnonzero((piece.data[:-1] == ord("<")) & (piece.data[1:] == ord("|")))
+        at = piece.offsets - piece.offsets[0]
+        for i in np.unique(np.searchsorted(at, mark, "right") - 1).tolist():
+            text = piece.data[at[i] : at[i + 1]].tobytes().decode()
+            found[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
+        return found
+
+
+# Bytes of ASCII letters and digits (1) and of ASCII signs but the apostrophe (2).
+SIDE = np.zeros(256, np.uint8)
+SIDE[list(range(33, 127))] = 2
+SIDE[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+SIDE[ord("'")] = 0
+
+
+def pieces(piece: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of what the tokenizer can be given alone.
+
+    Words are cut between a letter or digit and a sign; not beside an apostrophe, which may begin a
+    contraction, nor beside other characters than ASCII and Latin-1 letters, which may join either.
+    """
+    data = piece.data
+    side = SIDE[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    side[lead] = side[lead + 1] = 1
+    cut = np.flatnonzero((side[:-1] + side[1:] == 3) & (side[:-1] * side[1:] == 2)) + 1
+    offsets = piece.offsets - piece.offsets[0]
+    _, start, end = runs(~SEPARATOR[data], np.unique(np.concatenate([offsets, cut])))
+    return np.searchsorted(offsets, start, "right") - 1, start, end
 
 
 def id_batches(path: str, end_id: int):
@@ -144,12 +219,11 @@ def id_batches(path: str, end_id: int):
 
     def run(batches):
         encoder = Encoder.of_worker(path)
-        end = np.array([end_id], encoder.width).tobytes()
+        end = np.array([end_id], encoder.width)
         for rows in batches:
-            ids = rows.column(0)
-            texts = [b"" if t is None else t for t in rows.column(1).cast(pa.binary()).to_pylist()]
-            for part in chunks(texts, 1 << 21):
-                yield ids.slice(part.start, len(part)), [x + end for x in encoder.encode(texts[part.start : part.stop])], encoder.width
+            for piece in text_slices(rows.column(1)):
+                ids = [np.concatenate([x, end]).tobytes() for x in encoder.encode(piece)]
+                yield rows.column(0).slice(piece.first, len(ids)), ids, encoder.width
 
     return run
 
