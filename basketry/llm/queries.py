@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.llm import chat, license_scan, mixing, near_dup, quality_rules, ranking, secret_scan, token_files
 
@@ -29,9 +30,11 @@ def op1_token_files(spark, sf_dir):
 
 @query
 def op9_chat(spark, sf_dir):
-    own = spark.createDataFrame(
-        [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))],
-        "conv_id bigint, turn bigint, role string, text string",
+    own = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_digests(given.unionByName(own))
