@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, license_scan, mixing, near_dup, quality_rules, ranking, secret_scan, token_files
+from basketry.llm import backoff, chat, license_scan, mixing, near_dup, quality_rules, ranking, secret_scan, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,3 +147,34 @@ shared AS (
 ), classes AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN classes c ON c.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
+
+
+@query
+def op6_backoff(spark, sf_dir):
+    found = backoff.scores(table(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.round("score", 6))
+
+
+CHECKS["op6_backoff"] = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM texts),
+frequent AS (
+  SELECT word FROM words GROUP BY word HAVING count(*) >= 2e-6::DOUBLE * (SELECT count(*) FROM words)
+), classes AS (
+  SELECT r, pos, coalesce(f.word, chr(1)) AS c FROM words w LEFT JOIN frequent f ON w.word = f.word
+), singles AS (SELECT c, count(*)::DOUBLE AS n FROM classes GROUP BY c),
+pairs AS (SELECT a.r, a.c AS x, b.c AS y FROM classes a JOIN classes b ON a.r = b.r AND b.pos = a.pos + 1),
+counts AS (SELECT x, y, count(*)::DOUBLE AS n FROM pairs GROUP BY ALL HAVING count(*) >= 2),
+scored AS (
+  SELECT r, CASE WHEN p.n IS NOT NULL THEN log10(p.n) - log10(a.n)
+    ELSE log10(0.4::DOUBLE * b.n / (SELECT count(*) FROM words)) END AS s, p.n IS NULL AS missed
+  FROM pairs JOIN singles a ON a.c = x JOIN singles b ON b.c = y LEFT JOIN counts p USING (x, y)
+  UNION ALL
+  SELECT r, log10(n / (SELECT count(*) FROM words)), false FROM classes JOIN singles USING (c) WHERE pos = 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(round(sum(s), 6), 0) AS score,
+  CAST(coalesce(sum(CASE WHEN missed THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_backoff
+FROM texts LEFT JOIN scored USING (r) GROUP BY r, doc_id, w"""
