@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import backoff, chat, license_scan, mixing, near_dup, quality_rules, ranking, secret_scan, token_files
+from basketry.llm import (
+    backoff,
+    chat,
+    decontaminate,
+    license_scan,
+    mixing,
+    near_dup,
+    quality_rules,
+    ranking,
+    secret_scan,
+    token_files,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -178,3 +189,9 @@ scored AS (
 SELECT doc_id, len(w) AS n_words, coalesce(round(sum(s), 6), 0) AS score,
   CAST(coalesce(sum(CASE WHEN missed THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_backoff
 FROM texts LEFT JOIN scored USING (r) GROUP BY r, doc_id, w"""
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("node")
