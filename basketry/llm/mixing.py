@@ -14,8 +14,6 @@ travel along.
 
 from __future__ import annotations
 
-import uuid
-
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -34,8 +32,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 def sizes(documents: DataFrame) -> DataFrame:
     """doc_id, source, size in words, and a hash of the whole row."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    plain = [c for c, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
-    return documents.select("doc_id", "source", size, F.xxhash64(*plain).alias("row_hash"))
+    return documents.select("doc_id", "source", size, F.xxhash64(*hashed_columns(documents)).alias("row_hash"))
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
@@ -120,18 +117,33 @@ def copies(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
 def mixed(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The mix itself: every document as often as it was emitted, with all its columns."""
     plan = copies(documents, weights, share, most, seed)
-    # Equal rows are interchangeable: their copies are added up and one of them is repeated.
-    keys = {f"{c}_{uuid.uuid4().hex[:8]}": c for c in ("doc_id", "row_hash")}
-    taken = plan.groupBy(*[F.col(c).alias(k) for k, c in keys.items()]).agg(F.sum("copies").alias("copies"))
-    taken = taken.where("copies > 0")
-    plain = [c for c, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
-    of_row = F.xxhash64(*plain)
-    id_key, hash_key = keys
-    named = documents.withColumn("row hash of the mix", of_row)
-    held = named.dropDuplicates(["doc_id", "row hash of the mix"])
-    joined = held.join(taken, held["doc_id"].eqNullSafe(taken[id_key]) & (held["row hash of the mix"] == taken[hash_key]))
-    repeated = joined.withColumn("copy of the mix", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return repeated.select(*documents.columns)
+    id_key, hash_key, n = (f"{c} of the mix" for c in ("doc_id", "row_hash", "copies"))
+    # Rows that are equal in all columns are interchangeable: one of them is repeated.
+    taken = plan.groupBy(F.col("doc_id").alias(id_key), F.col("row_hash").alias(hash_key)).agg(
+        F.sum("copies").alias(n), F.count("*").alias("rows of the mix")
+    )
+    taken = stored(taken.where(F.col(n) > 0), "taken")
+    hashed = documents.withColumn("hash of the mix", F.xxhash64(*hashed_columns(documents)))
+
+    def repeated(part: DataFrame, rows: DataFrame) -> DataFrame:
+        same = rows["doc_id"].eqNullSafe(part[id_key]) & (rows["hash of the mix"] == part[hash_key])
+        joined = rows.join(part.hint("shuffle_hash"), same)
+        copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias("copy of the mix")
+        return joined.select(*[rows[c] for c in documents.columns], copy).drop("copy of the mix")
+
+    single = F.col("rows of the mix") == 1
+    mix = repeated(taken.where(single), hashed)
+    if not taken.where(~single).isEmpty():
+        some = taken.where(~single)
+        same = hashed["doc_id"].eqNullSafe(some[id_key]) & (hashed["hash of the mix"] == some[hash_key])
+        once = hashed.join(some.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", "hash of the mix"])
+        mix = mix.unionByName(repeated(some, once))
+    return mix
+
+
+def hashed_columns(documents: DataFrame) -> list[str]:
+    """Columns that Spark can hash."""
+    return [c for c, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
 
 
 def mix_report(documents: DataFrame) -> DataFrame:

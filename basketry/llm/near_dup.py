@@ -294,6 +294,24 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def deduplicated(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of each class, with all its columns; rows that are linked with nothing all stay."""
+    found = near_duplicates(documents, percent).where("kept")
+    kept = stored(found.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.count("*").alias("rows")), "kept")
+    name = f"row of {kept.columns[0]} {SEED}"
+    named = documents.withColumn(name, row_key(F.col("doc_id"), F.col("text")))
+    once = (F.col("rows") == 1) | (F.col("n_shingles") == 0)
+
+    def chosen(which: Column) -> DataFrame:
+        nodes = kept.where(which).select(F.col("node").alias(name))
+        return named.join(nodes.hint("shuffle_hash"), name, "left_semi")
+
+    rows = chosen(once)
+    if not kept.where(~once).isEmpty():
+        rows = rows.unionByName(chosen(~once).dropDuplicates([name]))
+    return rows.drop(name)
+
+
 def across_parts(split: DataFrame, found: DataFrame) -> DataFrame | None:
     """Groups that compare, within a hub of several parts, its unconnected classes with every part."""
     classes = split.join(found, "node", "left").withColumn("class", F.coalesce("root", "node"))
