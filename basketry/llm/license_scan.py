@@ -181,8 +181,9 @@ FOUND_DDL = (
 def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """One row a document with its phrase places, labels and score."""
     automata = {label: compile_template(text) for label, text in templates.items()}
-    # A word that every match holds is looked for first; without one the words are always gone through.
-    needed = {max(p.split(), key=len).encode() for p in phrases} | {anchor(t) for t in templates.values()}
+    # Words that every match holds are looked for first, the longest before the others.
+    needed = {tuple(sorted({w.encode() for w in p.split()}, key=len, reverse=True)) for p in phrases}
+    needed |= {mandatory(t) for t in templates.values()}
 
     def run(batches):
         for rows in batches:
@@ -198,7 +199,7 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: d
                 at = piece.offsets - piece.offsets[0]
                 for i in range(n):
                     content = raw[at[i] : at[i + 1]]
-                    if b"" not in needed and not any(w in content for w in needed):
+                    if not any(all(w in content for w in words) for words in needed):
                         continue
                     base, matched = finds(WORD.findall(content.decode()), automata, phrases)
                     if not base and not matched:
@@ -217,11 +218,11 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: d
     return documents.select("doc_id", "text").mapInArrow(run, FOUND_DDL)
 
 
-def anchor(template: str) -> bytes:
-    """The longest mandatory word of a template."""
-    depth, words = 0, [""]
+def mandatory(template: str) -> tuple[bytes, ...]:
+    """The distinct mandatory words of a template, longest first."""
+    depth, words = 0, set()
     for token in TOKEN.findall(template.lower()):
         depth += (token == "[[") - (token == "]]")
         if not depth and token != "]]" and not token.startswith("{{"):
-            words.append(token)
-    return max(words, key=len).encode()
+            words.update(w.encode() for w in WORD.findall(token))
+    return tuple(sorted(words, key=lambda w: (-len(w), w)))
