@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.bitmaps import bitmap, passes
 from basketry.llm.words import SEPARATOR, Hasher, Slice, Words, batch, mixed, per_row, space_words, text_slices, windows
+from basketry.session import stored
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.2
@@ -27,6 +29,9 @@ WINDOW = 8
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 
 
+COUNTS = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
+
+
 def row_sums(inside: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many of each row's bytes are marked."""
     total = np.zeros(len(inside) + 1, np.int64)
@@ -87,7 +92,6 @@ def gram_buckets(piece: Slice, hasher: Hasher, buckets: int) -> tuple[np.ndarray
 
 def gram_counts(documents: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """bucket, n: counts over all texts, added up in every task before the shuffle."""
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 
     def run(batches):
         hasher, counts = Hasher(), np.zeros(buckets, np.int64)
@@ -95,16 +99,52 @@ def gram_counts(documents: DataFrame, buckets: int = BUCKETS) -> DataFrame:
             for piece in text_slices(rows.column(0)):
                 counts += np.bincount(gram_buckets(piece, hasher, buckets)[1], minlength=buckets)
         used = np.flatnonzero(counts)
-        yield batch(schema, used, counts[used])
+        yield batch(COUNTS, used, counts[used])
 
     return documents.select("text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
+def trusted_counts(documents: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """bucket, n: counts over the texts of trusted documents.
+
+    Tasks count each document that a bitmap of the trusted ids lets through; those counts, not the
+    texts, are shuffled to the join with the ids, which decides.
+    """
+    ids = stored(trusted.select("doc_id").where("doc_id IS NOT NULL").distinct(), "trusted")
+    key = F.xxhash64("doc_id").alias("key")
+    mask = documents.sparkSession.sparkContext.broadcast(bitmap(ids.select(key), "key"))
+    schema = pa.schema([("doc_id", pa.int64()), ("grams", pa.binary())])
+    width = "<u2" if buckets <= 1 << 16 else "<u4"
+
+    def send(batches):
+        hasher = Hasher()
+        for rows in batches:
+            chosen = rows.filter(pa.array(passes(mask.value, rows.column(1).to_numpy())))
+            for piece in text_slices(chosen.column(2)):
+                n = piece.last - piece.first
+                row, bucket = gram_buckets(piece, hasher, buckets)
+                order = np.lexsort((bucket, row))
+                ends = np.cumsum(per_row(row, n)).tolist()
+                sent = bucket[order].astype(width)
+                grams = [sent[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                yield batch(schema, chosen.column(0).slice(piece.first, n).cast(pa.int64()), grams)
+
+    def add(batches):
+        counts = np.zeros(buckets, np.int64)
+        for rows in batches:
+            grams = b"".join(rows.column(0).to_pylist())
+            counts += np.bincount(np.frombuffer(grams, width), minlength=buckets)
+        used = np.flatnonzero(counts)
+        yield batch(COUNTS, used, counts[used])
+
+    sent = documents.select("doc_id", key, "text").mapInArrow(send, "doc_id bigint, grams binary")
+    target = sent.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select("grams")
+    return target.mapInArrow(add, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
 def log_ratios(documents: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """log p(trusted) - log p(raw) by bucket, one added to every count. At most ``buckets`` rows are collected."""
-    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    target = documents.join(ids, "doc_id", "left_semi")
-    both = gram_counts(target, buckets).withColumnRenamed("n", "target").join(
+    both = trusted_counts(documents, trusted, buckets).withColumnRenamed("n", "target").join(
         gram_counts(documents, buckets).withColumnRenamed("n", "raw"), "bucket", "full_outer"
     )
     counts = np.zeros((2, buckets))
