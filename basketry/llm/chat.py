@@ -24,6 +24,8 @@ from basketry.session import stored
 # Escapes: every control string starts with one of these characters.
 ESCAPE = "\\"
 ESCAPED = {"<": "\\l", "[": "\\b"}
+# In role names also the sign that ends their mark.
+ESCAPED_IN_ROLES = ESCAPED | {">": "\\g"}
 
 
 @dataclass(frozen=True)
@@ -66,9 +68,9 @@ TEMPLATE = Template(
 )
 
 
-def escaped(text: Column) -> Column:
+def escaped(text: Column, codes: dict[str, str] = ESCAPED) -> Column:
     text = F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE * 2))
-    for plain, code in ESCAPED.items():
+    for plain, code in codes.items():
         text = F.replace(text, F.lit(plain), F.lit(code))
     return text
 
@@ -77,7 +79,7 @@ def unescaped(text: Column) -> Column:
     """Reads escapes from the left: doubled escape signs first, the others between them."""
 
     def piece(part: Column) -> Column:
-        for plain, code in ESCAPED.items():
+        for plain, code in ESCAPED_IN_ROLES.items():
             part = F.replace(part, F.lit(code), F.lit(plain))
         return part
 
@@ -94,7 +96,7 @@ def _by_role(role: Column, values: dict[str, object], other: Column) -> Column:
 def formatted(conversations: DataFrame, template: Template = TEMPLATE) -> DataFrame:
     """conv_id, formatted text, segments (text, loss) whose texts in turn are that text, first_error."""
     role, text = F.coalesce("role", F.lit("")), escaped(F.coalesce("text", F.lit("")))
-    named = F.replace(F.lit(template.other.opening), F.lit("{role}"), escaped(role))
+    named = F.replace(F.lit(template.other.opening), F.lit("{role}"), escaped(role, ESCAPED_IN_ROLES))
     marks = template.turns
     rows = conversations.select(
         "conv_id",

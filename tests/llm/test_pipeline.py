@@ -1,0 +1,33 @@
+from helpers import nothing, odd
+
+import corpus_pipeline as pipeline
+
+
+def stages(spark, docs, sf_dir):
+    found = []
+    for _, stage in pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.schema.simpleString() == docs.schema.simpleString()
+        docs = spark.createDataFrame(kept.collect(), kept.schema)
+        found.append(docs)
+    found.append(pipeline.STAGES[-1][1](spark, docs, sf_dir))
+    return found
+
+
+def test_stages_on_given_documents(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    good, single, clean, mix, tokens = stages(spark, docs, small)
+    assert docs.count() >= good.count() >= single.count() >= clean.count() > 0
+    assert single.select("doc_id").distinct().count() == single.count()
+    assert mix.join(clean, "doc_id", "left_anti").isEmpty()
+    assert tokens.count() == mix.count()
+    got = pipeline.run(spark, small).select("doc_id", "n_tokens", "ids_crc32").orderBy("doc_id").collect()
+    assert got == tokens.select("doc_id", "n_tokens", "ids_crc32").orderBy("doc_id").collect()
+
+
+def test_odd_and_empty_documents(spark, small):
+    *_, tokens = stages(spark, odd(spark), small)
+    assert tokens.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    tokens.collect()
+    *_, none = stages(spark, nothing(spark), small)
+    assert none.collect() == []
