@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from basketry.llm.words import unused
 from basketry.session import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -117,26 +118,28 @@ def copies(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
 def mixed(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The mix itself: every document as often as it was emitted, with all its columns."""
     plan = copies(documents, weights, share, most, seed)
-    id_key, hash_key, n = (f"{c} of the mix" for c in ("doc_id", "row_hash", "copies"))
+    id_key, hash_key, n, equal, own, copy = (
+        unused(documents.columns, f"mix_{c}") for c in ("doc_id", "row_hash", "copies", "equal_rows", "own_hash", "copy")
+    )
     # Rows that are equal in all columns are interchangeable: one of them is repeated.
     taken = plan.groupBy(F.col("doc_id").alias(id_key), F.col("row_hash").alias(hash_key)).agg(
-        F.sum("copies").alias(n), F.count("*").alias("rows of the mix")
+        F.sum("copies").alias(n), F.count("*").alias(equal)
     )
     taken = stored(taken.where(F.col(n) > 0), "taken")
-    hashed = documents.withColumn("hash of the mix", F.xxhash64(*hashed_columns(documents)))
+    hashed = documents.withColumn(own, F.xxhash64(*hashed_columns(documents)))
 
     def repeated(part: DataFrame, rows: DataFrame) -> DataFrame:
-        same = rows["doc_id"].eqNullSafe(part[id_key]) & (rows["hash of the mix"] == part[hash_key])
+        same = rows["doc_id"].eqNullSafe(part[id_key]) & (rows[own] == part[hash_key])
         joined = rows.join(part.hint("shuffle_hash"), same)
-        copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias("copy of the mix")
-        return joined.select(*[rows[c] for c in documents.columns], copy).drop("copy of the mix")
+        times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias(copy)
+        return joined.select(*[rows[c] for c in documents.columns], times).drop(copy)
 
-    single = F.col("rows of the mix") == 1
+    single = F.col(equal) == 1
     mix = repeated(taken.where(single), hashed)
     if not taken.where(~single).isEmpty():
         some = taken.where(~single)
-        same = hashed["doc_id"].eqNullSafe(some[id_key]) & (hashed["hash of the mix"] == some[hash_key])
-        once = hashed.join(some.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", "hash of the mix"])
+        same = hashed["doc_id"].eqNullSafe(some[id_key]) & (hashed[own] == some[hash_key])
+        once = hashed.join(some.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", own])
         mix = mix.unionByName(repeated(some, once))
     return mix
 

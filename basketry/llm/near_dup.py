@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.words import Hasher, Slice, mixed, per_row, space_words, text_slices, windows
+from basketry.llm.words import Hasher, Slice, mixed, per_row, space_words, text_slices, unused, windows
 from basketry.session import stored
 
 SHINGLE = 5
@@ -180,8 +180,8 @@ class Part:
 def confirm_task(percent: int):
     """Task: groups of (hub, part, node, text, class, pivot) to links between classes not yet connected.
 
-    Pivots are compared with all. A group without pivots is a hub's first comparison: the hub comes
-    first, then whoever is not connected with it.
+    Pivots are compared with all. Groups without known classes are a hub's first comparison: the hub
+    comes first, then whoever is not connected with it.
     """
     links = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -197,10 +197,10 @@ def confirm_task(percent: int):
             def compare(i: int, rows=rows, part=part, found=found) -> None:
                 found += [(rows[i][2], rows[j][2]) for j in part.similar(i) if part.join(i, int(j))]
 
-            pivots = [i for i, r in enumerate(rows) if r[5]]
-            if pivots:
-                for i in pivots:
-                    compare(i)
+            if rows[0][4] is not None:
+                for i, r in enumerate(rows):
+                    if r[5]:
+                        compare(i)
             else:
                 hub = next(i for i, r in enumerate(rows) if r[2] == r[0])
                 compare(hub)
@@ -298,7 +298,7 @@ def deduplicated(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row of each class, with all its columns; rows that are linked with nothing all stay."""
     found = near_duplicates(documents, percent).where("kept")
     kept = stored(found.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.count("*").alias("rows")), "kept")
-    name = f"row of {kept.columns[0]} {SEED}"
+    name = unused([*documents.columns, "rows", "n_shingles"], "row_name")
     named = documents.withColumn(name, row_key(F.col("doc_id"), F.col("text")))
     once = (F.col("rows") == 1) | (F.col("n_shingles") == 0)
 

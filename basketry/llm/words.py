@@ -137,9 +137,12 @@ def per_row(row: np.ndarray, rows: int) -> np.ndarray:
     return np.bincount(row, minlength=rows)[:rows] if len(row) else np.zeros(rows, np.int64)
 
 
-def mapped(df, task, schema: str):
-    """The task over whole record batches, as Spark deals them."""
-    return df.mapInArrow(task, schema)
+def unused(columns: list[str], name: str) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -4,7 +4,7 @@ import re
 
 DDL = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, node string, size int, copies int, "
-    "score double, row_hash string, kept boolean, `hash of the mix` int"
+    "score double, row_hash string, kept boolean, mix_own_hash int, row_name string"
 )
 LONG = " ".join(f"wörd{i % 997} and{i % 13}." for i in range(30_000))
 
@@ -25,7 +25,7 @@ def odd_rows() -> list[tuple]:
         (9, "another text under the same id", "c"),
         (10, "!!! ### ||| ...", "z"),
     ]
-    return [(d, t, "en", s, None, "n", 1, 2, 0.5, "h", True, i) for i, (d, t, s) in enumerate(texts)]
+    return [(d, t, "en", s, None, "n", 1, 2, 0.5, "h", True, i, "r") for i, (d, t, s) in enumerate(texts)]
 
 
 def odd(spark):
