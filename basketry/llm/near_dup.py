@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.bitmaps import bitmap, passes
 from basketry.llm.words import Hasher, Slice, mixed, per_row, space_words, text_slices, unused, windows
 from basketry.session import stored
 
@@ -213,11 +214,25 @@ def confirm_task(percent: int):
     return run
 
 
+def texts_of(documents: DataFrame, groups: DataFrame) -> DataFrame:
+    """node, text of the rows that a bitmap of the groups' nodes lets through; only these are shuffled."""
+    key = F.xxhash64("node").alias("key")
+    mask = documents.sparkSession.sparkContext.broadcast(bitmap(groups.select(key), "key"))
+
+    def run(batches):
+        for rows in batches:
+            chosen = rows.filter(pa.array(passes(mask.value, rows.column(1).to_numpy())))
+            yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(2)], names=["node", "text"])
+
+    named = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("node"), "text")
+    return named.select("node", key, "text").mapInArrow(run, "node binary, text string")
+
+
 def confirmed(groups: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) within groups (hub, part, node, class, pivot), on full sets."""
-    texts = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("node"), "text")
+    groups = stored(groups, "groups")
     # The groups' side of a partition is small; the texts need no sort.
-    with_text = texts.join(groups.hint("shuffle_hash"), "node").select("hub", "part", "node", "text", "class", "pivot")
+    with_text = texts_of(documents, groups).join(groups.hint("shuffle_hash"), "node").select("hub", "part", "node", "text", "class", "pivot")
     dealt = with_text.repartition("hub", "part").sortWithinPartitions("hub", "part", "node")
     return dealt.mapInArrow(confirm_task(percent), "a binary, b binary")
 
