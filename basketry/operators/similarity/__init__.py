@@ -6,7 +6,7 @@ with the very same content are computed once, as one representative.
 """
 
 from .common import Similarity, kept
-from .lists import as_map, as_recs, from_pairs, sim_of, top_similar
+from .lists import as_map, as_recs, from_pairs, sim_between, sim_of, top_similar, whole_lists
 from .raters import rater_similarity
 from .tags import tag_similarity
 from .vectors import vector_similarity
@@ -18,8 +18,10 @@ __all__ = [
     "from_pairs",
     "kept",
     "rater_similarity",
+    "sim_between",
     "sim_of",
     "tag_similarity",
     "top_similar",
     "vector_similarity",
+    "whole_lists",
 ]

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.session import stored
@@ -159,16 +158,15 @@ def _placed(items: DataFrame, block_items: int) -> tuple[DataFrame, int]:
 
     Also gives the number of blocks.
 
-    The levels are few, the logarithm of the largest count, so their sizes may come to the driver.
+    One row a level, at most the number of distinct counts, is joined to the items.
     """
-    sizes = sorted((r["level"], r["count"]) for r in items.groupBy("level").count().collect())
-    blocks = [max(1, math.ceil(n / block_items)) for _, n in sizes]
-    starts = list(accumulate(blocks, initial=0))
-    block = F.lit(None).cast("int")
-    for (level, _), width, start in zip(sizes, blocks, starts):
-        inside = F.pmod(F.xxhash64("item"), F.lit(width)).cast("int") + start
-        block = F.when(F.col("level") == level, inside).otherwise(block)
-    return items.withColumn("block", block), sum(blocks)
+    width = F.ceil(F.count("*") / block_items).cast("int")
+    before = F.sum("width").over(Window.orderBy("level").rowsBetween(Window.unboundedPreceding, -1))
+    levels = items.groupBy("level").agg(width.alias("width"))
+    levels = stored(levels.withColumn("start", F.coalesce(before, F.lit(0)).cast("int")), "levels")
+    inside = F.pmod(F.xxhash64("item"), F.col("width")).cast("int")
+    placed = items.join(levels, "level").withColumn("block", inside + F.col("start")).drop("width", "start")
+    return placed, levels.agg(F.sum("width")).first()[0] or 0
 
 
 def common_rater_pairs(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry import schemas
@@ -113,9 +113,13 @@ def _co_rated(ratings: DataFrame) -> similarity.Similarity:
 # ---------------------------------------------------------------------------------- serving
 
 
-def _info(spark, sf_dir) -> DataFrame:
-    averages = statistics.average_score(tables.order_ratings(spark, sf_dir))
-    return serving.product_info(tables.part_products(spark, sf_dir), averages)
+def _info(spark, sf_dir, listed: DataFrame | None = None) -> DataFrame:
+    """Details of all products, or of the listed ones: only their ratings are averaged."""
+    scored, products = tables.order_ratings(spark, sf_dir), tables.part_products(spark, sf_dir)
+    if listed is not None:
+        ids = listed.select("productId").distinct()
+        scored, products = (x.join(ids, "productId", "left_semi") for x in (scored, products))
+    return serving.product_info(products, statistics.average_score(scored))
 
 
 @query
@@ -126,30 +130,57 @@ def product_info(spark, sf_dir):
 
 @query
 def product_search(spark, sf_dir):
-    return rounded(serving.search_by_name(_info(spark, sf_dir), SEARCH), "score")
+    found = serving.search_by_name(tables.part_products(spark, sf_dir), SEARCH)
+    return rounded(_info(spark, sf_dir, found), "score")
 
 
 @query
 def serve_hot(spark, sf_dir):
     recently = statistics.rate_more_recently(tables.order_ratings(spark, sf_dir))
     listed = serving.hot_list(recently, LIST)
-    return rounded(serving.with_products(listed, _info(spark, sf_dir)), "score")
+    return rounded(serving.with_products(listed, _info(spark, sf_dir, listed)), "score")
+
+
+@query
+def hot_entries(spark, sf_dir):
+    """The hot list as stored entries, each with the score 0.0 it carries until products are joined."""
+    recently = statistics.rate_more_recently(tables.order_ratings(spark, sf_dir))
+    return serving.hot_list(recently, LIST)
 
 
 @query
 def serve_rate_more(spark, sf_dir):
     counts = statistics.rate_more(tables.order_ratings(spark, sf_dir))
     listed = serving.most_rated_list(counts, LIST)
-    return rounded(serving.with_products(listed, _info(spark, sf_dir)), "score")
+    return rounded(serving.with_products(listed, _info(spark, sf_dir, listed)), "score")
+
+
+@query
+def point_read(spark, sf_dir):
+    """The details of one product, the last one, by its key."""
+    products = tables.part_products(spark, sf_dir)
+    last = products.agg(F.max("productId")).first()[0]
+    return serving.by_key(products, "productId", last)
+
+
+@query
+def id_list_read(spark, sf_dir):
+    """The products of a given list of ids, those of the first entries by popularity."""
+    counts = statistics.rate_more(tables.order_ratings(spark, sf_dir))
+    ids = [r[0] for r in serving.most_rated_list(counts, LIST).select("productId").collect()]
+    return serving.by_ids(tables.part_products(spark, sf_dir), ids)
 
 
 @query
 def recs_to_products(spark, sf_dir):
-    """Details of every product in every content-similarity list, list order kept."""
-    similar = similarity.tag_similarity(tables.part_products(spark, sf_dir))
-    listed = similarity.top_similar(similar, SHOWN).select(
-        F.col("productId").alias("forProduct"), "rank", F.col("otherId").alias("productId")
-    )
+    """Details of every product in the whole content-similarity list of every class, in list order.
+
+    Classes of equal products list classes; the rank is that of the listed product's class.
+    """
+    similar = similarity.kept(similarity.tag_similarity(tables.part_products(spark, sf_dir)))
+    others = similar.members.select(F.col("rep").alias("otherId"), F.col("item").alias("productId"))
+    listed = similarity.whole_lists(similar).withColumnRenamed("productId", "forProduct").join(others, "otherId")
+    listed = listed.where("productId <> forProduct").select("forProduct", "rank", "productId")
     return rounded(serving.with_products(listed, _info(spark, sf_dir)), "score")
 
 
@@ -255,7 +286,8 @@ def tag_explode(spark, sf_dir):
 
 
 def _pairs(s: similarity.Similarity) -> DataFrame:
-    pairs = s.pairs.select(
+    """Pairs of classes; who is in which class is told by the members."""
+    pairs = s.pairs.where("item <> other").select(
         F.col("item").alias("productId"), F.col("other").alias("otherId"), F.col("sim")
     )
     return rounded(pairs, "sim")
@@ -290,6 +322,11 @@ def item_cf(spark, sf_dir):
     return _pairs(similarity.rater_similarity(tables.event_ratings(spark, sf_dir)))
 
 
+@query
+def item_cf_members(spark, sf_dir):
+    return _members(similarity.rater_similarity(tables.event_ratings(spark, sf_dir)))
+
+
 @query
 def item_cf_orders(spark, sf_dir):
     return _pairs(similarity.rater_similarity(tables.order_ratings(spark, sf_dir), 0.1))
@@ -317,11 +354,9 @@ def content_based_recs(spark, sf_dir):
 
 @query
 def sim_map(spark, sf_dir):
-    """Similarity of every product to its best other, looked up in the map form of its list."""
-    top = similarity.top_similar(
-        similarity.rater_similarity(tables.event_ratings(spark, sf_dir)), LIST
-    )
-    maps = similarity.as_map(similarity.as_recs(top))
+    """Similarity of every class to every other, looked up in the map form of its whole list."""
+    similar = similarity.rater_similarity(tables.event_ratings(spark, sf_dir))
+    maps = similarity.as_map(similarity.as_recs(similarity.whole_lists(similar)))
     found = maps.select(
         "productId",
         F.size("sims").alias("listed"),
@@ -334,12 +369,23 @@ def sim_map(spark, sf_dir):
             "listed",
             "otherId",
             similarity.sim_of(F.col("sims"), F.col("otherId")).alias("sim"),
-            similarity.sim_of(F.col("sims"), F.col("productId")).alias("self"),
+            similarity.sim_of(F.col("sims"), F.lit(-1)).alias("unknown"),
         ),
         "sim",
     )
 
 
+@query
+def sim_lookup(spark, sf_dir):
+    """Similarity of the products of any two consecutive ratings of a user, 0.0 if not over the threshold."""
+    ratings = tables.event_ratings(spark, sf_dir)
+    similar = _co_rated(ratings)
+    turn = Window.partitionBy("userId").orderBy("timestamp", "productId", "score")
+    asked = ratings.withColumn("otherId", F.lag("productId").over(turn)).dropna(subset=["otherId"])
+    asked = asked.select("productId", "otherId").distinct()
+    return rounded(similarity.sim_between(asked, similar), "sim")
+
+
 # ------------------------------------------------------------------------------------ real time
 
 
@@ -451,11 +497,12 @@ def stream_rating_parse(spark, sf_dir):
 
 @query
 def stream_similar(spark, sf_dir):
-    """Every rating event of the stream joined with the stored list of its product."""
-    ratings = tables.event_ratings(spark, sf_dir)
+    """Every rating event of the stream joined with the whole stored list of its product's class."""
+    similar = _co_rated(tables.event_ratings(spark, sf_dir))
     stored = fresh_path(spark, "product-recs")
-    lists = similarity.as_recs(similarity.top_similar(similarity.rater_similarity(ratings), LIST))
-    sinks.overwrite(lists, stored)
+    lists = similarity.as_recs(similarity.whole_lists(similar)).withColumnRenamed("productId", "rep")
+    of_member = similar.members.join(lists, "rep").select(F.col("item").alias("productId"), "recs")
+    sinks.overwrite(of_member, stored)
     recs = files.read_table(spark, stored, schemas.PRODUCT_RECS)
     lines = stream.text_lines(spark, _logged(spark, sf_dir))
     parsed = stream.parsed_ratings(stream.rating_messages(lines))

@@ -140,7 +140,7 @@ sim AS (
   SELECT productId, productId, 1.0 FROM rep WHERE sameAs = productId AND copies > 1
 )"""
 
-PAIRS = "SELECT a::INTEGER AS productId, b::INTEGER AS otherId, round(sim, 6) AS sim FROM sim"
+PAIRS = "SELECT a::INTEGER AS productId, b::INTEGER AS otherId, round(sim, 6) AS sim FROM sim WHERE a <> b"
 
 
 def top_of(n: int) -> str:
@@ -152,6 +152,13 @@ top AS (
 )"""
 
 
+# Whole lists between classes.
+WHOLE = """,
+whole AS (
+  SELECT a AS productId, b AS otherId, sim, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b)::INTEGER AS rank
+  FROM sim
+)"""
+
 TOP = "SELECT productId, rank, otherId, round(sim, 6) AS sim FROM top"
 
 REALTIME = CO_RATED + """,
@@ -242,9 +249,18 @@ CHECKS: dict[str, str] = {
         c AS (SELECT productId, row_number() OVER (ORDER BY count(*) DESC, productId)::INTEGER AS rank
               FROM r_order GROUP BY productId QUALIFY rank <= 20)
         SELECT rank, info.* FROM c JOIN info USING (productId)""",
-    "recs_to_products": f"""WITH {STARS}, {INFO.replace(STARS + ",", "")}, {TAGGED.replace(P_PART + ",", "")} {top_of(6)}
-        SELECT top.productId AS forProduct, top.rank, info.*
-        FROM top JOIN info ON top.otherId = info.productId""",
+    "recs_to_products": f"""WITH {STARS}, {INFO.replace(STARS + ",", "")}, {TAGGED.replace(P_PART + ",", "")} {WHOLE}
+        SELECT w.productId AS forProduct, w.rank, info.*
+        FROM whole w JOIN rep ON rep.sameAs = w.otherId JOIN info ON info.productId = rep.productId
+        WHERE w.productId <> info.productId""",
+    "hot_entries": f"""WITH {R_ORDER} {MONTHLY},
+        first AS (SELECT *, row_number() OVER (ORDER BY yearMonth DESC, "count" DESC, productId)::INTEGER AS pos
+                  FROM monthly QUALIFY pos <= 20)
+        SELECT min(pos) AS rank, productId, 0.0::DOUBLE AS score FROM first GROUP BY productId""",
+    "point_read": f"WITH {P_PART} SELECT * FROM product ORDER BY productId DESC LIMIT 1",
+    "id_list_read": f"""WITH {STARS}, {R_ORDER.replace(STARS + ",", "")}, {P_PART}
+        SELECT * FROM product WHERE productId IN (
+          SELECT productId FROM r_order GROUP BY 1 ORDER BY count(*) DESC, productId LIMIT 20)""",
     "serve_user_recs": f"""WITH {INFO}, {REALTIME}
         SELECT c_name AS username, userId, rank, productId, name, info.score
         FROM listed JOIN customer ON c_custkey = userId JOIN info USING (productId)
@@ -281,9 +297,16 @@ CHECKS: dict[str, str] = {
     "content_based": f"WITH {TAGGED} {PAIRS}",
     "content_based_members": f"WITH {TAGGED} SELECT productId, sameAs FROM rep",
     "content_based_recs": f"WITH {TAGGED} {top_of(20)} {TOP}",
-    "sim_map": f"""WITH {CO_RATED} {top_of(20)}
+    "item_cf_members": f"WITH {CO_RATED} SELECT productId, sameAs FROM rep",
+    "sim_map": f"""WITH {CO_RATED} {WHOLE}
         SELECT productId, (count(*) OVER (PARTITION BY productId))::INTEGER AS listed, otherId,
-               round(sim, 6) AS sim, 0.0::DOUBLE AS self FROM top""",
+               round(sim, 6) AS sim, 0.0::DOUBLE AS unknown FROM whole""",
+    "sim_lookup": f"""WITH {CO_RATED},
+        asked AS (SELECT DISTINCT productId, otherId FROM (
+          SELECT productId, lag(productId) OVER (PARTITION BY userId ORDER BY timestamp, productId, score) AS otherId
+          FROM r_event) WHERE otherId IS NOT NULL)
+        SELECT productId, otherId, round(coalesce(sim, 0.0), 6)::DOUBLE AS sim
+        FROM asked LEFT JOIN full_sim ON a = productId AND b = otherId""",
     "candidate_products": f"""WITH {REALTIME}
         SELECT userId, rank, productId, round(sim, 6) AS sim FROM candidate""",
     "stream_recs": f"""WITH {REALTIME}
@@ -298,9 +321,9 @@ CHECKS: dict[str, str] = {
         UNION ALL SELECT DISTINCT 'product', productId, 5::INTEGER, true FROM r_order""",
     "stream_log_filter": f"WITH {LOG} SELECT 'logProcessor' AS key, value FROM message WHERE value <> ''",
     "stream_rating_parse": f"WITH {LOG} SELECT userId, productId, score, timestamp FROM parsed WHERE {USABLE}",
-    "stream_similar": f"""WITH {CO_RATED} {top_of(20)}
-        SELECT e.userId, e.productId, e.timestamp, (t.rank - 1)::INTEGER AS pos, t.otherId, round(t.sim, 6) AS sim
-        FROM r_event e LEFT JOIN top t USING (productId)""",
+    "stream_similar": f"""WITH {CO_RATED} {WHOLE}
+        SELECT e.userId, e.productId, e.timestamp, (w.rank - 1)::INTEGER AS pos, w.otherId, round(w.sim, 6) AS sim
+        FROM r_event e JOIN rep USING (productId) LEFT JOIN whole w ON w.productId = rep.sameAs""",
     "stream_user_recents": f"""WITH {R_EVENT}
         SELECT userId, row_number() OVER (PARTITION BY userId
                   ORDER BY timestamp DESC, productId DESC, score DESC)::INTEGER AS position,
