@@ -16,17 +16,6 @@ from basketry.operators.similarity import Similarity
 from basketry.session import stored
 
 
-# Users who can reach further than this into a similarity list are served from the whole list. Within
-# it Spark cuts each list in the map tasks already, as it does for limits up to 1,000.
-LIST_REACH = 500
-
-
-def _first(rows: DataFrame, key: str, rank: str, *order) -> DataFrame:
-    """The first entries of each key's list, numbered."""
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn(rank, place).where(F.col(rank) <= LIST_REACH)
-
-
 def candidate_products(
     events: DataFrame, ratings: DataFrame, similarity: Similarity, n: int = 20
 ) -> DataFrame:
@@ -34,11 +23,12 @@ def candidate_products(
     similar to it that the user has not rated. One event per user.
 
     A user with r ratings can lose at most r list entries to rated products, so only the first n + r
-    entries of a similarity list can matter; the join reads no further and stays exact. Only users
-    with very many ratings read whole lists.
+    products of a similarity list can matter, whatever r is. Only the lists of the products just rated
+    are ranked, and read as far as the products that come before fall short of that.
     """
     rated = ratings.select("userId", "productId").distinct()
-    reach = ratings.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
+    rated = rated.join(events.select("userId").distinct(), "userId", "left_semi")
+    reach = rated.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
     trigger = (
         events.select("userId", F.col("productId").alias("item"))
         .join(reach, "userId", "left")
@@ -46,24 +36,27 @@ def candidate_products(
         .join(similarity.members, "item")
         .withColumnRenamed("item", "trigger")
     )
-    lists = similarity.pairs.withColumnRenamed("item", "rep")
-    members = similarity.members.select(
-        F.col("rep").alias("other"), F.col("item").alias("productId")
-    )
-    near = _first(lists, "rep", "group_rank", F.desc("sim"), F.asc("other"))
-    first = _first(members, "other", "member_rank", F.asc("productId"))
-    fields = ["userId", "trigger", "productId", "other", "sim"]
-    few = (
-        trigger.where(F.col("reach") <= LIST_REACH)
-        .join(near, "rep")
-        .where(F.col("group_rank") <= F.col("reach"))
-        .join(first, "other")
-        .where(F.col("member_rank") <= F.col("reach"))
-    )
-    many = trigger.where(F.col("reach") > LIST_REACH).join(lists, "rep").join(members, "other")
+    trigger = stored(trigger, "triggers")
+    furthest = trigger.groupBy("rep").agg(F.max("reach").alias("furthest"))
+    lists = similarity.pairs.withColumnRenamed("item", "rep").join(furthest, "rep")
+    sizes = similarity.members.groupBy(F.col("rep").alias("other")).agg(F.count("*").alias("size"))
+    # So many products come before any of a class at least: all of the classes that are more similar, and
+    # one of each that is as similar and has a smaller first product.
+    equal = Window.partitionBy("rep", "sim")
+    so_far = F.sum("size").over(Window.partitionBy("rep").orderBy(F.desc("sim")))
+    earlier = so_far - F.sum("size").over(equal) + F.row_number().over(equal.orderBy("other")) - 1
+    near = lists.join(sizes, "other").withColumn("before", earlier).where("before < furthest")
+    near = stored(near, "near")
+    members = similarity.members.select(F.col("rep").alias("other"), F.col("item").alias("productId"))
+    members = members.join(near.groupBy("other").agg(F.max("furthest").alias("most")), "other")
+    in_class = F.row_number().over(Window.partitionBy("other").orderBy("productId"))
+    first = members.withColumn("member_rank", in_class).where("member_rank <= most").drop("most")
     possible = (
-        few.select(fields)
-        .unionByName(many.select(fields))
+        trigger.join(near.drop("furthest", "size"), "rep")
+        .where("before < reach")
+        .join(first, "other")
+        .where("member_rank <= reach")
+        .select("userId", "trigger", "productId", "other", "sim")
         .where(F.col("productId") != F.col("trigger"))
         .join(rated, ["userId", "productId"], "left_anti")
     )
@@ -89,6 +82,8 @@ def score_candidates(
     close = similarity.pairs.where(F.col("sim") > threshold).select(
         F.col("item").alias("rep"), F.col("other").alias("recent_rep"), "sim"
     )
+    # Only the lists of candidates are read; a batch has few.
+    close = close.join(candidates.select("rep").distinct(), "rep", "left_semi")
     liked = F.col("stars") > 3
     return (
         candidates.select("userId", "productId", "rep")

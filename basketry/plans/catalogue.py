@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry import schemas
 from basketry.functions import log_line, normalise_score, split_list
 from basketry.operators import factorization as als
+from basketry.operators import factors
 from basketry.operators import ratings as history
 from basketry.operators import realtime, serving, similarity, statistics, users
 from basketry.session import fresh_path, stored
@@ -24,6 +25,7 @@ SHOWN = 6
 NOW_MILLIS = 1_556_436_808_000
 SHARDS = 4
 SEARCH = "widget|ring"
+RANKS = (8, 16, 32, 64)
 
 QUERIES: dict[str, Query] = {}
 
@@ -83,6 +85,15 @@ def sink_roundtrip(spark, sf_dir):
     return files.read_table(spark, path, schemas.RATING)
 
 
+@query
+def sink_overwrite(spark, sf_dir):
+    """A table written twice holds the second rows alone."""
+    path = fresh_path(spark, "rating-table")
+    for ratings in (tables.order_ratings(spark, sf_dir), tables.event_ratings(spark, sf_dir)):
+        sinks.overwrite(ratings, path)
+    return files.read_table(spark, path, schemas.RATING)
+
+
 # ------------------------------------------------------------------------------- statistics
 
 
@@ -409,7 +420,8 @@ def stream_recs(spark, sf_dir):
 
 
 def _order_model(spark, sf_dir):
-    return als.train(tables.order_ratings(spark, sf_dir))
+    ratings = tables.order_ratings(spark, sf_dir)
+    return als.train(history.upsert(ratings, ratings.limit(0)))
 
 
 def _event_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -432,8 +444,8 @@ def als_factors(spark, sf_dir):
 
 @query
 def als_factor_shape(spark, sf_dir):
-    """Whom a small model has factors for, how many each, and whether they are finite."""
-    model = als.train(tables.order_ratings(spark, sf_dir), rank=5, iterations=2)
+    """Whom the model has factors for, how many each, and whether they are finite."""
+    model = _order_model(spark, sf_dir)
     by_user = als.user_vectors(model).toDF("id", "vector").withColumn("kind", F.lit("user"))
     by_product = als.product_vectors(model).toDF("id", "vector").withColumn("kind", F.lit("product"))
     finite = F.forall("vector", lambda x: F.abs(x) < 1e9)
@@ -466,6 +478,41 @@ def param_grid(spark, sf_dir):
     return grid.join(best, ["rank", "regParam"], "left").fillna(False, ["best"])
 
 
+# Given factors: the supplied vectors, as those of users and of products alike.
+
+
+def _factors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    vectors = tables.embedding_vectors(spark, sf_dir)
+    return vectors.withColumnRenamed("productId", "userId"), vectors
+
+
+@query
+def factor_user_recs(spark, sf_dir):
+    return rounded(factors.user_lists(*_factors(spark, sf_dir), LIST), "score")
+
+
+@query
+def factor_predict(spark, sf_dir):
+    pairs = tables.event_ratings(spark, sf_dir).select("userId", "productId").distinct()
+    return rounded(factors.predictions(pairs, *_factors(spark, sf_dir)), "prediction")
+
+
+@query
+def factor_rmse(spark, sf_dir):
+    predicted = factors.predictions(tables.event_ratings(spark, sf_dir), *_factors(spark, sf_dir))
+    return rounded(als.rmse(predicted), "rmse")
+
+
+@query
+def factor_grid(spark, sf_dir):
+    """Error on (user, product) of the factors cut to several ranks, and which rank is best."""
+    ratings = tables.event_ratings(spark, sf_dir)
+    grid = factors.rmse_by_rank(ratings, *_factors(spark, sf_dir), RANKS)
+    grid = stored(grid.withColumn("regParam", F.lit(0.0)), "grid")
+    best = als.best_point(grid).select("rank", F.lit(True).alias("best"))
+    return rounded(grid.join(best, "rank", "left").fillna(False, ["best"]).select("rank", "rmse", "best"), "rmse")
+
+
 # ------------------------------------------------------------------------------------ streaming
 
 
@@ -495,6 +542,29 @@ def stream_rating_parse(spark, sf_dir):
     return _run(spark, stream.parsed_ratings(stream.rating_messages(lines)), "ratings")
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """The log arrives in two parts; the second run goes on from the first one's checkpoint."""
+    log = tables.event_log(spark, sf_dir)
+    half = log.agg(F.avg("event_id")).first()[0]
+    source, target, progress = (fresh_path(spark, x) for x in ("log", "ratings", "ratings-progress"))
+    for arrival in (F.col("event_id") <= half, F.col("event_id") > half):
+        log.where(arrival).select("value").write.mode("append").text(source)
+        parsed = stream.parsed_ratings(stream.rating_messages(stream.text_lines(spark, source)))
+        stream.append_files(parsed, target, progress).awaitTermination()
+    return spark.read.schema(parsed.schema).parquet(target)
+
+
+@query
+def stream_daily(spark, sf_dir):
+    """Ratings by day of event time, of the days that the watermark has closed."""
+    lines = stream.text_lines(spark, _logged(spark, sf_dir))
+    parsed = stream.parsed_ratings(stream.rating_messages(lines))
+    return _run(spark, stream.counts_by_time(parsed), "daily").select(
+        F.unix_timestamp("windowStart").alias("day"), "ratings", "scores"
+    )
+
+
 @query
 def stream_similar(spark, sf_dir):
     """Every rating event of the stream joined with the whole stored list of its product's class."""

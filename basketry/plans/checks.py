@@ -317,10 +317,37 @@ CHECKS: dict[str, str] = {
         SELECT round(sqrt(avg((score - prediction) * (score - prediction))), 6) AS rmse
         FROM split JOIN mean USING (productId) WHERE part = 'test'""",
     "als_factor_shape": f"""WITH {R_ORDER}
-        SELECT DISTINCT 'user' AS kind, userId AS id, 5::INTEGER AS dims, true AS finite FROM r_order
-        UNION ALL SELECT DISTINCT 'product', productId, 5::INTEGER, true FROM r_order""",
+        SELECT DISTINCT 'user' AS kind, userId AS id, 100::INTEGER AS dims, true AS finite FROM r_order
+        UNION ALL SELECT DISTINCT 'product', productId, 100::INTEGER, true FROM r_order""",
+    "factor_user_recs": """
+        SELECT x.vec_id::INTEGER AS userId,
+               row_number() OVER (PARTITION BY x.vec_id ORDER BY d DESC, y_id)::INTEGER AS rank,
+               y_id::INTEGER AS productId, round(d, 6) AS score
+        FROM (SELECT x.vec_id, y.vec_id AS y_id,
+                     round(list_dot_product(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 9) AS d
+              FROM embeddings x, embeddings y) x
+        WHERE d > 0 QUALIFY rank <= 20""",
+    "factor_predict": f"""WITH {R_EVENT},
+        pair AS (SELECT DISTINCT userId, productId FROM r_event)
+        SELECT userId, productId, round(list_dot_product(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 6) AS prediction
+        FROM pair JOIN embeddings x ON x.vec_id = userId JOIN embeddings y ON y.vec_id = productId""",
+    "factor_rmse": f"""WITH {R_EVENT}
+        SELECT round(sqrt(avg(pow(score - list_dot_product(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 2))), 6) AS rmse
+        FROM r_event JOIN embeddings x ON x.vec_id = userId JOIN embeddings y ON y.vec_id = productId""",
+    "factor_grid": f"""WITH {R_EVENT},
+        point AS (
+          SELECT rank, round(sqrt(avg(pow(score - list_dot_product(
+                   (x.embedding::DOUBLE[])[1:rank], (y.embedding::DOUBLE[])[1:rank]), 2))), 6) AS rmse
+          FROM r_event JOIN embeddings x ON x.vec_id = userId JOIN embeddings y ON y.vec_id = productId,
+               (SELECT unnest([8, 16, 32, 64])::INTEGER AS rank) GROUP BY rank)
+        SELECT rank, rmse, rank = (SELECT arg_min(rank, rmse) FROM point) AS best FROM point""",
     "stream_log_filter": f"WITH {LOG} SELECT 'logProcessor' AS key, value FROM message WHERE value <> ''",
     "stream_rating_parse": f"WITH {LOG} SELECT userId, productId, score, timestamp FROM parsed WHERE {USABLE}",
+    "stream_restart": f"WITH {LOG} SELECT userId, productId, score, timestamp FROM parsed WHERE {USABLE}",
+    "stream_daily": f"""WITH {R_EVENT}
+        SELECT timestamp // 86400 * 86400 AS day, count(*) AS ratings, sum(score) AS scores FROM r_event
+        GROUP BY 1 HAVING day + 86400 <= (SELECT max(timestamp) FROM r_event) - 7200""",
+    "sink_overwrite": f"WITH {R_EVENT} SELECT * FROM r_event",
     "stream_similar": f"""WITH {CO_RATED} {WHOLE}
         SELECT e.userId, e.productId, e.timestamp, (w.rank - 1)::INTEGER AS pos, w.otherId, round(w.sim, 6) AS sim
         FROM r_event e JOIN rep USING (productId) LEFT JOIN whole w ON w.productId = rep.sameAs""",

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from operator import and_
 
@@ -27,7 +28,7 @@ FILES_PER_BATCH = 1000
 
 HISTORY = "userId int, productId int, score double, timestamp bigint"
 STATE = "products array<int>, scores array<double>, times array<bigint>, version bigint"
-RECENT = "userId int, version bigint, position int, productId int, score double, timestamp bigint"
+RECENT = "userId int, version bigint, products array<int>, scores array<double>, times array<bigint>"
 
 
 # ----------------------------------------------------------------------------------- sources
@@ -86,6 +87,18 @@ def with_event_time(ratings: DataFrame) -> DataFrame:
     return ratings.withColumn("eventTime", F.timestamp_seconds("timestamp"))
 
 
+def counts_by_time(ratings: DataFrame, width: str = "1 day", delay: str = "2 hours") -> DataFrame:
+    """(windowStart, ratings, scores) of every span of event time that the watermark has closed.
+
+    The clock is the newest rating's time less ``delay``; ratings behind it are too late and drop out.
+    """
+    timed = with_event_time(ratings).withWatermark("eventTime", delay)
+    spans = timed.groupBy(F.window("eventTime", width)).agg(
+        F.count("*").alias("ratings"), F.sum("score").alias("scores")
+    )
+    return spans.select(F.col("window.start").alias("windowStart"), "ratings", "scores")
+
+
 def join_recs(ratings: DataFrame, recs: DataFrame, salts: int = 4) -> DataFrame:
     """Each rating event with the stored list of its product; no list gives an empty one.
 
@@ -138,43 +151,35 @@ def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> S
 # ------------------------------------------------------------------------------ per-user state
 
 
-def _newest(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    ordered = frame.sort_values(["timestamp", "productId", "score"], ascending=False, kind="stable")
-    return ordered.groupby("userId", sort=False).head(capacity)
+def _newest(rows: Iterable[tuple], capacity: int) -> list[tuple]:
+    """The newest (timestamp, productId, score), newest first; ties by product, then score."""
+    return heapq.nlargest(capacity, rows)
 
 
 def recent_state(ratings: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The newest ratings of every user a micro-batch touches, as numbered rows with a version.
+    """The newest ratings of every user a micro-batch touches, one row with a version each.
 
-    The state holds ``capacity`` ratings per user. Each task first cuts its own rows to the newest
-    ones per user, so a very active user sends a few rows per task to the state and not all.
+    The state holds ``capacity`` ratings per user. Each Arrow batch of a task is first cut to the newest
+    ratings per user, so a very active user sends a few rows per batch to the state and not all.
     """
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield _newest(frame, capacity)
+            ordered = frame.sort_values(["timestamp", "productId", "score"], ascending=False, kind="stable")
+            yield ordered.groupby("userId", sort=False).head(capacity)
 
     def advance(
         key: tuple[int], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         products, scores, times, version = state.get if state.exists else ([], [], [], 0)
-        kept = pd.DataFrame(
-            {"userId": key[0], "productId": products, "score": scores, "timestamp": times}
-        )
+        kept = list(zip(times, products, scores))
         for frame in frames:
-            both = [f for f in (kept, frame) if len(f)]
-            kept = _newest(pd.concat(both, ignore_index=True), capacity)
-        lists = [kept[c].tolist() for c in ("productId", "score", "timestamp")]
-        state.update((*lists, version + 1))
+            arrived = zip(frame["timestamp"].tolist(), frame["productId"].tolist(), frame["score"].tolist())
+            kept = _newest((*kept, *arrived), capacity)
+        times, products, scores = ([r[i] for r in kept] for i in range(3))
+        state.update((products, scores, times, version + 1))
         yield pd.DataFrame(
-            {
-                "userId": key[0],
-                "version": version + 1,
-                "position": range(1, len(kept) + 1),
-                "productId": lists[0],
-                "score": lists[1],
-                "timestamp": lists[2],
-            }
+            {"userId": [key[0]], "version": [version + 1], "products": [products], "scores": [scores], "times": [times]}
         )
 
     fields = ratings.select("userId", "productId", "score", "timestamp")
@@ -186,9 +191,20 @@ def recent_state(ratings: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def current_state(versions: DataFrame) -> DataFrame:
-    """The rows of each user's last version, from what :func:`recent_state` appended."""
-    last = versions.groupBy("userId").agg(F.max("version").alias("version"))
-    return versions.join(last, ["userId", "version"]).drop("version")
+    """(userId, position, productId, score, timestamp) of each user's last version, in one aggregate."""
+    entries = F.arrays_zip(F.col("products").alias("p"), F.col("scores").alias("s"), F.col("times").alias("t"))
+    last = versions.groupBy("userId").agg(F.max_by(entries, "version").alias("entries"))
+    rows = last.select("userId", F.posexplode("entries").alias("at", "e"))
+    return rows.select(
+        "userId", (F.col("at") + 1).alias("position"), F.col("e.p").alias("productId"),
+        F.col("e.s").alias("score"), F.col("e.t").alias("timestamp"),
+    )
+
+
+def compacted(versions: DataFrame) -> DataFrame:
+    """The last version of each user alone, to replace a table that has grown."""
+    fields = [F.max_by(c, "version").alias(c) for c in ("products", "scores", "times")]
+    return versions.groupBy("userId").agg(F.max("version").alias("version"), *fields)
 
 
 # ------------------------------------------------------------------------ incremental rescoring

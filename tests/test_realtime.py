@@ -69,11 +69,9 @@ def brute_force(ratings, sims, n_recent, n_candidates, threshold):
 
 
 @pytest.mark.parametrize(
-    "n_recent, n_candidates, threshold, reach",
-    [(20, 20, 0.4, 500), (5, 3, 0.4, 500), (40, 50, 0.55, 500), (20, 20, 0.4, 27), (5, 3, 0.4, 7)],
+    "n_recent, n_candidates, threshold", [(20, 20, 0.4), (5, 3, 0.4), (40, 50, 0.55), (1, 1, 0.3)]
 )
-def test_against_brute_force(spark, monkeypatch, n_recent, n_candidates, threshold, reach):
-    monkeypatch.setattr(realtime, "LIST_REACH", reach)
+def test_against_brute_force(spark, n_recent, n_candidates, threshold):
     generator = random.Random(11)
     ratings = []
     for u in range(25):

@@ -199,3 +199,58 @@ def test_top_lists(spark, k):
         similarity.sim_of(F.col("sims"), F.lit(12345))
     )
     assert looked_up.first()[0] == 0.0
+
+
+@pytest.mark.parametrize("threshold", [0.99, 0.999])
+def test_very_many_levels(spark, threshold):
+    """As many rater counts as items, at thresholds that set most of them apart."""
+    items = spark.range(1, 100_001).select(F.col("id").cast("int").alias("item"), F.col("id").alias("n"))
+    placed, blocks = raters._placed(raters._levelled(items, threshold), 64)
+    found = placed.groupBy("level").agg(
+        F.min("block").alias("first"), F.max("block").alias("last"), F.count("*").alias("n")
+    ).orderBy("level").collect()
+    assert sum(r.n for r in found) == 100_000
+    assert all(a["last"] < b["first"] for a, b in zip(found, found[1:]))
+    assert max(r["last"] for r in found) < blocks
+
+
+def test_high_threshold_against_all_pairs(spark):
+    rated = [(u, p) for p in range(1, 41) for u in range(300) if u < 250 + p or (u + p) % 97 == 0]
+    ratings = spark.createDataFrame([(u, p, 3.0, 1) for u, p in rated], schemas.RATING)
+    raters_of = {p: {u for u, q in rated if q == p} for p in range(1, 41)}
+    expected = {
+        (a, b)
+        for a in raters_of
+        for b in raters_of
+        if a != b
+        and round(len(raters_of[a] & raters_of[b]) / (len(raters_of[a]) * len(raters_of[b])) ** 0.5, 9) > 0.995
+    }
+    found = similarity.kept(similarity.rater_similarity(ratings, 0.995))
+    members = {}
+    for r in found.members.collect():
+        members.setdefault(r.rep, []).append(r.item)
+    got = {
+        (x, y) for r in found.pairs.collect() for x in members[r.item] for y in members[r.other] if x != y
+    }
+    assert got == expected and len(got) > 40
+
+
+def test_vectors_of_two_lengths_are_refused(spark):
+    vectors = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0, 4.0]), (3, [1.0, 0.0, 1.0])], "productId int, vector array<double>")
+    with pytest.raises(ValueError, match="no cosine"):
+        similarity.vector_similarity(vectors)
+
+
+def test_whole_lists_and_lookups(spark):
+    pairs = [(1, 2, 0.9), (2, 1, 0.9), (1, 5, 0.5), (5, 1, 0.5), (1, 1, 1.0)]
+    s = similarity.Similarity(
+        spark.createDataFrame(pairs, "item int, other int, sim double"),
+        spark.createDataFrame([(1, 1), (3, 1), (2, 2), (5, 5), (7, 7)], "item int, rep int"),
+    )
+    lists = {}
+    for r in similarity.whole_lists(s).orderBy("productId", "rank").collect():
+        lists.setdefault(r.productId, []).append((r["rank"], r.otherId, r.sim))
+    assert lists == {1: [(1, 1, 1.0), (2, 2, 0.9), (3, 5, 0.5)], 2: [(1, 1, 0.9)], 5: [(1, 1, 0.5)]}
+    asked = spark.createDataFrame([(1, 3), (3, 2), (5, 3), (2, 5), (1, 1), (7, 99)], "productId int, otherId int")
+    got = {(r.productId, r.otherId): r.sim for r in similarity.sim_between(asked, s).collect()}
+    assert got == {(1, 3): 1.0, (3, 2): 0.9, (5, 3): 0.5, (2, 5): 0.0, (1, 1): 0.0, (7, 99): 0.0}

@@ -111,6 +111,9 @@ def test_recent_state_is_bounded(spark, tmp_path, capacity):
     for r in stream.current_state(versions).orderBy("userId", "position").collect():
         got[r["userId"]].append((r["userId"], r["productId"], r["score"], r["timestamp"]))
     assert got == {u: sorted(v, key=lambda r: -r[3])[:capacity] for u, v in every.items()}
+    compact = stream.compacted(versions)
+    assert compact.count() == len(every)
+    assert sorted(stream.current_state(compact).collect()) == sorted(stream.current_state(versions).collect())
 
 
 def recs_of(df):
