@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry.operators import factorization, ratings, similarity, statistics
-from basketry.session import stored
+from basketry.session import remove, scratch, stored
 from basketry.sources import files, sinks
 from basketry.streaming import events
 
@@ -27,6 +25,10 @@ STREAM_RECS = "StreamRecs"
 
 PRODUCT_PAIRS = "ProductSimilarityPairs"
 PRODUCT_MEMBERS = "ProductSimilarityMembers"
+# Pairs of classes over the threshold, who is in which class, and lists for display.
+PRODUCT_TABLES = (PRODUCT_PAIRS, PRODUCT_MEMBERS, PRODUCT_RECS)
+ITEM_CF_TABLES = ("ItemCFPairs", "ItemCFMembers", ITEM_CF_RECS)
+CONTENT_TABLES = ("ContentBasedPairs", "ContentBasedMembers", CONTENT_RECS)
 LOGGED_RATING = "LoggedRating"
 REJECTED = "Rejected"
 SHARDS = 256
@@ -76,13 +78,12 @@ def factorize(
     n: int = 20,
     threshold: float = 0.4,
 ) -> None:
-    """User lists, the whole product similarity, and product lists of n."""
-    model = factorization.train(table(spark, base, RATING), rank, iterations, reg_param)
-    sinks.overwrite(factorization.user_recs(model, n), f"{base}/{USER_RECS}")
-    found = factorization.product_similarity(model, threshold)
-    sinks.overwrite(found.pairs, f"{base}/{PRODUCT_PAIRS}")
-    sinks.overwrite(found.members, f"{base}/{PRODUCT_MEMBERS}")
-    _write_lists(product_similarity(spark, base), n, f"{base}/{PRODUCT_RECS}")
+    """User lists, the whole product similarity (pairs of classes and members), and product lists of n."""
+    with scratch(spark):
+        rated = table(spark, base, RATING).drop("shard")
+        model = factorization.train(ratings.upsert(rated, rated.limit(0)), rank, iterations, reg_param)
+        sinks.overwrite(factorization.user_recs(model, n), f"{base}/{USER_RECS}")
+        _write_similarity(spark, base, factorization.product_similarity(model, threshold), n, *PRODUCT_TABLES)
 
 
 def product_similarity(spark: SparkSession, base: str) -> similarity.Similarity:
@@ -91,53 +92,56 @@ def product_similarity(spark: SparkSession, base: str) -> similarity.Similarity:
     )
 
 
-def _write_lists(found: similarity.Similarity, n: int, path: str) -> None:
-    sinks.overwrite(similarity.as_recs(similarity.top_similar(found, n)), path)
+def _write_similarity(
+    spark: SparkSession, base: str, found: similarity.Similarity, n: int, pairs: str, members: str, lists: str
+) -> None:
+    """The whole similarity, which look-ups read, and lists of n for display."""
+    sinks.overwrite(found.pairs, f"{base}/{pairs}")
+    sinks.overwrite(found.members, f"{base}/{members}")
+    whole = similarity.Similarity(table(spark, base, pairs), table(spark, base, members))
+    sinks.overwrite(similarity.as_recs(similarity.top_similar(whole, n)), f"{base}/{lists}")
 
 
 def relate_products(spark: SparkSession, base: str, n: int = 20, threshold: float = 0.4) -> None:
-    """Product lists by common raters and by tags."""
-    by_raters = similarity.rater_similarity(table(spark, base, RATING), threshold)
-    _write_lists(by_raters, n, f"{base}/{ITEM_CF_RECS}")
-    by_tags = similarity.tag_similarity(table(spark, base, PRODUCT), threshold)
-    _write_lists(by_tags, n, f"{base}/{CONTENT_RECS}")
+    """Product similarity and lists by common raters and by tags."""
+    with scratch(spark):
+        by_raters = similarity.rater_similarity(table(spark, base, RATING), threshold)
+        _write_similarity(spark, base, by_raters, n, *ITEM_CF_TABLES)
+        by_tags = similarity.tag_similarity(table(spark, base, PRODUCT), threshold)
+        _write_similarity(spark, base, by_tags, n, *CONTENT_TABLES)
 
 
 def tune(spark: SparkSession, base: str, **grid) -> DataFrame:
     """The parameter pair of least hold-out error on an 80/20 split, as (rank, regParam, rmse)."""
-    split = stored(ratings.hash_split(table(spark, base, RATING)), "tuning")
-    train, test = split.where("part = 'train'"), split.where("part = 'test'")
-    return factorization.best_point(factorization.grid_search(train, test, **grid))
+    with scratch(spark):
+        split = stored(ratings.hash_split(table(spark, base, RATING)), "tuning")
+        train, test = split.where("part = 'train'"), split.where("part = 'test'")
+        return factorization.best_point(factorization.grid_search(train, test, **grid))
 
 
-def follow_log(
-    spark: SparkSession,
-    base: str,
-    log: str,
-    version: int,
-    since: datetime.datetime | None = None,
-    shards: int = SHARDS,
-) -> datetime.datetime | None:
+def follow_log(spark: SparkSession, base: str, log: str, version: int, shards: int = SHARDS) -> None:
     """Takes in what was appended to the log folder and writes real-time lists as a new version.
 
-    ``since`` is what the last call gave back and ``version`` one more than its version; the first
-    call takes None and 1. A call that failed is simply repeated. ``shards`` as for :func:`load`.
+    ``version`` is one more than that of the last call that succeeded, 1 at first. A call that failed is
+    repeated with its version: what it took in already keeps that number. ``shards`` as for :func:`load`.
     """
     lines = events.text_lines(spark, log)
     parsed = events.parsed_ratings(events.rating_messages(lines))
-    arriving = sinks.sharded(events.stamped(parsed), shards)
+    arriving = sinks.sharded(events.stamped(parsed, version), shards)
     target = f"{base}/{LOGGED_RATING}"
     events.append_files(
-        arriving, target, f"{target}-progress", partition_by="shard"
+        arriving, target, f"{target}-progress", partition_by=("arrival", "shard")
     ).awaitTermination()
     logged = spark.read.schema(arriving.schema).parquet(target)
-    new = logged if since is None else logged.where(F.col("ingestedAt") > F.lit(since))
+    new = logged.where(F.col("arrival") == version).drop("arrival")
     before = (
         spark.createDataFrame([], schemas.USER_RECS)
         if version == 1
         else table(spark, base, f"{STREAM_RECS}/version={version - 1}")
     )
-    history = table(spark, base, RATING).unionByName(logged.drop("ingestedAt"))
-    lists = events.rescore(history, product_similarity(spark, base), before, new.drop("ingestedAt"))
-    sinks.overwrite(lists, f"{base}/{STREAM_RECS}/version={version}")
-    return logged.agg(F.max("ingestedAt")).first()[0]
+    history = table(spark, base, RATING).unionByName(logged.drop("arrival"))
+    with scratch(spark):
+        lists = events.rescore(history, product_similarity(spark, base), before, new)
+        sinks.overwrite(lists, f"{base}/{STREAM_RECS}/version={version}")
+    if version > 2:  # the version before stays for readers that have just begun
+        remove(spark, f"{base}/{STREAM_RECS}/version={version - 2}")

@@ -593,18 +593,16 @@ def stream_rescore(spark, sf_dir):
     half = log.agg(F.avg("event_id")).first()[0]
     source, target, progress = (fresh_path(spark, x) for x in ("log", "ratings", "ratings-progress"))
     snapshot = spark.createDataFrame([], schemas.USER_RECS)
-    since = F.lit("1970-01-01").cast("timestamp")
-    for arrival in (F.col("event_id") <= half, F.col("event_id") > half):
-        log.where(arrival).select("value").write.mode("append").text(source)
+    for arrival, part in enumerate((F.col("event_id") <= half, F.col("event_id") > half)):
+        log.where(part).select("value").write.mode("append").text(source)
         lines = stream.text_lines(spark, source)
         parsed = stream.parsed_ratings(stream.rating_messages(lines))
-        ratings = sinks.sharded(stream.stamped(parsed), SHARDS)
-        stream.append_files(ratings, target, progress, partition_by="shard").awaitTermination()
+        ratings = sinks.sharded(stream.stamped(parsed, arrival), SHARDS)
+        stream.append_files(ratings, target, progress, partition_by=("arrival", "shard")).awaitTermination()
         stored_ratings = spark.read.schema(ratings.schema).parquet(target)
-        new = stored_ratings.where(F.col("ingestedAt") > since)
-        lists = stream.rescore(stored_ratings.drop("ingestedAt"), similar, snapshot, new.drop("ingestedAt"))
+        new = stored_ratings.where(F.col("arrival") == arrival).drop("arrival")
+        lists = stream.rescore(stored_ratings.drop("arrival"), similar, snapshot, new)
         snapshot = stored(lists, "stream-recs")
-        since = F.lit(stored_ratings.agg(F.max("ingestedAt")).first()[0])
     return rounded(serving.flatten(snapshot, "userId", keep_empty=True), "score")
 
 

@@ -121,7 +121,7 @@ def append_files(
     checkpoint: str,
     continuous: bool = False,
     name: str | None = None,
-    partition_by: str | None = None,
+    partition_by: Iterable[str] = (),
 ) -> StreamingQuery:
     """Appends the stream to parquet files, exactly once across restarts.
 
@@ -131,7 +131,7 @@ def append_files(
     if name:
         writer = writer.queryName(name)
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*partition_by)
     trigger = {"processingTime": INTERVAL} if continuous else {"availableNow": True}
     return writer.outputMode("append").trigger(**trigger).start(path)
 
@@ -210,9 +210,12 @@ def compacted(versions: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------ incremental rescoring
 
 
-def stamped(ratings: DataFrame) -> DataFrame:
-    """Adds ``ingestedAt``, one time per micro-batch, so later jobs can ask for what is new."""
-    return ratings.withColumn("ingestedAt", F.current_timestamp())
+def stamped(ratings: DataFrame, arrival: int) -> DataFrame:
+    """Adds ``arrival``, the number of the run that takes the ratings in, to ask for what is new.
+
+    No clock is involved: a run that is repeated after a failure gives the rest the same number.
+    """
+    return ratings.withColumn("arrival", F.lit(arrival))
 
 
 def rescore(

@@ -4,11 +4,13 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from basketry import jobs, schemas
 from basketry.functions import LOG_MARKER
 from basketry.operators import realtime, serving
+from basketry.session import scratch, stored
 
 
 @pytest.fixture(scope="module")
@@ -73,7 +75,7 @@ def test_tune(spark, base):
 
 
 def test_following_the_log(spark, base, tmp_path):
-    log, since = tmp_path / "log", None
+    log = tmp_path / "log"
     log.mkdir()
     generator, clock = random.Random(1), 1_600_000_000
     for version in (1, 2, 3):
@@ -82,10 +84,10 @@ def test_following_the_log(spark, base, tmp_path):
             clock += 1
             lines.append(f"x {LOG_MARKER}{generator.randrange(12)}|{generator.randrange(30)}|4.5|{clock}")
         (log / f"{version}.txt").write_text("\n".join(lines) + "\n")
-        since = jobs.follow_log(spark, base, str(log), version, since, shards=4)
+        jobs.follow_log(spark, base, str(log), version, shards=4)
     logged = jobs.table(spark, base, jobs.LOGGED_RATING)
     assert logged.count() == 24
-    history = jobs.table(spark, base, jobs.RATING).unionByName(logged.drop("ingestedAt"))
+    history = jobs.table(spark, base, jobs.RATING).unionByName(logged.drop("arrival"))
     some = logged.where("userId = 3").select("userId", "shard").distinct()
     read = history.join(some, ["userId", "shard"], "left_semi")
     scans = [
@@ -101,3 +103,15 @@ def test_following_the_log(spark, base, tmp_path):
         return [(u, [(x["productId"], round(x["score"], 9)) for x in r]) for u, r in rows(df, "userId")]
 
     assert lists(kept) == lists(whole)
+    with pytest.raises(AnalysisException):  # older versions are gone
+        jobs.table(spark, base, f"{jobs.STREAM_RECS}/version=1")
+
+
+def test_stored_tables_go_with_their_job(spark):
+    with scratch(spark):
+        inner = stored(spark.range(5), "inner")
+        assert inner.count() == 5
+        path = inner.inputFiles()[0]
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+    assert stored(spark.range(5), "outer").count() == 5

@@ -125,7 +125,7 @@ def test_incremental_lists_equal_the_batch(spark, tmp_path):
     source = Source(tmp_path)
     pairs = [(a, b, round(0.4 + 0.6 * generator.random(), 3)) for a in range(30) for b in range(30) if a != b and generator.random() < 0.5]
     sims = similarity.from_pairs(spark.createDataFrame(pairs, "productId int, otherId int, sim double"))
-    snapshot, since, clock = spark.createDataFrame([], schemas.USER_RECS), "1970-01-01", 0
+    snapshot, clock = spark.createDataFrame([], schemas.USER_RECS), 0
     for batch in range(3):
         lines = []
         for _ in range(30):
@@ -133,17 +133,16 @@ def test_incremental_lists_equal_the_batch(spark, tmp_path):
             user = generator.choice([1, 2] if batch == 1 else range(8))
             lines.append(marked((user, generator.randrange(40), generator.randrange(1, 11) / 2, clock)))
         source.add(lines)
-        table = run(stream.stamped(ratings_of(spark, source)), tmp_path, "ratings")
-        new = table.where(F.col("ingestedAt") > F.lit(since).cast("timestamp"))
+        table = run(stream.stamped(ratings_of(spark, source), batch), tmp_path, "ratings")
+        new = table.where(F.col("arrival") == batch)
         assert new.count() == 30
-        ratings = table.drop("ingestedAt")
-        once = stream.rescore(ratings, sims, snapshot, new.drop("ingestedAt"))
+        ratings = table.drop("arrival")
+        once = stream.rescore(ratings, sims, snapshot, new.drop("arrival"))
         path = str(tmp_path / f"snapshot-{batch}")
         once.write.parquet(path)
         snapshot = spark.read.parquet(path)
-        again = stream.rescore(ratings, sims, snapshot, new.drop("ingestedAt"))
+        again = stream.rescore(ratings, sims, snapshot, new.drop("arrival"))
         assert recs_of(again) == recs_of(snapshot)
-        since = table.select(F.max("ingestedAt").cast("string")).first()[0]
     assert recs_of(snapshot) == recs_of(realtime.stream_recs(ratings, sims))
     assert len(recs_of(snapshot)) == 8
 
