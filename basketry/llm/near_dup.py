@@ -254,15 +254,19 @@ def components(links: DataFrame) -> DataFrame:
 
     # Every edge points from the larger to the smaller node.
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, before = stored(edges, "edges"), None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
-        before = state
+    edges = stored(edges, "edges")
+    while not are_stars(edges):
         edges = stored(star(star(edges, True), False), "edges")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )
+
+
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node points to one other at most, and none of those points further."""
+    if not edges.groupBy("a").count().where("count > 1").isEmpty():
+        return False
+    return edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
 
 
 def parts_of(members: DataFrame) -> DataFrame:
@@ -289,10 +293,12 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = components(links)
     split = dealt.where("parts > 1")
     if not split.isEmpty():
-        across = across_parts(split, stored(found, "components"))
+        found = stored(found, "components")
+        across = across_parts(split, found)
         if across is not None:
-            more = confirmed(across, documents, percent)
-            found = components(stored(links.union(more), "links"))
+            more = stored(confirmed(across, documents, percent), "links")
+            if not more.isEmpty():
+                found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     roots = sets.select("same", "node", "doc_id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")
     chosen = roots.groupBy("root").agg(F.min(order).alias("chosen"))
