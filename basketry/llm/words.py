@@ -15,8 +15,6 @@ SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD6E8FEB86659FD93
 SPACES = b" \t\n\v\f\r"
-DIGITS = b"0123456789"
-LETTERS = b"abcdefghijklmnopqrstuvwxyz"
 SEPARATOR = np.isin(np.arange(256), list(SPACES))
 
 
