@@ -488,7 +488,7 @@ def _factors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @query
 def factor_user_recs(spark, sf_dir):
-    return rounded(factors.user_lists(*_factors(spark, sf_dir), LIST), "score")
+    return factors.user_lists(*_factors(spark, sf_dir), LIST)
 
 
 @query

@@ -322,7 +322,7 @@ CHECKS: dict[str, str] = {
     "factor_user_recs": """
         SELECT x.vec_id::INTEGER AS userId,
                row_number() OVER (PARTITION BY x.vec_id ORDER BY d DESC, y_id)::INTEGER AS rank,
-               y_id::INTEGER AS productId, round(d, 6) AS score
+               y_id::INTEGER AS productId, d AS score
         FROM (SELECT x.vec_id, y.vec_id AS y_id,
                      round(list_dot_product(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 9) AS d
               FROM embeddings x, embeddings y) x
