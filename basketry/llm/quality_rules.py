@@ -110,8 +110,9 @@ def trusted_counts(documents: DataFrame, trusted: DataFrame, buckets: int = BUCK
     Tasks count each document that a bitmap of the trusted ids lets through; those counts, not the
     texts, are shuffled to the join with the ids, which decides.
     """
-    ids = stored(trusted.select("doc_id").where("doc_id IS NOT NULL").distinct(), "trusted")
-    key = F.xxhash64("doc_id").alias("key")
+    doc_id = F.col("doc_id").cast("bigint")
+    ids = stored(trusted.select(doc_id.alias("doc_id")).where("doc_id IS NOT NULL").distinct(), "trusted")
+    key = F.xxhash64(doc_id).alias("key")
     mask = documents.sparkSession.sparkContext.broadcast(bitmap(ids.select(key), "key"))
     schema = pa.schema([("doc_id", pa.int64()), ("grams", pa.binary())])
     width = "<u2" if buckets <= 1 << 16 else "<u4"
