@@ -36,7 +36,6 @@ def candidate_products(
         .join(similarity.members, "item")
         .withColumnRenamed("item", "trigger")
     )
-    trigger = stored(trigger, "triggers")
     furthest = trigger.groupBy("rep").agg(F.max("reach").alias("furthest"))
     lists = similarity.pairs.withColumnRenamed("item", "rep").join(furthest, "rep")
     sizes = similarity.members.groupBy(F.col("rep").alias("other")).agg(F.count("*").alias("size"))
