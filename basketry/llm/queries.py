@@ -11,6 +11,7 @@ from basketry.llm import (
     backoff,
     chat,
     decontaminate,
+    exact_dedup,
     license_scan,
     mixing,
     near_dup,
@@ -195,3 +196,15 @@ FROM texts LEFT JOIN scored USING (r) GROUP BY r, doc_id, w"""
 def op4_decontamination(spark, sf_dir):
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("node")
+
+
+@query
+def op12_exact_dedup(spark, sf_dir):
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+CHECKS["op12_exact_dedup"] = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+groups AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
+FROM texts JOIN groups USING (text)"""
