@@ -18,6 +18,7 @@ from basketry.llm import (
     quality_rules,
     ranking,
     secret_scan,
+    token_alignment,
     token_files,
 )
 
@@ -208,3 +209,8 @@ WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 groups AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY text)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
 FROM texts JOIN groups USING (text)"""
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    return token_alignment.alignment(table(spark, sf_dir, "documents"))
