@@ -20,6 +20,7 @@ from basketry.llm import (
     secret_scan,
     token_alignment,
     token_files,
+    turn_repair,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,3 +215,74 @@ FROM texts JOIN groups USING (text)"""
 @query
 def op13_token_alignment(spark, sf_dir):
     return token_alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_turn_repair(spark, sf_dir):
+    return turn_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+CHECKS["op11_turn_repair"] = """
+WITH RECURSIVE keyed AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), summed AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ascii(k[i])::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 20 AS fault
+  FROM keyed
+), rows AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+    unnest(CASE fault WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM summed
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS said,
+    role[1] AS initial
+  FROM rows
+), faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN said > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'ok' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS last
+  FROM faults GROUP BY conv_id
+), next AS (SELECT * FROM (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) AS t(s, nxt, as_role)),
+kept AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) AS t(s, letter, nxt)),
+paths AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS s, {'cost': 0::BIGINT, 'audit': '', 'done': ''} AS best FROM counts
+  UNION ALL
+  SELECT conv_id, pos, s, min(best) FROM (
+    WITH open AS (
+      SELECT conv_id, pos, s, best FROM paths
+      UNION ALL
+      SELECT conv_id, pos, nxt, {'cost': best.cost + 5, 'audit': best.audit || 'I', 'done': best.done || as_role || ':' || chr(10)}
+      FROM paths JOIN next USING (s)
+      UNION ALL
+      SELECT conv_id, pos, b.nxt, {'cost': best.cost + 10, 'audit': best.audit || 'II',
+        'done': best.done || a.as_role || ':' || chr(10) || b.as_role || ':' || chr(10)}
+      FROM paths JOIN next a USING (s) JOIN next b ON b.s = a.nxt
+    ), step AS (SELECT o.conv_id, f.pos, o.s, o.best, f.fault, f.initial, f.role, f.text, CASE f.fault WHEN 'truncated' THEN 5 ELSE 0 END AS more
+      FROM open o JOIN faults f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.pos = o.pos + 1)
+    SELECT conv_id, pos, s, {'cost': best.cost + 2, 'audit': best.audit || 'D', 'done': best.done} AS best FROM step
+    UNION ALL
+    SELECT conv_id, pos, nxt, {'cost': best.cost + 1 + more, 'audit': best.audit || 'R', 'done': best.done || as_role || ':' || text || chr(10)}
+    FROM step JOIN next USING (s) WHERE fault IN ('ok', 'truncated')
+    UNION ALL
+    SELECT conv_id, pos, nxt, {'cost': best.cost + more, 'audit': best.audit || 'K', 'done': best.done || role || ':' || text || chr(10)}
+    FROM step JOIN kept USING (s) WHERE letter = initial AND fault IN ('ok', 'truncated')
+  ) GROUP BY conv_id, pos, s
+), ends AS (
+  SELECT p.conv_id, min(CASE s WHEN 1 THEN {'cost': best.cost + 10, 'audit': best.audit || 'II', 'done': best.done || 'user:' || chr(10) || 'assistant:' || chr(10)}
+    WHEN 2 THEN {'cost': best.cost + 5, 'audit': best.audit || 'I', 'done': best.done || 'assistant:' || chr(10)} ELSE best END) AS best
+  FROM paths p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND p.pos = c.last GROUP BY p.conv_id
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost, coalesce(e.best.audit, '') AS audit,
+  sha256(coalesce(e.best.done[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM i.conv_id"""
