@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.words import SEPARATOR, Hasher, Slice, lowered, runs, text_slices
+from basketry.llm.words import SEPARATOR, Slice, lowered, runs, text_slices
 from basketry.session import fresh_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,8 +44,8 @@ SAMPLE_IDS = 4096
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
-# Each Python worker keeps the ids of so many pieces, some 30 bytes each, then starts over.
-KNOWN_PIECES = 2_000_000
+# Each Python worker keeps the ids of so many pieces, some 200 bytes each, then starts over.
+KNOWN_PIECES = 500_000
 
 FRAMES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("seq", pa.int64()), ("frame", pa.binary())])
 BLOCKS = pa.schema(
@@ -74,56 +74,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class Known:
-    """Id lists by 64-bit hash: sorted keys with places in a pool, and a smaller sorted part for new ones."""
-
-    def __init__(self, width: str):
-        self.pool = np.zeros(1 << 16, width)
-        self.used = 0
-        self.parts = [self._empty(), self._empty()]
-
-    @staticmethod
-    def _empty() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def __len__(self) -> int:
-        return sum(len(p[0]) for p in self.parts)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and length by key; length -1 for unknown ones."""
-        places, lengths = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
-        for known, place, length in self.parts:
-            if len(known):
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                hit = known[at] == keys
-                places[hit], lengths[hit] = place[at[hit]], length[at[hit]]
-        return places, lengths
-
-    def add(self, keys: np.ndarray, lists: list[np.ndarray]) -> None:
-        """New keys in ascending order with their ids."""
-        lengths = np.array([len(x) for x in lists], np.int64)
-        total = int(lengths.sum())
-        while self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + total] = np.concatenate(lists)
-        places = self.used + np.cumsum(lengths) - lengths
-        self.used += total
-        self.parts[1] = self._merged(self.parts[1], (keys, places, lengths))
-        if 8 * len(self.parts[1][0]) > len(self.parts[0][0]):
-            self.parts = [self._merged(*self.parts), self._empty()]
-
-    @staticmethod
-    def _merged(old: tuple, new: tuple) -> tuple:
-        order = np.argsort(np.concatenate([old[0], new[0]]), kind="stable")
-        return tuple(np.concatenate(x)[order] for x in zip(old, new, strict=True))
-
-
 class Encoder:
     """Ids of texts as little-endian arrays; equal to encoding each text at once.
 
     The tokenizer drops white space and looks at runs of letters, single digits and runs of other
-    signs one by one, so a text's ids are those of its pieces in turn. Pieces are looked up by hash;
-    new ones go to the tokenizer together. A-Z are lower-cased before, as the tokenizer's own
+    signs one by one, so a text's ids are those of its pieces in turn. Pieces are looked up by their
+    bytes; new ones go to the tokenizer together. A-Z are lower-cased before, as the tokenizer's own
     normaliser does. A text that might hold a special token's string goes to it whole.
     """
 
@@ -132,8 +88,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.hasher = Hasher()
-        self.known = Known(self.width)
+        self.forget()
+
+    def forget(self) -> None:
+        """No piece is known: (place among the pieces), and ids of all pieces on end with their starts."""
+        self.known: dict[bytes, int] = {}
+        self.pool, self.starts = np.zeros(1 << 16, self.width), np.zeros(1 << 12, np.int64)
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -161,25 +121,32 @@ class Encoder:
             found[i] = np.array(encoding.ids, self.width)
         return found
 
+    def learn(self, words: list[bytes]) -> None:
+        first, found = len(self.known), self._encoded(words)
+        ends = self.starts[first] + np.cumsum([len(x) for x in found])
+        while ends[-1] > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while first + len(words) >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.pool[self.starts[first] : ends[-1]] = np.concatenate(found)
+        self.starts[first + 1 : first + len(words) + 1] = ends
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+
     def encode(self, piece: Slice) -> list[np.ndarray]:
         """The ids of every row of a slice."""
         row, start, end = pieces(piece)
-        data = lowered(piece.data)
-        keys, first, which = np.unique(self.hasher.ranges(data, start, end), return_index=True, return_inverse=True)
-        places, lengths = self.known.find(keys)
-        new = np.flatnonzero(lengths < 0)
-        if len(self.known) + len(new) > KNOWN_PIECES:
-            self.known = Known(self.width)
-            new = np.arange(len(keys))
-        if len(new):
-            raw = data.tobytes()
-            spans = zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)
-            self.known.add(keys[new], self._encoded([raw[a:b] for a, b in spans]))
-            places, lengths = self.known.find(keys)
-        lengths = lengths[which]
+        raw = lowered(piece.data).tobytes()
+        words = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        if len(self.known) > KNOWN_PIECES:
+            self.forget()
+        if new := list(dict.fromkeys([w for w in words if w not in self.known])):
+            self.learn(new)
+        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        places = self.starts[which]
+        lengths = self.starts[which + 1] - places
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.known.pool[np.repeat(places[which] - (ends - lengths), lengths) + np.arange(total)]
+        ids = self.pool[np.repeat(places - (ends - lengths), lengths) + np.arange(total)]
         bounds = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(piece.last - piece.first + 1))]
         found = [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
         mark = np.flatnonzero((piece.data[:-1] == ord("<")) & (piece.data[1:] == ord("|")))
@@ -239,6 +206,8 @@ def train_dictionary(documents: DataFrame, path: str, end_id: int = END_ID) -> b
     sample = documents.select("doc_id", "text").where("length(text) > 0")
     chosen = sample.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     sample = sample.join(F.broadcast(chosen.distinct()), "doc_id")  # at most SAMPLE_DOCS ids
+    # A chosen id may stand for many rows: equal ones count once, and the same ones are taken in every run.
+    sample = sample.dropDuplicates(["doc_id", "text"]).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE_DOCS)
     encoded = id_batches(path, end_id)
 
     def run(batches):
@@ -246,8 +215,7 @@ def train_dictionary(documents: DataFrame, path: str, end_id: int = END_ID) -> b
             size = np.dtype(width).itemsize
             yield pa.RecordBatch.from_arrays([pa.array([x[: SAMPLE_IDS * size] for x in arrays], pa.binary())], names=["ids"])
 
-    # Copies of a chosen id would add rows: the limit keeps the driver's share bounded.
-    rows = sample.mapInArrow(run, "ids binary").limit(SAMPLE_DOCS).collect()
+    rows = sample.mapInArrow(run, "ids binary").collect()
     samples = sorted(bytes(r.ids) for r in rows)
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()

@@ -11,9 +11,12 @@ import pyarrow.compute as pc
 
 # A slice holds whole documents of about this many bytes; a longer document is a slice of its own.
 SLICE_BYTES = 1 << 20
-# Odd constants of the rolling hashes.
+# Odd constants of the hashes.
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD6E8FEB86659FD93
+# Byte ranges up to this length are hashed together, 8 bytes of each at a time.
+LONG_RANGE = 64
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 SPACES = b" \t\n\v\f\r"
 SEPARATOR = np.isin(np.arange(256), list(SPACES))
 
@@ -87,28 +90,31 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Hashes byte ranges by differences of one running sum; the power tables grow as needed."""
+    """64-bit hashes of byte ranges, by blocks of 8 bytes that are each mixed in; long ranges go to XXH3.
+
+    No sum of powers: such sums modulo 2 ** 64 give many pairs of regular words one hash.
+    """
 
     def __init__(self, seed: int = 1):
-        values = np.arange(1, 257, dtype=np.uint64) * np.uint64(STEP) + np.uint64(seed)
-        self.values = mixed(values)
-        self.powers = self.inverse = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, SLICE_BYTES + 1)
-            steps = np.full(n, BASE, np.uint64)
-            steps[0] = 1
-            self.powers = np.multiply.accumulate(steps)
-            steps[1:] = pow(BASE, -1, 1 << 64)
-            self.inverse = np.multiply.accumulate(steps)
+        import xxhash
+
+        self.seed, self.long = seed, xxhash.xxh3_64_intdigest
 
     def ranges(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        self._grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
-        found = (sums[end] - sums[start]) * self.inverse[start]
-        return mixed(found + (end - start).astype(np.uint64))
+        size = end - start
+        found = mixed(size.astype(np.uint64) * np.uint64(STEP) + np.uint64(self.seed))
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        # The 8 bytes from every place on, as one number.
+        blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+        left, at = np.flatnonzero((size > 0) & (size <= LONG_RANGE)), 0
+        while len(left):
+            rest = size[left] - at
+            found[left] = mixed(found[left] ^ (blocks[start[left] + at] & LOW_BYTES[np.minimum(rest, 8)]))
+            left, at = left[rest > 8], at + 8
+        raw = memoryview(padded)
+        for i in np.flatnonzero(size > LONG_RANGE).tolist():
+            found[i] = self.long(raw[start[i] : end[i]], self.seed)
+        return found
 
 
 def space_words(piece: Slice, hasher: Hasher | None = None, lower: bool = True) -> Words:

@@ -93,3 +93,9 @@ def test_sets_of_a_slice():
     row, _ = near_dup.shingle_sets(piece, Hasher())
     assert np.bincount(row, minlength=5).tolist() == [len(shingle_set(t)) for t in texts]
     assert np.bincount(row, minlength=5).tolist() == [2, 1, 0, 1, 1]
+
+
+def test_regular_words_are_not_linked(spark):
+    texts = ["".join(("ab", "ba")[k][i.bit_count() & 1] for i in range(n)) for n in (512, 1024, 2048, 4096) for k in (0, 1)]
+    found = near_dup.near_duplicates(docs(spark, texts)).collect()
+    assert all(r.kept and r.component_id == r.doc_id for r in found)

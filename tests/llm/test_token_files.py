@@ -77,3 +77,19 @@ def test_forgetting_pieces_changes_nothing(tokenizer, monkeypatch):
     encoder = tf.Encoder(tf.tokenizer_path())
     got = [x.tolist() for p in text_slices(pa.array(texts), 20) for x in encoder.encode(p)]
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_regular_words(spark, tokenizer):
+    """Words that sums of powers modulo 2 ** 64 give one hash."""
+    texts = ["".join(("ab", "ba")[k][i.bit_count() & 1] for i in range(n)) for n in (512, 1024, 2048, 4096) for k in (0, 1)]
+    path = fresh_path(spark, "tokens")
+    tf.write(docs(spark, texts), path)
+    assert sorted(tuple(r) for r in tf.digests(spark, path).collect()) == expected(tokenizer, list(enumerate(texts)))
+
+
+def test_same_dictionary_whatever_the_order(spark):
+    """Also where a chosen id stands for many rows."""
+    rows = [(i % 3, " ".join(f"word{(i * k) % 97}" for k in range(60))) for i in range(900)] * 2
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {tf.train_dictionary(t, tf.tokenizer_path()) for t in (table.repartition(3), table.repartition(5), table.orderBy("text"))}
+    assert len(found) == 1 and found != {b""}

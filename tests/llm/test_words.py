@@ -38,3 +38,20 @@ def test_sliced_column_and_long_text():
     assert len(space_words(pieces[-1]).row) == 5000
     assert list(text_slices(pa.array([], pa.string()))) == []
     assert np.array_equal(space_words(next(text_slices(pa.array([None]).cast(pa.string())))).row, [])
+
+
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() & 1] for i in range(n)), "".join("ba"[i.bit_count() & 1] for i in range(n))
+
+
+def test_regular_words_have_hashes_of_their_own():
+    words = [w for n in (2, 8, 9, 16, 63, 64, 65, 512, 1024, 2048, 4096) for w in thue_morse(n)]
+    words += ["a" * n for n in range(1, 200) if n > 1] + ["a" * n + "\x00" for n in range(20)]
+    [piece] = text_slices(pa.array(words))
+    found = Hasher().ranges(piece.data, piece.offsets[:-1], piece.offsets[1:])
+    assert len(set(found.tolist())) == len(set(words))
+    # Wherever a range stands, its hash is the same.
+    [piece] = text_slices(pa.array([f"x {w} y" for w in words]))
+    again = space_words(piece, Hasher(), lower=False)
+    by_place = again.hash[1::3]
+    assert np.array_equal(by_place, found)
