@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from basketry import schemas
-from basketry.operators import factorization, ratings, similarity, statistics
-from basketry.session import remove, scratch, stored
+from basketry.operators import factorization, ratings, realtime, similarity, statistics
+from basketry.session import scratch, stored
 from basketry.sources import files, sinks
+from basketry.sources.keyed import MOST, KeyedTable
 from basketry.streaming import events
 
 # Table names.
@@ -22,6 +23,7 @@ PRODUCT_RECS = "ProductRecs"
 ITEM_CF_RECS = "ItemCFProductRecs"
 CONTENT_RECS = "ContentBasedProductRecs"
 STREAM_RECS = "StreamRecs"
+RECENT = "RecentRatings"
 
 PRODUCT_PAIRS = "ProductSimilarityPairs"
 PRODUCT_MEMBERS = "ProductSimilarityMembers"
@@ -29,13 +31,32 @@ PRODUCT_MEMBERS = "ProductSimilarityMembers"
 PRODUCT_TABLES = (PRODUCT_PAIRS, PRODUCT_MEMBERS, PRODUCT_RECS)
 ITEM_CF_TABLES = ("ItemCFPairs", "ItemCFMembers", ITEM_CF_RECS)
 CONTENT_TABLES = ("ContentBasedPairs", "ContentBasedMembers", CONTENT_RECS)
-LOGGED_RATING = "LoggedRating"
+PRODUCT_INDEX = "ProductSimilarityIndex"
+LOG_PROGRESS = "LogProgress"
 REJECTED = "Rejected"
 SHARDS = 256
 
 
+def rating_table(spark: SparkSession, base: str) -> KeyedTable:
+    """Ratings by user: those loaded, and of every (user, product) rated since, the newest."""
+    return KeyedTable(spark, f"{base}/{RATING}", schemas.RATING, ["userId", "productId"], ("timestamp",))
+
+
+def list_table(spark: SparkSession, base: str) -> KeyedTable:
+    """The real-time list of every user, the last one written."""
+    return KeyedTable(spark, f"{base}/{STREAM_RECS}", schemas.USER_RECS, ["userId"])
+
+
+def recent_table(spark: SparkSession, base: str) -> KeyedTable:
+    """The newest ratings of every user in one row; rating a product again does not take the older entry away."""
+    return KeyedTable(spark, f"{base}/{RECENT}", schemas.RECENT_LISTS, ["userId"])
+
+
+KEYED = {RATING: rating_table, RECENT: recent_table, STREAM_RECS: list_table}
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{name}")
+    return KEYED[name](spark, base).read() if name in KEYED else spark.read.parquet(f"{base}/{name}")
 
 
 def load(
@@ -43,7 +64,7 @@ def load(
 ) -> None:
     """Product and rating files to tables laid out for lookup; unusable rows go to their own tables.
 
-    Ratings are partitioned by a hash of the user, as are those that follow from the log.
+    Ratings are partitioned by a hash of the user; those that follow from the log join them there.
     """
     products = files.typed_products(
         files.delimited(spark, product_file, schemas.PRODUCT_FILE, "^")
@@ -52,13 +73,14 @@ def load(
     for name, rows in ((PRODUCT, products), (RATING, scored)):
         sinks.overwrite(files.quarantined(rows), f"{base}/{REJECTED}{name}")
     sinks.overwrite_for_lookup(files.accepted(products), f"{base}/{PRODUCT}", "productId")
-    sinks.overwrite_sharded(
-        sinks.sharded(files.accepted(scored), shards),
-        f"{base}/{RATING}",
-        "userId",
-        "productId",
-        "timestamp",
-    )
+    start_ratings(spark, base, files.accepted(scored), shards)
+
+
+def start_ratings(spark: SparkSession, base: str, scored: DataFrame, shards: int = SHARDS) -> None:
+    """The rating table and every user's newest ratings, to be followed by :func:`take_ratings`."""
+    rating_table(spark, base).load(scored, shards)
+    newest = ratings.to_recent_lists(table(spark, base, RATING), events.CAPACITY)
+    recent_table(spark, base).load(newest, shards)
 
 
 def count_ratings(spark: SparkSession, base: str) -> None:
@@ -80,10 +102,11 @@ def factorize(
 ) -> None:
     """User lists, the whole product similarity (pairs of classes and members), and product lists of n."""
     with scratch(spark):
-        rated = table(spark, base, RATING).drop("shard")
+        rated = table(spark, base, RATING)
         model = factorization.train(ratings.upsert(rated, rated.limit(0)), rank, iterations, reg_param)
         sinks.overwrite(factorization.user_recs(model, n), f"{base}/{USER_RECS}")
         _write_similarity(spark, base, factorization.product_similarity(model, threshold), n, *PRODUCT_TABLES)
+        similarity.write_index(product_similarity(spark, base), f"{base}/{PRODUCT_INDEX}", rating_table(spark, base).shards())
 
 
 def product_similarity(spark: SparkSession, base: str) -> similarity.Similarity:
@@ -119,29 +142,34 @@ def tune(spark: SparkSession, base: str, **grid) -> DataFrame:
         return factorization.best_point(factorization.grid_search(train, test, **grid))
 
 
-def follow_log(spark: SparkSession, base: str, log: str, version: int, shards: int = SHARDS) -> None:
-    """Takes in what was appended to the log folder and writes real-time lists as a new version.
+def take_ratings(spark: SparkSession, base: str, new: DataFrame, version: int, most: int = MOST) -> None:
+    """Merges new ratings into the rating table and renews the lists of their users, as one version.
 
-    ``version`` is one more than that of the last call that succeeded, 1 at first. A call that failed is
-    repeated with its version: what it took in already keeps that number. ``shards`` as for :func:`load`.
+    What is read and written goes with the ratings taken in: their users' shards, the stored lists of the
+    products just rated as far as needed, and one folder for each shard touched. A version that was
+    taken in before is left as it is, so a call that failed is simply repeated.
     """
-    lines = events.text_lines(spark, log)
-    parsed = events.parsed_ratings(events.rating_messages(lines))
-    arriving = sinks.sharded(events.stamped(parsed, version), shards)
-    target = f"{base}/{LOGGED_RATING}"
-    events.append_files(
-        arriving, target, f"{target}-progress", partition_by=("arrival", "shard")
-    ).awaitTermination()
-    logged = spark.read.schema(arriving.schema).parquet(target)
-    new = logged.where(F.col("arrival") == version).drop("arrival")
-    before = (
-        spark.createDataFrame([], schemas.USER_RECS)
-        if version == 1
-        else table(spark, base, f"{STREAM_RECS}/version={version - 1}")
-    )
-    history = table(spark, base, RATING).unionByName(logged.drop("arrival"))
-    with scratch(spark):
-        lists = events.rescore(history, product_similarity(spark, base), before, new)
-        sinks.overwrite(lists, f"{base}/{STREAM_RECS}/version={version}")
-    if version > 2:  # the version before stays for readers that have just begun
-        remove(spark, f"{base}/{STREAM_RECS}/version={version - 2}")
+    scored, recent, lists = (KEYED[name](spark, base) for name in (RATING, RECENT, STREAM_RECS))
+    scored.append(new, version)
+    taken = scored.changes(version)
+    if version > recent.version():
+        before = ratings.from_recent_lists(recent.lookup(taken)).drop("position")
+        recent.append(ratings.to_recent_lists(before.unionByName(taken), events.CAPACITY), version)
+    if version > lists.version():
+        index = similarity.read_index(spark, f"{base}/{PRODUCT_INDEX}", scored.shards())
+        with scratch(spark):
+            history = stored(scored.lookup(taken), "history")
+            newest = ratings.from_recent_lists(recent.changes(version))
+            lists.append(realtime.indexed_recs(history, index, taken, newest), version, scored.shards())
+    for one in (scored, recent, lists):
+        one.compact(most)
+
+
+def follow_log(spark: SparkSession, base: str, log: str, continuous: bool = False) -> StreamingQuery:
+    """Takes in what is appended to the log folder, batch by batch: all that is there, or on and on."""
+
+    def take(batch: DataFrame, number: int) -> None:
+        # Version 1 is what was loaded. A repeated batch has its number again.
+        take_ratings(spark, base, events.parsed_ratings(events.rating_messages(batch)), number + 2)
+
+    return events.for_each_batch(events.text_lines(spark, log), take, f"{base}/{LOG_PROGRESS}", continuous)

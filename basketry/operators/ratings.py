@@ -47,6 +47,20 @@ def recent_ratings(ratings: DataFrame, n: int = 20) -> DataFrame:
     return ratings.withColumn("position", position).where(F.col("position") <= n)
 
 
+def to_recent_lists(ratings: DataFrame, n: int) -> DataFrame:
+    """(userId, recents): the n newest ratings of each user in one row, newest first."""
+    entry = F.struct("position", "productId", "score", "timestamp")
+    lists = recent_ratings(ratings, n).groupBy("userId").agg(F.array_sort(F.collect_list(entry)).alias("l"))
+    return lists.select("userId", F.transform("l", lambda e: F.struct(e.productId, e.score, e.timestamp)).alias("recents"))
+
+
+def from_recent_lists(lists: DataFrame) -> DataFrame:
+    """(userId, position, productId, score, timestamp), the rows of the lists."""
+    return lists.select("userId", F.posexplode("recents").alias("at", "e")).select(
+        "userId", (F.col("at") + 1).alias("position"), "e.productId", "e.score", "e.timestamp"
+    )
+
+
 def latest_rating(ratings: DataFrame) -> DataFrame:
     """The newest rating of each user; the same one that has position 1 in recent_ratings."""
     whole = F.struct("timestamp", "productId", "score")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import log_gain
 from basketry.operators.ratings import latest_rating, recent_ratings
-from basketry.operators.similarity import Similarity
+from basketry.operators.similarity import Index, Similarity
 from basketry.session import stored
 
 
@@ -83,22 +83,88 @@ def score_candidates(
     )
     # Only the lists of candidates are read; a batch has few.
     close = close.join(candidates.select("rep").distinct(), "rep", "left_semi")
+    asked = candidates.select("userId", "productId", "rep").join(recent, "userId")
+    return _mean_scores(asked.join(close, ["rep", "recent_rep"]))
+
+
+def _mean_scores(rows: DataFrame) -> DataFrame:
+    """(userId, productId, score) from each candidate's similar recent ratings (sim, stars)."""
     liked = F.col("stars") > 3
+    return rows.groupBy("userId", "productId").agg(
+        (
+            F.avg(F.col("sim") * F.col("stars"))
+            + log_gain(F.count_if(liked))
+            - log_gain(F.count_if(~liked))
+        ).alias("score")
+    )
+
+
+def indexed_candidates(events: DataFrame, ratings: DataFrame, index: Index, n: int = 20) -> DataFrame:
+    """As :func:`candidate_products`, from stored lists that are read as far as they can matter.
+
+    Of a list, rows of rank and with products ahead within n + 1 + what the user has rated; of a class,
+    as many members. No list is sorted, and none is read beyond that.
+    """
+    rated = ratings.select("userId", "productId").distinct()
+    reach = rated.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
+    trigger = events.select("userId", F.col("productId").alias("item")).join(reach, "userId", "left")
+    trigger = trigger.withColumn("reach", F.coalesce("reach", F.lit(n + 1)))
+    trigger = stored(trigger.join(index.reps_of(trigger), "item").withColumnRenamed("item", "trigger"), "triggers")
+    furthest = trigger.groupBy(F.col("rep").alias("item")).agg(F.max("reach").alias("furthest"))
+    near = index.lists_of(furthest).join(furthest, "item").where("rank <= furthest AND ahead < furthest")
+    near = stored(near, "near")
+    several = near.where("size > 1")
+    members = index.members_of(several.select(F.col("other").alias("rep"))).select(
+        F.col("rep").alias("other"), "place", F.col("item").alias("productId")
+    )
+    most = several.groupBy("other").agg(F.max("furthest").alias("most"))
+    members = members.join(most, "other").where("place <= most").drop("most")
+    listed = near.where("size = 1").withColumns({"place": F.lit(1), "productId": F.col("other")})
+    listed = listed.unionByName(several.join(members, "other")).withColumnRenamed("item", "rep")
+    possible = (
+        trigger.join(listed, "rep")
+        .where("rank <= reach AND ahead < reach AND place <= reach AND productId <> trigger")
+        .select("userId", "productId", "other", "sim")
+        .join(rated, ["userId", "productId"], "left_anti")
+    )
+    place = Window.partitionBy("userId").orderBy(F.desc("sim"), "productId")
     return (
-        candidates.select("userId", "productId", "rep")
-        .join(recent, "userId")
-        .join(close, ["rep", "recent_rep"])
-        .groupBy("userId", "productId")
-        .agg(
-            (
-                F.avg(F.col("sim") * F.col("stars"))
-                + log_gain(F.count_if(liked))
-                - log_gain(F.count_if(~liked))
-            ).alias("score")
-        )
+        possible.withColumn("rank", F.row_number().over(place))
+        .where(F.col("rank") <= n)
+        .select("userId", "rank", "productId", F.col("other").alias("rep"), "sim")
     )
 
 
+def indexed_scores(candidates: DataFrame, recents: DataFrame, index: Index, threshold: float = 0.4) -> DataFrame:
+    """As :func:`score_candidates`; only the similarities of candidates to recent ratings are read."""
+    recent = recents.select("userId", F.col("productId").alias("item"), F.col("score").alias("stars"))
+    recent = recent.join(index.reps_of(recent), "item").select("userId", F.col("rep").alias("other"), "stars")
+    asked = candidates.select("userId", "productId", F.col("rep").alias("item")).join(recent, "userId")
+    sims = index.sims(asked.select("item", "other").distinct()).where(F.col("sim") > threshold)
+    return _mean_scores(asked.join(sims, ["item", "other"]))
+
+
+def indexed_recs(
+    ratings: DataFrame,
+    index: Index,
+    events: DataFrame,
+    recents: DataFrame | None = None,
+    n_recent: int = 20,
+    n_candidates: int = 20,
+    threshold: float = 0.4,
+) -> DataFrame:
+    """As :func:`stream_recs` for the users of ``events``, whose ratings ``ratings`` holds.
+
+    ``recents``: their newest ratings with ``position``, where these are kept apart.
+    """
+    events = latest_rating(events)
+    newest = stored(recent_ratings(ratings, n_recent), "recent-ratings") if recents is None else recents
+    recents = newest.where(F.col("position") <= n_recent)
+    candidates = stored(indexed_candidates(events, ratings, index, n_candidates), "candidates")
+    scored = indexed_scores(candidates, recents, index, threshold)
+    return to_user_recs(events.select("userId"), ranked_scores(scored))
+
+
 def ranked_scores(scored: DataFrame) -> DataFrame:
     """Adds ``rank`` by score within each user."""
     place = Window.partitionBy("userId").orderBy(F.desc("score"), "productId")

@@ -6,22 +6,27 @@ with the very same content are computed once, as one representative.
 """
 
 from .common import Similarity, kept
+from .index import Index, ranked_lists, read_index, write_index
 from .lists import as_map, as_recs, from_pairs, sim_between, sim_of, top_similar, whole_lists
 from .raters import rater_similarity
 from .tags import tag_similarity
 from .vectors import vector_similarity
 
 __all__ = [
+    "Index",
     "Similarity",
     "as_map",
     "as_recs",
     "from_pairs",
     "kept",
+    "ranked_lists",
     "rater_similarity",
+    "read_index",
     "sim_between",
     "sim_of",
     "tag_similarity",
     "top_similar",
     "vector_similarity",
     "whole_lists",
+    "write_index",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry import schemas
+from basketry import jobs, schemas
 from basketry.functions import log_line, normalise_score, split_list
 from basketry.operators import factorization as als
 from basketry.operators import factors
@@ -343,6 +343,11 @@ def item_cf_orders(spark, sf_dir):
     return _pairs(similarity.rater_similarity(tables.order_ratings(spark, sf_dir), 0.1))
 
 
+@query
+def item_cf_orders_members(spark, sf_dir):
+    return _members(similarity.rater_similarity(tables.order_ratings(spark, sf_dir), 0.1))
+
+
 @query
 def item_cf_recs(spark, sf_dir):
     return _top(similarity.rater_similarity(tables.event_ratings(spark, sf_dir)))
@@ -416,6 +421,49 @@ def stream_recs(spark, sf_dir):
     return rounded(serving.flatten(recs, "userId", keep_empty=True), "score")
 
 
+@query
+def similarity_index(spark, sf_dir):
+    """The stored lists that real-time look-ups read: place in the list, and products of more similar classes."""
+    path = fresh_path(spark, "similarity-index")
+    similarity.write_index(_co_rated(tables.event_ratings(spark, sf_dir)), path, SHARDS)
+    lists = similarity.read_index(spark, path, SHARDS).lists
+    listed = lists.select(F.col("item").alias("productId"), "rank", "ahead", F.col("other").alias("otherId"), "size", "sim")
+    return rounded(listed, "sim")
+
+
+@query
+def indexed_recs(spark, sf_dir):
+    """As stream_recs, from the stored lists."""
+    ratings = stored(tables.event_ratings(spark, sf_dir), "ratings")
+    path = fresh_path(spark, "similarity-index")
+    similarity.write_index(_co_rated(ratings), path, SHARDS)
+    recs = realtime.indexed_recs(ratings, similarity.read_index(spark, path, SHARDS), ratings)
+    return rounded(serving.flatten(recs, "userId", keep_empty=True), "score")
+
+
+@query
+def rating_merge(spark, sf_dir):
+    """Statistics of the rating table after event ratings were merged into the order ratings, in three batches."""
+    base = fresh_path(spark, "merged")
+    merged = jobs.rating_table(spark, base)
+    merged.load(history.upsert(tables.order_ratings(spark, sf_dir), tables.order_ratings(spark, sf_dir).limit(0)), SHARDS)
+    new = stored(tables.event_ratings(spark, sf_dir), "new")
+    for part in range(3):
+        merged.append(new.where(F.col("timestamp") % 3 == part), part + 2)
+        merged.compact(most=1)
+    return rounded(statistics.average_score(merged.read()), "avg")
+
+
+@query
+def rating_merge_rows(spark, sf_dir):
+    """The merged rating table itself."""
+    base = fresh_path(spark, "merged")
+    merged = jobs.rating_table(spark, base)
+    merged.load(history.upsert(tables.order_ratings(spark, sf_dir), tables.order_ratings(spark, sf_dir).limit(0)), SHARDS)
+    merged.append(tables.event_ratings(spark, sf_dir), 2)
+    return merged.read()
+
+
 # -------------------------------------------------------------------------- matrix factorisation
 
 
@@ -606,6 +654,21 @@ def stream_rescore(spark, sf_dir):
     return rounded(serving.flatten(snapshot, "userId", keep_empty=True), "score")
 
 
+@query
+def stream_follow_log(spark, sf_dir):
+    """The job that follows a log: two arrivals, each merged into the ratings, whose users get their lists anew."""
+    base, source = fresh_path(spark, "follow"), fresh_path(spark, "log")
+    jobs.start_ratings(spark, base, spark.createDataFrame([], schemas.RATING), SHARDS)
+    similarity.write_index(_co_rated(tables.event_ratings(spark, sf_dir)), f"{base}/{jobs.PRODUCT_INDEX}", SHARDS)
+    log = tables.event_log(spark, sf_dir)
+    half = log.agg(F.avg("event_id")).first()[0]
+    for arrival in (F.col("event_id") <= half, F.col("event_id") > half):
+        log.where(arrival).select("value").write.mode("append").text(source)
+        jobs.follow_log(spark, base, source).awaitTermination()
+    lists = jobs.table(spark, base, jobs.STREAM_RECS)
+    return rounded(serving.flatten(lists, "userId", keep_empty=True), "score")
+
+
 @query
 def stream_user_recents(spark, sf_dir):
     """The bounded history of every user after the whole stream."""

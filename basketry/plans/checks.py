@@ -358,3 +358,16 @@ CHECKS: dict[str, str] = {
         FROM r_event QUALIFY position <= 40""",
 }
 CHECKS["stream_rescore"] = CHECKS["stream_recs"]
+CHECKS["indexed_recs"] = CHECKS["stream_recs"]
+CHECKS["stream_follow_log"] = CHECKS["stream_recs"]
+CHECKS["similarity_index"] = f"""WITH {CO_RATED},
+    listed AS (SELECT a, b, sim, copies AS size FROM sim JOIN rep ON b = productId)
+    SELECT a AS productId, (row_number() OVER (PARTITION BY a ORDER BY sim DESC, b))::INTEGER AS rank,
+           coalesce(sum(size) OVER (PARTITION BY a ORDER BY sim DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             - sum(size) OVER (PARTITION BY a, sim), 0)::BIGINT AS ahead,
+           b AS otherId, size::BIGINT AS size, round(sim, 6) AS sim
+    FROM listed"""
+CHECKS["rating_merge_rows"] = CHECKS["rating_upsert"]
+CHECKS["rating_merge"] = f"""SELECT productId, round(avg(score), 6) AS avg
+    FROM ({CHECKS["rating_upsert"]}) GROUP BY productId"""
+CHECKS["item_cf_orders_members"] = f"WITH {R_ORDER + co_rating('r_order', 0.1)} SELECT productId, sameAs FROM rep"

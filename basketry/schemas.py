@@ -53,6 +53,13 @@ RECOMMENDATION = T.StructType(
     ]
 )
 
+RECENT_LISTS = T.StructType(
+    [
+        T.StructField("userId", T.IntegerType()),
+        T.StructField("recents", T.ArrayType(T.StructType(RATING.fields[1:]))),
+    ]
+)
+
 USER_RECS = T.StructType(
     [
         T.StructField("userId", T.IntegerType()),

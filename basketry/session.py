@@ -83,8 +83,40 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder wherever it is, by the file system of its scheme."""
+    target, system = _file_system(spark, path)
+    system.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder wherever it is; none if there is no such folder."""
+    target, system = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in system.listStatus(target)) if system.exists(target) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    target, system = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = system.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not system.rename(draft, target):
+        system.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, system = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 # The stored tables of the jobs that are running, the innermost last.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from operator import and_
 
@@ -136,6 +136,15 @@ def append_files(
     return writer.outputMode("append").trigger(**trigger).start(path)
 
 
+def for_each_batch(
+    df: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str, continuous: bool = False
+) -> StreamingQuery:
+    """Calls ``take`` with each micro-batch and its number; a batch that failed comes again under its number."""
+    trigger = {"processingTime": INTERVAL} if continuous else {"availableNow": True}
+    writer = df.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
+
+
 def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
     """Sends (key, value) rows to a topic every two seconds; needs the Kafka connector."""
     return (
