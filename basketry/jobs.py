@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry import schemas
 from basketry.operators import factorization, ratings, realtime, similarity, statistics
-from basketry.session import scratch, stored
+from basketry.session import gathered, scratch, stored
 from basketry.sources import files, sinks
 from basketry.sources.keyed import MOST, KeyedTable
 from basketry.streaming import events
@@ -151,15 +151,15 @@ def take_ratings(spark: SparkSession, base: str, new: DataFrame, version: int, m
     """
     scored, recent, lists = (KEYED[name](spark, base) for name in (RATING, RECENT, STREAM_RECS))
     scored.append(new, version)
-    taken = scored.changes(version)
+    taken = gathered(scored.changes(version), "taken")
     if version > recent.version():
         before = ratings.from_recent_lists(recent.lookup(taken)).drop("position")
         recent.append(ratings.to_recent_lists(before.unionByName(taken), events.CAPACITY), version)
     if version > lists.version():
         index = similarity.read_index(spark, f"{base}/{PRODUCT_INDEX}", scored.shards())
         with scratch(spark):
-            history = stored(scored.lookup(taken), "history")
-            newest = ratings.from_recent_lists(recent.changes(version))
+            history = gathered(scored.lookup(taken), "history")
+            newest = gathered(ratings.from_recent_lists(recent.changes(version)), "newest")
             lists.append(realtime.indexed_recs(history, index, taken, newest), version, scored.shards())
     for one in (scored, recent, lists):
         one.compact(most)

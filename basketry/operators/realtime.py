@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from basketry.functions import log_gain
 from basketry.operators.ratings import latest_rating, recent_ratings
 from basketry.operators.similarity import Index, Similarity
-from basketry.session import stored
+from basketry.session import gathered, stored
 
 
 def candidate_products(
@@ -109,10 +109,11 @@ def indexed_candidates(events: DataFrame, ratings: DataFrame, index: Index, n: i
     reach = rated.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
     trigger = events.select("userId", F.col("productId").alias("item")).join(reach, "userId", "left")
     trigger = trigger.withColumn("reach", F.coalesce("reach", F.lit(n + 1)))
-    trigger = stored(trigger.join(index.reps_of(trigger), "item").withColumnRenamed("item", "trigger"), "triggers")
+    trigger = gathered(trigger.join(index.reps_of(events.select(F.col("productId").alias("item"))), "item"), "triggers")
+    trigger = trigger.withColumnRenamed("item", "trigger")
     furthest = trigger.groupBy(F.col("rep").alias("item")).agg(F.max("reach").alias("furthest"))
-    near = index.lists_of(furthest).join(furthest, "item").where("rank <= furthest AND ahead < furthest")
-    near = stored(near, "near")
+    near = index.lists_of(trigger.select(F.col("rep").alias("item"))).join(furthest, "item")
+    near = gathered(near.where("rank <= furthest AND ahead < furthest"), "near")
     several = near.where("size > 1")
     members = index.members_of(several.select(F.col("other").alias("rep"))).select(
         F.col("rep").alias("other"), "place", F.col("item").alias("productId")
@@ -140,8 +141,8 @@ def indexed_scores(candidates: DataFrame, recents: DataFrame, index: Index, thre
     recent = recents.select("userId", F.col("productId").alias("item"), F.col("score").alias("stars"))
     recent = recent.join(index.reps_of(recent), "item").select("userId", F.col("rep").alias("other"), "stars")
     asked = candidates.select("userId", "productId", F.col("rep").alias("item")).join(recent, "userId")
-    sims = index.sims(asked.select("item", "other").distinct()).where(F.col("sim") > threshold)
-    return _mean_scores(asked.join(sims, ["item", "other"]))
+    close = index.sims_of(candidates.select(F.col("rep").alias("item"))).where(F.col("sim") > threshold)
+    return _mean_scores(asked.join(close, ["item", "other"]))
 
 
 def indexed_recs(
@@ -157,10 +158,10 @@ def indexed_recs(
 
     ``recents``: their newest ratings with ``position``, where these are kept apart.
     """
-    events = latest_rating(events)
-    newest = stored(recent_ratings(ratings, n_recent), "recent-ratings") if recents is None else recents
-    recents = newest.where(F.col("position") <= n_recent)
-    candidates = stored(indexed_candidates(events, ratings, index, n_candidates), "candidates")
+    events = gathered(latest_rating(events), "latest")
+    newest = recent_ratings(ratings, n_recent) if recents is None else recents
+    recents = gathered(newest.where(F.col("position") <= n_recent), "recent-ratings")
+    candidates = gathered(indexed_candidates(events, ratings, index, n_candidates), "candidates")
     scored = indexed_scores(candidates, recents, index, threshold)
     return to_user_recs(events.select("userId"), ranked_scores(scored))
 

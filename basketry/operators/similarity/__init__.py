@@ -6,7 +6,7 @@ with the very same content are computed once, as one representative.
 """
 
 from .common import Similarity, kept
-from .index import Index, ranked_lists, read_index, write_index
+from .index import Index, ranked_lists, read_index, whole_table, write_index
 from .lists import as_map, as_recs, from_pairs, sim_between, sim_of, top_similar, whole_lists
 from .raters import rater_similarity
 from .tags import tag_similarity
@@ -28,5 +28,6 @@ __all__ = [
     "top_similar",
     "vector_similarity",
     "whole_lists",
+    "whole_table",
     "write_index",
 ]

@@ -22,32 +22,37 @@ from basketry.sources.sinks import overwrite_sharded, sharded
 
 from .common import Similarity
 
-TABLES = ("lists", "pairs", "reps", "members")
+SCHEMAS = {
+    "lists": "item int, rank int, ahead bigint, other int, size bigint, sim double, shard int",
+    "pairs": "item int, other int, sim double, shard int",
+    "reps": "item int, rep int, shard int",
+    "members": "rep int, place int, item int, shard int",
+}
 
 
 class Index(NamedTuple):
-    lists: DataFrame
-    pairs: DataFrame
-    reps: DataFrame
-    members: DataFrame
+    spark: SparkSession
+    path: str
     shards: int
 
+    def _near(self, name: str, ids: DataFrame, column: str) -> DataFrame:
+        return looked_up(self.spark, f"{self.path}/{name}", SCHEMAS[name], ids, column, self.shards).drop("shard")
+
     def reps_of(self, ids: DataFrame) -> DataFrame:
         """(item, rep) of the ids (item)."""
-        return looked_up(self.reps, ids, "item", self.shards).drop("shard")
+        return self._near("reps", ids, "item")
 
     def lists_of(self, reps: DataFrame) -> DataFrame:
         """The lists of the classes (item), to be cut by rank."""
-        return looked_up(self.lists, reps, "item", self.shards).drop("shard")
+        return self._near("lists", reps, "item")
 
     def members_of(self, reps: DataFrame) -> DataFrame:
         """(rep, place, item) of the classes (rep) that have several products, to be cut by place."""
-        return looked_up(self.members, reps, "rep", self.shards).drop("shard")
+        return self._near("members", reps, "rep")
 
-    def sims(self, asked: DataFrame) -> DataFrame:
-        """The rows (item, other) with ``sim``, without those that have none."""
-        near = looked_up(self.pairs, asked, "item", self.shards).drop("shard")
-        return asked.join(near, ["item", "other"])
+    def sims_of(self, items: DataFrame) -> DataFrame:
+        """(item, other, sim) of the classes (item); a join on both skips what it does not ask for."""
+        return self._near("pairs", items, "item")
 
 
 def ranked_lists(similarity: Similarity) -> DataFrame:
@@ -82,13 +87,10 @@ def write_index(similarity: Similarity, path: str, shards: int) -> None:
         overwrite_sharded(sharded(rows, shards, key), f"{path}/{name}", *order)
 
 
-SCHEMAS = {
-    "lists": "item int, rank int, ahead bigint, other int, size bigint, sim double, shard int",
-    "pairs": "item int, other int, sim double, shard int",
-    "reps": "item int, rep int, shard int",
-    "members": "rep int, place int, item int, shard int",
-}
+def read_index(spark: SparkSession, path: str, shards: int) -> Index:
+    return Index(spark, path, shards)
 
 
-def read_index(spark: SparkSession, path: str, shards: int) -> Index:
-    return Index(*(spark.read.schema(SCHEMAS[n]).parquet(f"{path}/{n}") for n in TABLES), shards)
+def whole_table(index: Index, name: str) -> DataFrame:
+    """One of the four tables."""
+    return index.spark.read.schema(SCHEMAS[name]).parquet(f"{index.path}/{name}").drop("shard")

@@ -426,7 +426,7 @@ def similarity_index(spark, sf_dir):
     """The stored lists that real-time look-ups read: place in the list, and products of more similar classes."""
     path = fresh_path(spark, "similarity-index")
     similarity.write_index(_co_rated(tables.event_ratings(spark, sf_dir)), path, SHARDS)
-    lists = similarity.read_index(spark, path, SHARDS).lists
+    lists = similarity.whole_table(similarity.read_index(spark, path, SHARDS), "lists")
     listed = lists.select(F.col("item").alias("productId"), "rank", "ahead", F.col("other").alias("otherId"), "size", "sim")
     return rounded(listed, "sim")
 

@@ -27,6 +27,9 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Rows of ids and numbers that a small batch may keep on the driver, some megabytes at most.
+LOCAL_ROWS = 10_000
+
 # Holds a local session's own choice; Spark's setting cannot be changed once it runs.
 OWN_DIR = "basketry.scratch.dir"
 
@@ -87,6 +90,15 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def gathered(df: DataFrame, label: str, rows: int = LOCAL_ROWS) -> DataFrame:
+    """As :func:`stored`, but at most ``rows`` rows go through the driver and become a local table instead.
+
+    For steps of small batches, where a write and a scan cost more than the rows; more rows are stored.
+    """
+    found = df.limit(rows + 1).toArrow()
+    return df.sparkSession.createDataFrame(found, df.schema) if found.num_rows <= rows else stored(df, label)
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

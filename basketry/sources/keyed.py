@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.session import children, read_text, remove, write_text
+from basketry.session import LOCAL_ROWS, children, read_text, remove, write_text
 from basketry.sources.sinks import sharded
 
 # Look-ups of so many keys name them to the file scan, which then skips row groups; more are joined.
 NAMED_KEYS = 1000
+FEW_FOLDERS = 16
 # Folders of changes that a shard may have before it is rewritten.
 MOST = 8
 
@@ -32,17 +33,28 @@ def asked_for(ids: DataFrame, column: str, shards: int) -> tuple[list[int], Colu
 
     At most ``NAMED_KEYS`` ids and ``shards`` numbers come to the driver. Many ids have to be joined.
     """
-    asked = sharded(ids.select(column).distinct(), shards, column)
+    asked = sharded(ids.select(column), shards, column)
+    # Repeated ids are not taken out first: that would cost a shuffle, and a local table needs no job at all.
     some = asked.limit(NAMED_KEYS + 1).collect()
     if len(some) <= NAMED_KEYS:
-        return sorted({r["shard"] for r in some}), F.col(column).isin([r[column] for r in some])
+        return sorted({r["shard"] for r in some}), F.col(column).isin(sorted({r[column] for r in some if r[column] is not None}))
     return sorted(r["shard"] for r in asked.select("shard").distinct().collect()), None
 
 
-def looked_up(table: DataFrame, ids: DataFrame, column: str, shards: int) -> DataFrame:
-    """The rows of some ids, from a table partitioned by ``shard`` of the column and sorted by it."""
+def looked_up(spark: SparkSession, path: str, schema: str, ids: DataFrame, column: str, shards: int) -> DataFrame:
+    """The rows of some ids, from a table partitioned by ``shard`` of the column and sorted by it.
+
+    Only the folders of their shards are listed.
+    """
     numbers, named = asked_for(ids, column, shards)
-    found = table.where(F.col("shard").isin(numbers))
+    there = [f"{path}/shard={n}" for n in numbers]
+    if len(there) > FEW_FOLDERS:
+        there = [f"{path}/{name}" for name in children(spark, path) if name in {f"shard={n}" for n in numbers}]
+    else:
+        there = [folder for folder in there if children(spark, folder)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).option("basePath", path).parquet(*there)
     return found.where(named) if named is not None else found.join(ids.select(column).distinct(), column, "left_semi")
 
 
@@ -92,11 +104,19 @@ class KeyedTable:
         own = sharded(rows.select(*self.schema.names), shards, self.keys[0])
         order = ["shard", *self.keys]
         # Ranges let a large shard spread over tasks; a batch of changes has one file a shard.
-        dealt = own.repartitionByRange(*order) if ranges else own.repartition("shard")
+        dealt = own.repartitionByRange(*order) if ranges else self._in_order(own)
         dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("shard").parquet(target)
         found = [x.partition("=")[2] for x in children(self.spark, target) if x.startswith("shard=")]
         return [[version, whole, int(x)] for x in found]
 
+    @staticmethod
+    def _in_order(own: DataFrame) -> DataFrame:
+        """A small batch as a local table by shard; a large one dealt by shard."""
+        found = own.limit(LOCAL_ROWS + 1).toArrow()
+        if found.num_rows > LOCAL_ROWS:
+            return own.repartition("shard")
+        return own.sparkSession.createDataFrame(found.sort_by("shard"), own.schema)
+
     def load(self, rows: DataFrame, shards: int) -> None:
         """Replaces the table by rows that need not have one row a key."""
         remove(self.spark, self.path)
