@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.words import SEPARATOR, Slice, lowered, runs, text_slices
+from basketry.llm.words import SEPARATOR, Hasher, Slice, lowered, runs, text_slices
 from basketry.session import fresh_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,8 +44,8 @@ SAMPLE_IDS = 4096
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
-# Each Python worker keeps the ids of so many pieces, some 200 bytes each, then starts over.
-KNOWN_PIECES = 500_000
+# Each Python worker keeps the ids of so many pieces, some 50 bytes each, then starts over.
+KNOWN_PIECES = 2_000_000
 
 FRAMES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("seq", pa.int64()), ("frame", pa.binary())])
 BLOCKS = pa.schema(
@@ -74,12 +74,62 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Known:
+    """Id lists and bytes of pieces by 64-bit hash: sorted keys with places in two pools, and a smaller sorted part for new ones.
+
+    Who finds a piece compares its bytes, as others may have its hash.
+    """
+
+    def __init__(self, width: str):
+        self.pool, self.used = np.zeros(1 << 16, width), 0
+        self.letters, self.written = np.zeros(1 << 18, np.uint8), 0
+        self.parts = [self._empty(), self._empty()]
+
+    @staticmethod
+    def _empty() -> tuple[np.ndarray, ...]:
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4))
+
+    def __len__(self) -> int:
+        return sum(len(p[0]) for p in self.parts)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """By key: place and number of the ids, place and number of the bytes; the numbers are -1 for unknown ones."""
+        found = np.full((4, len(keys)), -1, np.int64)
+        for known, *values in self.parts:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                for row, value in zip(found, values, strict=True):
+                    row[hit] = value[at[hit]]
+        return found
+
+    def add(self, keys: np.ndarray, lists: list[np.ndarray], words: list[bytes]) -> None:
+        """New keys in ascending order with their ids and bytes."""
+        lengths, sizes = (np.array([len(x) for x in of], np.int64) for of in (lists, words))
+        while self.used + int(lengths.sum()) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while self.written + int(sizes.sum()) > len(self.letters):
+            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
+        places, starts = self.used + np.cumsum(lengths) - lengths, self.written + np.cumsum(sizes) - sizes
+        self.pool[self.used : self.used + int(lengths.sum())] = np.concatenate(lists)
+        self.letters[self.written : self.written + int(sizes.sum())] = np.frombuffer(b"".join(words), np.uint8)
+        self.used, self.written = self.used + int(lengths.sum()), self.written + int(sizes.sum())
+        self.parts[1] = self._merged(self.parts[1], (keys, places, lengths, starts, sizes))
+        if 8 * len(self.parts[1][0]) > len(self.parts[0][0]):
+            self.parts = [self._merged(*self.parts), self._empty()]
+
+    @staticmethod
+    def _merged(old: tuple, new: tuple) -> tuple:
+        order = np.argsort(np.concatenate([old[0], new[0]]), kind="stable")
+        return tuple(np.concatenate(x)[order] for x in zip(old, new, strict=True))
+
+
 class Encoder:
     """Ids of texts as little-endian arrays; equal to encoding each text at once.
 
     The tokenizer drops white space and looks at runs of letters, single digits and runs of other
-    signs one by one, so a text's ids are those of its pieces in turn. Pieces are looked up by their
-    bytes; new ones go to the tokenizer together. A-Z are lower-cased before, as the tokenizer's own
+    signs one by one, so a text's ids are those of its pieces in turn. Pieces are looked up by hash and
+    compared byte by byte; new ones go to the tokenizer together. A-Z are lower-cased before, as the tokenizer's own
     normaliser does. A text that might hold a special token's string goes to it whole.
     """
 
@@ -88,12 +138,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.forget()
-
-    def forget(self) -> None:
-        """No piece is known: (place among the pieces), and ids of all pieces on end with their starts."""
-        self.known: dict[bytes, int] = {}
-        self.pool, self.starts = np.zeros(1 << 16, self.width), np.zeros(1 << 12, np.int64)
+        self.hasher = Hasher()
+        self.known = Known(self.width)
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -121,37 +167,39 @@ class Encoder:
             found[i] = np.array(encoding.ids, self.width)
         return found
 
-    def learn(self, words: list[bytes]) -> None:
-        first, found = len(self.known), self._encoded(words)
-        ends = self.starts[first] + np.cumsum([len(x) for x in found])
-        while ends[-1] > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while first + len(words) >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.pool[self.starts[first] : ends[-1]] = np.concatenate(found)
-        self.starts[first + 1 : first + len(words) + 1] = ends
-        self.known.update(zip(words, range(first, first + len(words)), strict=True))
-
     def encode(self, piece: Slice) -> list[np.ndarray]:
         """The ids of every row of a slice."""
         row, start, end = pieces(piece)
-        raw = lowered(piece.data).tobytes()
-        words = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-        if len(self.known) > KNOWN_PIECES:
-            self.forget()
-        if new := list(dict.fromkeys([w for w in words if w not in self.known])):
-            self.learn(new)
-        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        places = self.starts[which]
-        lengths = self.starts[which + 1] - places
+        data = lowered(piece.data)
+        keys, first, which = np.unique(self.hasher.ranges(data, start, end), return_index=True, return_inverse=True)
+        found = self.known.find(keys)
+        new = np.flatnonzero(found[1] < 0)
+        if len(self.known) + len(new) > KNOWN_PIECES:
+            self.known = Known(self.width)
+            new = np.arange(len(keys))
+        if len(new):
+            raw = data.tobytes()
+            words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
+            self.known.add(keys[new], self._encoded(words), words)
+            found = self.known.find(keys)
+        places, lengths, letters, sizes = found[:, which]
+        differs = sizes != end - start
+        # Pieces of one size are compared with the known ones of their hash, all bytes of the slice at once.
+        own = np.flatnonzero(~differs)
+        ends = np.cumsum(sizes[own])
+        step = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes[own], sizes[own])
+        same = data[np.repeat(start[own], sizes[own]) + step] == self.known.letters[np.repeat(letters[own], sizes[own]) + step]
+        differs[own[np.searchsorted(ends, np.flatnonzero(~same), "right")]] = True
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(places - (ends - lengths), lengths) + np.arange(total)]
+        ids = self.known.pool[np.repeat(places - (ends - lengths), lengths) + np.arange(total)]
         bounds = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(piece.last - piece.first + 1))]
         found = [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
         mark = np.flatnonzero((piece.data[:-1] == ord("<")) & (piece.data[1:] == ord("|")))
         at = piece.offsets - piece.offsets[0]
-        for i in np.unique(np.searchsorted(at, mark, "right") - 1).tolist():
+        # So does a text with a piece that has another one's hash.
+        whole = np.concatenate([np.searchsorted(at, mark, "right") - 1, row[differs]])
+        for i in np.unique(whole).tolist():
             text = piece.data[at[i] : at[i + 1]].tobytes().decode()
             found[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
         return found

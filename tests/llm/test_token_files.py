@@ -93,3 +93,15 @@ def test_same_dictionary_whatever_the_order(spark):
     table = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {tf.train_dictionary(t, tf.tokenizer_path()) for t in (table.repartition(3), table.repartition(5), table.orderBy("text"))}
     assert len(found) == 1 and found != {b""}
+
+
+def test_pieces_that_share_a_hash(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    from basketry.llm.words import Hasher, text_slices
+
+    monkeypatch.setattr(Hasher, "ranges", lambda self, data, start, end: ((end - start) // 2).astype(np.uint64))
+    texts = ["the cat sat", "one two six", "cat one", "", "a b ab ba abc", "hello world, again", "the"] * 3
+    encoder = tf.Encoder(tf.tokenizer_path())
+    got = [x.tolist() for p in text_slices(pa.array(texts), 30) for x in encoder.encode(p)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
