@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry import schemas
 from basketry.operators import factorization, ratings, realtime, similarity, statistics
-from basketry.session import gathered, scratch, stored
+from basketry.session import children, gathered, remove, scratch, stored
 from basketry.sources import files, sinks
 from basketry.sources.keyed import MOST, KeyedTable
 from basketry.streaming import events
@@ -32,7 +33,8 @@ PRODUCT_TABLES = (PRODUCT_PAIRS, PRODUCT_MEMBERS, PRODUCT_RECS)
 ITEM_CF_TABLES = ("ItemCFPairs", "ItemCFMembers", ITEM_CF_RECS)
 CONTENT_TABLES = ("ContentBasedPairs", "ContentBasedMembers", CONTENT_RECS)
 PRODUCT_INDEX = "ProductSimilarityIndex"
-LOG_PROGRESS = "LogProgress"
+ARRIVED = "ArrivedRatings"
+ARRIVALS = T.StructType([*schemas.RATING.fields, T.StructField("arrival", T.IntegerType())])
 REJECTED = "Rejected"
 SHARDS = 256
 
@@ -165,11 +167,32 @@ def take_ratings(spark: SparkSession, base: str, new: DataFrame, version: int, m
         one.compact(most)
 
 
-def follow_log(spark: SparkSession, base: str, log: str, continuous: bool = False) -> StreamingQuery:
-    """Takes in what is appended to the log folder, batch by batch: all that is there, or on and on."""
+def arrive(spark: SparkSession, base: str, log: str, version: int) -> None:
+    """Appends what is new in the log folder to the arrivals, under the number of the version it will be."""
+    parsed = events.parsed_ratings(events.rating_messages(events.text_lines(spark, log)))
+    target = f"{base}/{ARRIVED}"
+    events.append_files(
+        events.stamped(parsed, version), target, f"{target}-progress", partition_by=("arrival",)
+    ).awaitTermination()
 
-    def take(batch: DataFrame, number: int) -> None:
-        # Version 1 is what was loaded. A repeated batch has its number again.
-        take_ratings(spark, base, events.parsed_ratings(events.rating_messages(batch)), number + 2)
 
-    return events.for_each_batch(events.text_lines(spark, log), take, f"{base}/{LOG_PROGRESS}", continuous)
+def follow_log(spark: SparkSession, base: str, log: str, most: int = MOST) -> None:
+    """Takes in what was appended to the log folder since the last call, each line once.
+
+    What a failed call had read from the log is taken in first, as the version it was meant to be.
+    """
+    arrived = f"{base}/{ARRIVED}"
+
+    def take(version: int) -> int:
+        if not children(spark, f"{arrived}/arrival={version}"):
+            return version - 1
+        every = spark.read.schema(ARRIVALS).parquet(arrived)
+        take_ratings(spark, base, every.where(F.col("arrival") == version).drop("arrival"), version, most)
+        # Readers ask for one arrival only, so those taken in before can go.
+        remove(spark, f"{arrived}/arrival={version - 1}")
+        return version
+
+    # Version 1 is what was loaded.
+    done = take(max(1, list_table(spark, base).version()) + 1)
+    arrive(spark, base, log, done + 1)
+    take(done + 1)

@@ -664,7 +664,7 @@ def stream_follow_log(spark, sf_dir):
     half = log.agg(F.avg("event_id")).first()[0]
     for arrival in (F.col("event_id") <= half, F.col("event_id") > half):
         log.where(arrival).select("value").write.mode("append").text(source)
-        jobs.follow_log(spark, base, source).awaitTermination()
+        jobs.follow_log(spark, base, source)
     lists = jobs.table(spark, base, jobs.STREAM_RECS)
     return rounded(serving.flatten(lists, "userId", keep_empty=True), "score")
 
