@@ -5,6 +5,10 @@ brute-force spans so that the sum of their guess costs is least; a value that st
 secret, one that falls apart into guessable pieces ("changeme2024") is a placeholder. The span of
 such a value is added with kind ``guess``; pattern spans always stay.
 
+The cost is the least over all segmentations: words from a ranked list (as they are, capitalised or
+with digits for letters), dates in all their forms, walks of three and more neighbouring keys from any
+key to any other, and repeats, in which the unit of up to 64 characters before the span comes again.
+
 Defined results: null text is empty; no finds give counts of 0, the digest of the empty string and
 no spans; spans count code points, end exclusive, and go by start, kind as listed, then end; rows
 that repeat give repeated results; an empty table gives no rows; other columns are ignored. Only
@@ -31,7 +35,7 @@ KINDS = ("assign", "access", "hex", "guess")
 # Credential words, then a sign of assignment, then the value.
 CONTEXT = re.compile(
     r"""(?:passwo?r?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth)"""
-    r"""["']?\s{0,4}(?:[:=]|=>|:=)\s{0,4}["'`]?([^\s"'`<>,;]{6,})|bearer\x20{1,4}([A-Za-z0-9+/_.=~-]{6,})""",
+    r"""["']?\s*(?:=>|:=|[:=])\s*["'`]?([^\s"'`<>,;]{6,})|bearer\x20+([A-Za-z0-9+/_.=~-]{6,})""",
     FLAGS,
 )
 HINTS = (b"pass", b"pwd", b"secret", b"token", b"api", b"key", b"credential", b"auth", b"bearer")
@@ -61,12 +65,14 @@ def next_keys() -> set[tuple[str, str]]:
 
 NEXT_KEYS = next_keys()
 RANKS = {w: i + 1 for i, w in enumerate(COMMON)}
-LONGEST = max(map(len, COMMON))
 DATE = re.compile(
     r"(?:19|20)\d\d(?:[-_./]?(?:0[1-9]|1[0-2])(?:[-_./]?(?:0[1-9]|[12]\d|3[01]))?)?"
     r"|(?:0[1-9]|[12]\d|3[01])[-_./]?(?:0[1-9]|1[0-2])[-_./]?(?:(?:19|20)\d\d|\d\d)"
 )
-REPEAT = re.compile(r"(.{1,8}?)\1+", re.DOTALL)
+DATE_LENGTHS = range(4, 11)
+DATE_BITS = math.log2(366 * 100)
+WALK, WALK_BITS = 3, math.log2(47) + 2.0
+UNIT = 64
 
 
 def char_bits(value: str) -> float:
@@ -79,54 +85,101 @@ def char_bits(value: str) -> float:
     return math.log2(max(size, 10))
 
 
-def guess_bits(value: str) -> float:
+def squares(value: str) -> dict[int, list[int]]:
+    """By end: the units, up to ``UNIT`` characters and not repeats themselves, that stand there twice running."""
+    codes = np.frombuffer(value.encode("utf-32-le"), np.uint32)
+    ends: dict[int, list[int]] = {}
+    same: dict[int, np.ndarray] = {}
+    for unit in range(1, min(UNIT, len(codes) // 2) + 1):
+        # For each end, how many characters before it equal those one unit earlier; 2 * UNIT stands for more.
+        equal = np.concatenate([np.zeros(unit, bool), codes[unit:] == codes[:-unit]])
+        at = np.arange(1, len(codes) + 1)
+        run = np.minimum(at - np.maximum.accumulate(np.where(equal, 0, at)), 2 * UNIT - 1).astype(np.int8)
+        if 2 * unit <= UNIT:
+            same[unit] = run
+        twice = run >= unit
+        for part in range(1, unit // 2 + 1):
+            if unit % part == 0:
+                twice &= same[part] < unit - part
+        for end in np.flatnonzero(twice).tolist():
+            ends.setdefault(end + 1, []).append(unit)
+    return ends
+
+
+def word_bits(value: str, words: dict[str, int] = RANKS) -> dict[int, list[tuple[int, float]]]:
+    """By end: (start, bits) of the words."""
+    low = value.lower()
+    if len(low) != len(value):
+        low = "".join(c.lower() if c.isascii() else c for c in value)
+    plain, longest = low.translate(LEET), max(map(len, words), default=0)
+    ends: dict[int, list[tuple[int, float]]] = {}
+    for i in range(len(value)):
+        for j in range(i + 2, min(len(value), i + longest) + 1):
+            for spelt in {low[i:j], plain[i:j]}:
+                if rank := words.get(spelt):
+                    word, leet = value[i:j], sum(a != b for a, b in zip(low[i:j], spelt, strict=True))
+                    case = 0 if word == low[i:j] else 1 if word[1:] == low[i + 1 : j] or word.isupper() else len(word)
+                    ends.setdefault(j, []).append((i, math.log2(rank + 1) + leet + case))
+    return ends
+
+
+def cheapest(starts: list[int], best: list[float], end: int, unit: int, extra: int) -> float:
+    """Least ``best[start] + log2((end - start) / unit + extra)``; drops starts that can never be least again.
+
+    The logarithms of two starts draw nearer as the end moves on, so a later start that is no cheaper
+    than an earlier one never will be.
+    """
+    least, kept = math.inf, []
+    for start in starts:
+        bits = best[start] + math.log2((end - start) // unit + extra)
+        if bits < least:
+            least = bits
+            kept.append(start)
+    starts[:] = kept
+    return least
+
+
+def guess_bits(value: str, words: dict[str, int] = RANKS) -> float:
     """log2 of the guesses for the cheapest segmentation of the value."""
     n, per_char = len(value), char_bits(value)
-    low = value.lower()
-    plain = low.translate(LEET)
-    # Spans that can end a segment: (start, bits) by end.
-    ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    low = value.lower() if value.isascii() else "".join(c.lower() if c.isascii() else c for c in value)
+    ending, twice = word_bits(value, words), squares(value)
     for i in range(n):
-        for j in range(i + 2, min(n, i + LONGEST) + 1):
-            rank = RANKS.get(low[i:j])
-            leet = 0.0
-            if rank is None and (rank := RANKS.get(plain[i:j])) is not None:
-                leet = float(sum(a != b for a, b in zip(low[i:j], plain[i:j], strict=True)))
-            if rank is not None:
-                word = value[i:j]
-                case = 0.0 if word == low[i:j] else 1.0 if word[1:] == low[i + 1 : j] or word.isupper() else float(len(word))
-                ending[j].append((i, math.log2(rank + 1) + leet + case))
-        if value[i].isdigit() and (found := DATE.match(value, i)):
-            ending[found.end()].append((i, math.log2(366 * 100) + 2 * (not found[0].isdigit())))
-    walk = 0
-    for i in range(1, n + 1):
-        if i < n and (low[i - 1], low[i]) in NEXT_KEYS:
-            continue
-        if i - walk >= 3:
-            for start in {walk, *range(walk, i - 2, 4)}:
-                ending[i].append((start, math.log2(47) + 2.0 + math.log2(i - start)))
-        walk = i
-    for found in REPEAT.finditer(value):
-        unit = found[1]
-        bits = guess_bits(unit) if len(unit) > 1 else per_char
-        ending[found.end()].append((found.start(), bits + math.log2((found.end() - found.start()) // len(unit))))
+        if value[i] in "0123456789":
+            for length in DATE_LENGTHS:
+                if i + length <= n and DATE.fullmatch(value, i, i + length):
+                    signs = not value[i : i + length].isdigit()
+                    ending.setdefault(i + length, []).append((i, DATE_BITS + 2 * signs))
     best = [0.0] * (n + 1)
+    walk, walks = 0, []
+    copies: dict[tuple[int, int], tuple[int, list[int]]] = {}
     for j in range(1, n + 1):
         # One more brute-force character extends the span before it.
-        best[j] = best[j - 1] + per_char
-        for i, bits in ending[j]:
-            best[j] = min(best[j], best[i] + bits + SEGMENT_BITS)
+        least = best[j - 1] + per_char
+        for i, bits in ending.get(j, ()):
+            least = min(least, best[i] + bits + SEGMENT_BITS)
+        if j > 1 and (low[j - 2], low[j - 1]) not in NEXT_KEYS:
+            walk, walks = j - 1, []
+        if j - walk >= WALK:
+            walks.append(j - WALK)
+            least = min(least, cheapest(walks, best, j, 1, 0) + WALK_BITS + SEGMENT_BITS)
+        for unit in twice.get(j, ()):
+            last, starts = copies.get((unit, j % unit), (0, []))
+            starts = [*starts, j - unit] if last == j - unit else [j - unit]
+            least = min(least, cheapest(starts, best, j, unit, 1) + SEGMENT_BITS)
+            copies[unit, j % unit] = j, starts
+        best[j] = least
     return best[n]
 
 
-def spans_of(text: str, bits: float = GUESS_BITS) -> list[tuple[int, int, int]]:
+def spans_of(text: str, bits: float = GUESS_BITS, words: dict[str, int] = RANKS) -> list[tuple[int, int, int]]:
     """(start, kind, end) of every find, sorted."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 16]
     for m in CONTEXT.finditer(text):
         group = 1 if m[1] is not None else 2
-        if guess_bits(m[group]) >= bits:
+        if guess_bits(m[group], words) >= bits:
             found.append((m.start(group), 3, m.end(group)))
     return sorted(found)
 
@@ -139,8 +192,11 @@ FOUND = pa.schema(
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
-def scan(documents: DataFrame, bits: float = GUESS_BITS) -> DataFrame:
-    """One row a document with counts, the digest of the pattern spans, and all spans."""
+def scan(documents: DataFrame, bits: float = GUESS_BITS, words: dict[str, int] = RANKS) -> DataFrame:
+    """One row a document with counts, the digest of the pattern spans, and all spans.
+
+    ``words``: lower-case words with their ranks, 1 the commonest.
+    """
 
     def listed(found) -> str:
         return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in found)
@@ -163,7 +219,7 @@ def scan(documents: DataFrame, bits: float = GUESS_BITS) -> DataFrame:
                         low = content.lower()
                         if not any(h in low for h in HINTS):
                             continue
-                    found = spans_of(content.decode(), bits)
+                    found = spans_of(content.decode(), bits, words)
                     for _, kind, _ in found:
                         counts[kind, i] += 1
                     sha[i] = hashlib.sha256(listed(x for x in found if x[1] < 3).encode()).hexdigest()

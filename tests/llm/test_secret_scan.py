@@ -1,5 +1,8 @@
 import hashlib
+import random
 import re
+import time
+from math import log2
 
 from helpers import docs, nothing, odd, odd_rows
 
@@ -57,27 +60,59 @@ def test_guess_costs():
     assert scan.guess_bits("abababababab") < scan.guess_bits("abqjxkvmwzpf")
 
 
-def test_brute_force_segmentation():
-    """Against trying every segmentation into one word or single characters."""
-    from functools import lru_cache
-    from math import log2
+def costs(value, bits, start, end):
+    """Costs of value[start:end] as one span, by every kind; repeats by every unit before it."""
+    span, low = value[start:end], value[start:end].lower()
+    found = [bits] if end - start == 1 else []
+    for spelt in (low, low.translate(scan.LEET)):
+        if spelt in scan.RANKS:
+            case = 0 if span == low else 1 if span[1:] == low[1:] or span.isupper() else len(span)
+            found.append(log2(scan.RANKS[spelt] + 1) + sum(a != b for a, b in zip(low, spelt)) + case + scan.SEGMENT_BITS)
+    if scan.DATE.fullmatch(span):
+        found.append(scan.DATE_BITS + 2 * (not span.isdigit()) + scan.SEGMENT_BITS)
+    if len(span) >= 3 and all(pair in scan.NEXT_KEYS for pair in zip(low, low[1:])):
+        found.append(scan.WALK_BITS + log2(len(span)) + scan.SEGMENT_BITS)
+    for unit in range(1, min(start, len(span)) + 1):
+        before = value[start - unit : start]
+        whole = any(before == before[:d] * (unit // d) for d in range(1, unit) if unit % d == 0)
+        if len(span) % unit == 0 and not whole and span == before * (len(span) // unit):
+            found.append(log2(len(span) // unit + 1) + scan.SEGMENT_BITS)
+    return found
+
+
+def brute_force(value):
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        spans = ((s, c) for s in range(end) for c in costs(value, scan.char_bits(value), s, end))
+        best.append(min(best[s] + c for s, c in spans))
+    return best[-1]
+
 
-    words = {w: scan.RANKS[w] for w in ("admin", "test", "key", "api")}
-    for value in ("xadminx", "testkeyq", "apizv", "qadmntest"):
-        bits = scan.char_bits(value)
+def test_brute_force_segmentation():
+    """Against every segmentation into words, dates, walks, repeats and single characters."""
+    draw = random.Random(5)
+    parts = [*scan.COMMON[:40], "qwerty", "tyuiop", "poiuy", "abcdef", "2024", "31.12.1999", "20200131", "aaa", "ababab", "Zx", "#9"]
+    parts += ["qwqwqwqw", "P4ssw0rd", "SUPER", "é", "supertyuiop", "abcabcab", "İx"]
+    values = ["".join(draw.choices(parts, k=draw.randint(1, 5))) for _ in range(300)]
+    values += ["".join(draw.choices("ab1q", k=draw.randint(1, 30))) for _ in range(200)]
+    for value in [*values, "supertyuiop", "a" * 40, "qw" * 20]:
+        assert abs(scan.guess_bits(value) - brute_force(value)) < 1e-9, value
+    assert scan.guess_bits("supertyuiop") <= scan.guess_bits("super") + scan.guess_bits("tyuiop") + 1e-9
 
-        @lru_cache
-        def best(i, value=value, bits=bits):
-            if i == len(value):
-                return 0.0
-            costs = [bits + best(i + 1)]
-            costs += [log2(r + 1) + scan.SEGMENT_BITS + best(i + len(w)) for w, r in words.items() if value.startswith(w, i)]
-            return min(costs)
 
-        assert abs(scan.guess_bits(value) - best(0)) < 1e-9
+def test_blanks_of_any_length():
+    for blanks in ("", " ", " " * 6, "\t" * 50):
+        text = f"private_key:{blanks}x7#Kq9!vLm2$Zp"
+        assert scan.spans_of(text) == [(12 + len(blanks), 3, len(text))]
+        assert len(scan.spans_of(f"bearer {blanks.strip(chr(9))}x7Kq9vLm2Zp0Qw")) == 1
+    assert scan.spans_of("pwd := x7#Kq9!vLm2$Zp") == [(7, 3, 21)] == scan.spans_of("pwd  :=x7#Kq9!vLm2$Zp")
 
 
 def test_long_value_is_read_whole():
     value = "password" * 2000
     assert scan.guess_bits(value) < 40
     assert scan.spans_of(f"token={value}") == [(0, 0, 6 + len(value))]
+    start = time.monotonic()
+    for value in ("a" * 200_000, "qw" * 100_000, "password1" * 20_000, "7bC#" * 50_000):
+        assert scan.guess_bits(value) < 60
+    assert time.monotonic() - start < 60
