@@ -2,7 +2,9 @@
 
 A template is a text with markup: ``[[ ... ]]`` may be left out, ``{{name:n}}`` stands for up to n
 words of any wording. It is compiled into an automaton over words; a place is accepted only if all
-mandatory words follow each other exactly. Templates add labels; phrase labels always stay.
+mandatory words follow each other exactly, disclaimers included. Templates add labels; phrase labels
+always stay. A match is looked for only where the template's mandatory word that is rarest in the
+text stands at a possible distance, and takes no more words than the template has.
 
 Defined results: words are runs of letters and digits after lower-casing A-Z; null text is empty
 and gives 0 words, null places, empty labels and score 0; rows that repeat give repeated results;
@@ -30,7 +32,7 @@ PHRASES = {
 
 # Labels and template texts.
 TEMPLATES = {
-    "mit-notice": "[[{{subject:8}} is]] [[{{how:3}}]] under the [[terms of the]] mit license",
+    "mit-notice": "[[is]] [[licensed]] [[released]] [[available]] [[distributed]] under the [[terms of the]] mit license",
     "apache-2.0-notice": "under the [[terms of the]] apache license [[,]] [[version]] 2 [[0]]",
     "gpl-notice": "under the [[terms of the]] [[gnu]] general public license [[as published by the free software "
     "foundation]] [[either]] [[version]] [[{{version:1}}]] [[or [[at your option]] any later version]]",
@@ -46,30 +48,62 @@ TEMPLATES = {
     "event shall {{holders:8}} be liable for any claim damages or other liability whether in an action of contract tort "
     "or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
     "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
-    "granted provided that the above copyright notice and this permission notice appear in all copies",
+    "granted provided that the above copyright notice and this permission notice appear in all copies the software is "
+    "provided as is and {{author:8}} disclaims all warranties with regard to this software including all implied "
+    "warranties of merchantability and fitness in no event shall {{author:8}} be liable for any special direct indirect "
+    "or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action "
+    "of contract negligence or other tortious action arising out of or in connection with the use or performance of this "
+    "software",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that "
     "the following conditions are met [[1]] redistributions of source code must retain the above copyright notice this "
     "list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above "
     "copyright notice this list of conditions and the following disclaimer in the documentation and or other materials "
     "provided with the distribution [[ [[3]] neither the name of {{holder:12}} nor the names of its contributors may be "
-    "used to endorse or promote products derived from this software without specific prior written permission ]]",
-    "apache-2.0": "licensed under the apache license version 2 0 the license you may not use this file except in "
+    "used to endorse or promote products derived from this software without specific prior written permission ]] this "
+    "software is provided by {{holders:8}} [[and contributors]] as is and any express or implied warranties including "
+    "but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in "
+    "no event shall {{holders:8}} [[or contributors]] be liable for any direct indirect incidental special exemplary or "
+    "consequential damages including but not limited to procurement of substitute goods or services loss of use data or "
+    "profits or business interruption however caused and on any theory of liability whether in contract strict liability "
+    "or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the "
+    "possibility of such damage",
+    "apache-2.0-header": "licensed under the apache license version 2 0 the license you may not use this file except in "
     "compliance with the license you may obtain a copy of the license at [[http]] [[https]] www apache org licenses "
-    "license 2 0 [[unless required by applicable law or agreed to in writing software distributed under the license is "
-    "distributed on an as is basis without warranties or conditions of any kind either express or implied]]",
+    "license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is "
+    "distributed on an as is basis without warranties or conditions of any kind either express or implied see the "
+    "license for the specific language governing permissions and limitations under the license",
+    "lgpl-notice": "under the [[terms of the]] [[gnu]] lesser general public license [[as published by the free software "
+    "foundation]] [[either]] [[version]] [[{{version:2}}]] [[of the license]] [[or [[at your option]] any later version]]",
+    "mpl-2.0-header": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the "
+    "mpl was not distributed with this file you can obtain one at [[http]] [[https]] mozilla org mpl 2 0",
+    "cc0": "to the extent possible under law {{who:12}} waived all copyright and related or neighboring rights to {{work:12}}",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify "
+    "publish use compile sell or distribute this software either in source code form or as a compiled binary for any "
+    "purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or "
+    "authors of this software dedicate any and all copyright interest in the software to the public domain we make this "
+    "dedication for the benefit of the public at large and to the detriment of our heirs and successors we intend this "
+    "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software "
+    "under copyright law the software is provided as is without warranty of any kind express or implied including but "
+    "not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event "
+    "shall the authors be liable for any claim damages or other liability whether in an action of contract tort or "
+    "otherwise arising from out of or in connection with the software or the use or other dealings in the software",
 }
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 TOKEN = re.compile(r"\[\[|\]\]|\{\{[a-z]+:\d+\}\}|[^\s\[\]{}]+")
 
 
 class Automaton(NamedTuple):
-    """Words by state: ``steps[s]`` maps a word to states, ``any_word[s]`` takes every word; ``skips`` are closed."""
+    """Words by state: ``steps[s]`` maps a word to states, ``any_word[s]`` takes every word; ``skips`` are closed.
+
+    ``anchors`` gives for each mandatory word how few and how many words of a match stand before it.
+    """
 
     steps: list[dict[str, set[int]]]
     any_word: list[set[int]]
     start: frozenset[int]
     accept: int
     skips: list[frozenset[int]]
+    anchors: dict[str, tuple[int, int]]
 
     @property
     def first_words(self) -> set[str] | None:
@@ -78,18 +112,32 @@ class Automaton(NamedTuple):
             return None
         return {w for s in self.start for w in self.steps[s]}
 
+    def places(self, where: dict[str, list[int]], n: int) -> list[int]:
+        """Where in n words a match may begin, ascending; ``where`` lists the places of words."""
+        first = self.first_words
+        starts = None if first is None else np.array(sorted(i for w in first for i in where.get(w, ())), np.int64)
+        if not self.anchors:
+            return list(range(n)) if starts is None else starts.tolist()
+        word = min(self.anchors, key=lambda w: len(where.get(w, ())))
+        at, (least, most) = np.array(where.get(word, ()), np.int64), self.anchors[word]
+        if starts is None:
+            starts = np.unique(at[:, None] - np.arange(least, most + 1))
+            return starts[starts >= 0].tolist()
+        reached = np.searchsorted(at, starts + most, side="right") > np.searchsorted(at, starts + least)
+        return starts[reached].tolist()
+
     def longest(self, words: list[str], at: int) -> int:
         """Number of words of the longest accepted run from ``at``; 0 if there is none."""
         states, best = self.start, 0
-        for n, word in enumerate(words[at:] if at else words, 1):
+        for here in range(at, len(words)):
             moved: set[int] = set()
             for s in states:
-                moved |= self.steps[s].get(word, set()) | self.any_word[s]
+                moved |= self.steps[s].get(words[here], set()) | self.any_word[s]
             if not moved:
                 break
             states = frozenset().union(*(self.skips[s] for s in moved))
             if self.accept in states:
-                best = n
+                best = here + 1 - at
         return best
 
 
@@ -105,6 +153,8 @@ def compile_template(text: str) -> Automaton:
         return len(steps) - 1
 
     here, opened = 0, []
+    least = most = 0
+    anchors: dict[str, tuple[int, int]] = {}
     for token in TOKEN.findall(text.lower()):
         if token == "[[":
             opened.append(here)
@@ -118,6 +168,7 @@ def compile_template(text: str) -> Automaton:
         elif token.startswith("{{"):
             end = new()
             for _ in range(int(token[2:-2].split(":")[1])):
+                most += 1
                 following = new()
                 empty[here].add(end)
                 any_word[here].add(following)
@@ -129,6 +180,10 @@ def compile_template(text: str) -> Automaton:
                 following = new()
                 steps[here].setdefault(word, set()).add(following)
                 here = following
+                if not opened:
+                    anchors.setdefault(word, (least, most))
+                    least += 1
+                most += 1
     if opened:
         raise ValueError("an optional region is not closed")
 
@@ -141,14 +196,17 @@ def compile_template(text: str) -> Automaton:
         return frozenset(seen)
 
     skips = [closed(s) for s in range(len(steps))]
-    return Automaton(steps, any_word, skips[0], here, skips)
+    return Automaton(steps, any_word, skips[0], here, skips, anchors)
 
 
 def finds(words: list[str], automata: dict[str, Automaton], phrases: dict[str, str]) -> tuple[list, list]:
     """(start, length, label) of the phrases and of the longest accepted run of each template at each place."""
+    known = {p.split()[0] for p in phrases}.union(*(a.anchors for a in automata.values()))
+    known = known.union(*(a.first_words or () for a in automata.values()))
     where: dict[str, list[int]] = {}
     for i, w in enumerate(words):
-        where.setdefault(w, []).append(i)
+        if w in known:
+            where.setdefault(w, []).append(i)
     base = []
     for phrase, label in phrases.items():
         parts = phrase.split()
@@ -157,10 +215,8 @@ def finds(words: list[str], automata: dict[str, Automaton], phrases: dict[str, s
                 base.append((i, len(parts), label))
     matched = []
     for label, automaton in automata.items():
-        first = automaton.first_words
-        places = range(len(words)) if first is None else sorted(i for w in first for i in where.get(w, ()))
         covered = 0
-        for i in places:
+        for i in automaton.places(where, len(words)):
             if i >= covered and (n := automaton.longest(words, i)):
                 matched.append((i, n, label))
                 covered = i + n
