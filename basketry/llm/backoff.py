@@ -1,324 +1,123 @@
-"""Stupid-backoff scores of every document under a bigram model of the whole corpus.
-
-Words are lower-cased (A-Z). Words that make up at least ``RARE`` of all words are the vocabulary,
-so it never has more than 1 / ``RARE`` entries; all others are one class. A pair of classes that
-occurs at least ``CUTOFF`` times scores count(pair) / count(first); any other pair backs off to
-``BACKOFF`` * count(second) / number of words. A document's score is the sum of log10 over its pairs
-and its first word.
-
-Counts and documents meet in hash buckets of about ``BUCKET_WORDS`` words. The n-grams of a record
-batch travel as one packed row a bucket, with each pair once and the documents that hold it, so a
-frequent pair sends one entry a batch; the counts of a bucket are added up to its count table, which
-is joined to the bucket's exploded n-grams by a sorted scan. Buckets with many entries are split by
-batch and meet a copy of their count table each. Sums go back to the batch they came from.
-
-Defined results: null text has no words; a text without words scores 0; a text of one word has its
-unigram score; rows that repeat are documents of their own and all count; an empty table gives no
-rows; other columns are ignored. Texts of any length are read whole.
+"""Stupid-backoff scores of every document under a trigram model of all other documents.
+
+Words are lower-cased (A-Z). Every n-gram of one to ``ORDER`` words of the corpus counts, from one
+occurrence on; a document's own occurrences are taken off before it is scored, or every n-gram of a
+document would be known. A word scores count(n-gram) / count(its context) at the longest order whose
+n-gram another document has, times ``BACKOFF`` for each order given up; single words are shares of
+the words of the other documents, and a word that no other document has scores ``BACKOFF`` / number of
+words beyond that. The first words of a text have shorter contexts and give up none for it. A document's
+score is the sum of log10 over its words.
+
+Documents are dealt into batches of about ``BATCH_BYTES`` by a hash of the row. A batch sends each of its
+n-grams once, with its count, as arrays by hash range; so a frequent n-gram travels once a batch and no
+range grows hot. The task of a range adds up its count table and joins it to the n-grams it was made
+from, and the counts go back to their batches, which sum the documents up. N-grams are told apart by
+64-bit hashes only: of n different ones about n / 2 ** 64 share another's count.
+
+Defined results: null text has no words; a text without words scores 0; rows that repeat are documents of
+their own and count for each other; an empty table gives no rows; other columns are ignored. Texts of any
+length are read whole. Rows of the same id and text meet in one batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import NamedTuple
-
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.words import Hasher, mixed, per_row, space_words, text_slices
-from basketry.session import stored
+from basketry.llm.words import Hasher, per_row, space_words, text_slices, windows
 
-RARE = 2e-6
-CUTOFF = 2
+ORDER = 3
 BACKOFF = 0.4
-BUCKET_WORDS = 1 << 22
 BATCH_BYTES = 1 << 24
-ID_BITS = 20  # 1 / RARE ids and the rare class fit
-
-
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of non-negative integers as byte planes, compressed."""
-    import zstandard
-
-    parts = [np.array([len(columns)], "<u4").tobytes()]
-    for column in columns:
-        column = np.ascontiguousarray(column, "<u8")
-        width = (int(column.max()).bit_length() + 7) // 8 if len(column) else 0
-        parts += [np.array([len(column), width], "<u4").tobytes(), column.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def unpack(data: bytes) -> list[np.ndarray]:
-    import zstandard
-
-    data = zstandard.ZstdDecompressor().decompress(data)
-    found, at = [], 4
-    for _ in range(int(np.frombuffer(data, "<u4", 1)[0])):
-        n, width = (int(x) for x in np.frombuffer(data, "<u4", 2, at))
-        column = np.zeros((n, 8), np.uint8)
-        column[:, :width] = np.frombuffer(data, np.uint8, n * width, at + 8).reshape(width, n).T
-        found.append(column.view("<u8").ravel())
-        at += 8 + n * width
-    return found
-
-
-def word_counts(documents: DataFrame) -> DataFrame:
-    """word (a hash), n: over all texts, added up a slice at a time before the shuffle."""
-
-    def run(batches):
-        hasher = Hasher()
-        for rows in batches:
-            for piece in text_slices(rows.column(0)):
-                words, n = np.unique(space_words(piece, hasher).hash, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
-
-    return documents.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Vocabulary(NamedTuple):
-    """Hashes of the frequent words in ascending order; counts by id, the last of the rare class."""
-
-    words: np.ndarray
-    counts: np.ndarray
-    total: int
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(hashes), np.uint64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, len(self.words)).astype(np.uint64)
-
-
-def vocabulary(documents: DataFrame, rare: float = RARE) -> Vocabulary:
-    """At most 1 / ``rare`` rows come to the driver, as no more words can be so frequent."""
-    if rare * (1 << ID_BITS) < 1.001:
-        raise ValueError("more frequent words than ids")
-    counts = stored(word_counts(documents), "word-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("n") >= F.lit(rare * total)).toPandas()
-    words = found.word.to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(words)
-    n = found.n.to_numpy(np.int64)[order]
-    return Vocabulary(words[order], np.append(n, total - n.sum()), int(total))
-
-
-class Batch(NamedTuple):
-    """Pairs of a record batch: first words and word counts by document, and per pair its document."""
-
-    ids: pa.Array
-    n_words: np.ndarray
-    first: np.ndarray
-    pair: np.ndarray
-    row: np.ndarray
-
-
-def pair_batches(batches, words: Vocabulary) -> Iterator[Batch]:
-    """Batches of about BATCH_BYTES of text, whatever the size of the record batches."""
-    hasher = Hasher()
-    for rows in batches:
-        for group in text_slices(rows.column(1), BATCH_BYTES):
-            yield from _pairs(rows.slice(group.first, group.last - group.first), words, hasher)
-
-
-def _pairs(rows: pa.RecordBatch, words: Vocabulary, hasher: Hasher) -> Iterator[Batch]:
-    parts = []
-    for piece in text_slices(rows.column(1)):
-        n = piece.last - piece.first
-        found = space_words(piece, hasher)
-        ids = words.ids(found.hash)
-        count = per_row(found.row, n)
-        first = np.full(n, -1, np.int64)
-        first[count > 0] = ids[(np.cumsum(count) - count)[count > 0]]
-        follows = np.flatnonzero(found.row[1:] == found.row[:-1])
-        pair = (ids[follows] << np.uint64(ID_BITS)) | ids[follows + 1]
-        parts.append((count, first, pair, found.row[follows] + piece.first))
-    if parts:
-        yield Batch(rows.column(0).cast(pa.int64()), *(np.concatenate(x) for x in zip(*parts, strict=True)))
-
-
-def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
-    return (mixed(pairs + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
-
-
-def by_bucket(pairs: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Buckets with the places of their pairs; places keep their order."""
-    bucket = bucket_of(pairs, buckets)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-    for b in np.unique(bucket).tolist():
-        yield b, order[(ends[b - 1] if b else 0) : ends[b]]
-
-
-def deltas(ascending: np.ndarray) -> np.ndarray:
-    return np.diff(ascending, prepend=np.uint64(0))
-
-
-def count_tables(documents: DataFrame, words, buckets: int, cutoff: int = CUTOFF) -> DataFrame:
-    """bucket, n_entries, packed (pairs, counts) of the pairs that occur at least ``cutoff`` times."""
-
-    def send(batches):
-        for found in pair_batches(batches, Vocabulary(*words.value)):
-            pairs, n = np.unique(found.pair, return_counts=True)
-            rows = [(b, pack(deltas(pairs[at]), n[at])) for b, at in by_bucket(pairs, buckets)]
-            if rows:
-                sent = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays(sent, names=["bucket", "data"])
-
-    def add(batches):
-        at, held, entries = None, [], 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            pairs, which = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return pairs, np.bincount(which, np.concatenate([h[1] for h in held])).astype(np.uint64)
-
-        def made() -> pa.RecordBatch:
-            pairs, n = merged()
-            keep = n >= cutoff
-            row = (at, int(n.sum()), pack(deltas(pairs[keep]), n[keep]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int64(), pa.binary()), strict=True)],
-                names=["bucket", "n_entries", "data"],
-            )
-
-        for rows in batches:
-            for bucket, data in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                if bucket != at and held:
-                    yield made()
-                    held, entries = [], 0
-                at = bucket
-                steps, n = unpack(data)
-                held.append((np.cumsum(steps), n))
-                entries += len(n)
-                if entries > 4 * BUCKET_WORDS:
-                    held = [merged()]
-                    entries = len(held[0][0])
-        if held:
-            yield made()
-
-    sent = documents.select("doc_id", "text").mapInArrow(send, "bucket int, data binary")
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, "bucket int, n_entries bigint, data binary")
-
-
-# Rows that meet in a bucket: its count table, exploded n-grams of batches, and batches' own documents.
-TABLE, GRAMS, DOCUMENTS = 0, 1, 2
-MEET = pa.schema(
-    [("bucket", pa.int32()), ("split", pa.int32()), ("kind", pa.int32()), ("batch", pa.int64()),
-     ("data", pa.binary()), ("ids", pa.list_(pa.int64()))]
-)
-MEET_DDL = "bucket int, split int, kind int, batch bigint, data binary, ids array<bigint>"
-SUMS = pa.schema(
-    [("batch", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("data", pa.binary()),
-     ("sums", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64()))]
-)
-SUMS_DDL = "batch bigint, kind int, bucket int, data binary, sums array<double>, ids array<bigint>"
-FOUND = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("score", pa.float64()), ("n_backoff", pa.int64())])
-
-
-def scores(documents: DataFrame, rare: float = RARE, cutoff: int = CUTOFF, backoff: float = BACKOFF, bucket_words: int = BUCKET_WORDS) -> DataFrame:
-    """doc_id, n_words, score (sum of log10), n_backoff (pairs that backed off)."""
-    spark = documents.sparkSession
-    found = vocabulary(documents, rare)
-    words = spark.sparkContext.broadcast(tuple(found))  # 16 bytes a frequent word
-    buckets = max(1, -(-found.total // bucket_words))
-    tables = stored(count_tables(documents, words, buckets, cutoff), "count-tables")
-    # Entries of a bucket's scan; one number a bucket is sent to the tasks.
-    splits = np.ones(buckets, np.int32)
-    sizes = tables.select("bucket", "n_entries").toPandas()
-    splits[sizes.bucket] = np.maximum(1, -(-sizes.n_entries // (2 * bucket_words)))
-    split_of = spark.sparkContext.broadcast(splits)
-
-    def explode(batches):
-        base, parts = TaskContext.get().partitionId() << 32, split_of.value
-        for i, b in enumerate(pair_batches(batches, Vocabulary(*words.value))):
-            name = base + i
-            mark = int(mixed(np.array([name], np.uint64))[0] >> np.uint64(8))
-            rows = [(mark % buckets, 0, DOCUMENTS, name, pack(b.n_words, b.first + 1), b.ids.to_pylist())]
-            # Each pair once, with the documents that hold it and how often.
-            order = np.lexsort((b.row, b.pair))
-            pair, row = b.pair[order], b.row[order]
-            new = np.ones(len(pair), bool)
-            new[1:] = (pair[1:] != pair[:-1]) | (row[1:] != row[:-1])
-            at = np.flatnonzero(new)
-            n = np.diff(at, append=len(pair))
-            pair, row = pair[at], row[at]
-            for bucket, held in by_bucket(pair, buckets):
-                keys, counts = np.unique(pair[held], return_counts=True)
-                data = pack(deltas(keys), counts - 1, row[held], n[held] - 1)
-                rows.append((bucket, mark % int(parts[bucket]), GRAMS, name, data, None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), MEET.types, strict=True)], schema=MEET)
-
-    def meet(batches):
-        vocab, here = Vocabulary(*words.value), None
-        counts = vocab.counts.astype(np.float64)
-        low = np.uint64((1 << ID_BITS) - 1)
-        with np.errstate(divide="ignore"):
-            logs = np.log10(counts)
-            alone = np.log10(backoff * counts / max(vocab.total, 1))
-        known = np.zeros((2, 0), np.uint64)
-        for rows in batches:
-            out = []
-            for bucket, split, kind, name, data, ids in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                if kind == DOCUMENTS:
-                    out.append((name, kind, bucket, data, None, ids))
-                    continue
-                if (bucket, split) != here:
-                    known, here = np.zeros((2, 0), np.uint64), (bucket, split)
-                if kind == TABLE:
-                    steps, n = unpack(data)
-                    known = np.stack([np.cumsum(steps), n])
-                    continue
-                steps, held_by, row, n = unpack(data)
-                keys = np.cumsum(steps)
-                at = np.minimum(np.searchsorted(known[0], keys), max(known.shape[1] - 1, 0))
-                hit = known[0][at] == keys if known.shape[1] else np.zeros(len(keys), bool)
-                value = alone[keys & low]
-                value[hit] = np.log10(known[1][at[hit]].astype(np.float64)) - logs[keys[hit] >> np.uint64(ID_BITS)]
-                times = (n + np.uint64(1)).astype(np.float64)
-                repeated = np.repeat(np.arange(len(keys)), (held_by + np.uint64(1)).astype(np.int64))
-                docs, which = np.unique(row, return_inverse=True)
-                total = np.bincount(which, value[repeated] * times)
-                missed = np.bincount(which, ~hit[repeated] * times)
-                out.append((name, kind, bucket, pack(docs, missed.astype(np.uint64)), total, None))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), SUMS.types, strict=True)], schema=SUMS)
-
-    def total(batches):
-        vocab = Vocabulary(*words.value)
-        with np.errstate(divide="ignore"):
-            first_score = np.append(0.0, np.log10(vocab.counts / max(vocab.total, 1)))
-        name, state = None, None
-
-        def made() -> pa.RecordBatch:
-            ids, n_words, score, missed = state
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((ids, n_words, score, missed), FOUND.types, strict=True)], schema=FOUND)
-
-        for rows in batches:
-            for batch, kind, _, data, sums, ids in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                if batch != name:
-                    if state:
-                        yield made()
-                    name = batch
-                if kind == DOCUMENTS:
-                    n_words, first = unpack(data)
-                    state = (ids, n_words.astype(np.int64), first_score[first.astype(np.int64)], np.zeros(len(ids), np.int64))
-                else:
-                    docs, missed = (x.astype(np.int64) for x in unpack(data))
-                    state[2][docs] += np.array(sums)
-                    state[3][docs] += missed
-        if state:
-            yield made()
-
-    grams = documents.select("doc_id", "text").mapInArrow(explode, MEET_DDL)
-    split = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("n_entries") / (2 * bucket_words))).cast("int") - 1))
-    known = tables.select(
-        "bucket", split.alias("split"), F.lit(TABLE).alias("kind"), F.lit(None).cast("long").alias("batch"), "data",
-        F.lit(None).cast("array<bigint>").alias("ids"),
-    )
-    dealt = grams.unionByName(known).repartition("bucket", "split")
-    met = dealt.sortWithinPartitions("bucket", "split", "kind", "batch").mapInArrow(meet, SUMS_DDL)
-    # A batch's documents come before their sums, and the sums in order of buckets.
-    ordered = met.repartition("batch").sortWithinPartitions("batch", F.col("kind").desc(), "bucket")
-    return ordered.mapInArrow(total, "doc_id bigint, n_words bigint, score double, n_backoff bigint")
+RANGE_GRAMS = 1 << 21
+
+SENT_DDL = "range bigint, batch bigint, grams array<bigint>, n array<bigint>"
+KNOWN_DDL = "range bigint, batch bigint, n array<bigint>"
+FOUND_DDL = "doc_id bigint, n_words bigint, score double, n_backoff bigint, n_unseen bigint"
+
+
+def ngrams(texts: pa.ChunkedArray, order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Row of every word; for each n up to ``order``, where the n-grams end and their hashes."""
+    for piece in text_slices(texts, 1 << 62):
+        words = space_words(piece, Hasher())
+        found = (windows(words, n) for n in range(1, order + 1))
+        return words.row, [(at + n, hashes) for n, (_, at, hashes) in enumerate(found)]
+    return np.zeros(0, np.int64), [(np.zeros(0, np.int64), np.zeros(0, np.uint64))] * order
+
+
+def lists(values: np.ndarray, starts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), pa.array(values))
+
+
+def own_counts(row: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """How often each place's n-gram stands in the place's own row."""
+    _, which, n = np.unique(row * (gram.max(initial=0) + 1) + gram, return_inverse=True, return_counts=True)
+    return n[which]
+
+
+def word_logs(row: np.ndarray, counts: list[np.ndarray], total: int, backoff: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """log10 of each word, whether it backed off, whether it is unseen; ``counts`` of other documents by order, 0 where none ends."""
+    n = np.arange(len(row))
+    first = np.searchsorted(row, row)
+    longest = np.minimum(n - first + 1, len(counts))
+    others = total - (np.searchsorted(row, row, "right") - first)
+    value = longest * np.log10(backoff) - np.log10(max(total, 1))
+    reached = np.zeros(len(row), np.int64)
+    for order, here in enumerate(counts, 1):
+        hit = np.flatnonzero(here > 0)
+        context = others[hit] if order == 1 else counts[order - 2][hit - 1]
+        value[hit] = (longest[hit] - order) * np.log10(backoff) + np.log10(here[hit]) - np.log10(context)
+        reached[hit] = order
+    return value, reached < longest, reached == 0
+
+
+def scores(
+    documents: DataFrame, order: int = ORDER, backoff: float = BACKOFF, batch_bytes: int = BATCH_BYTES, range_grams: int = RANGE_GRAMS
+) -> DataFrame:
+    """doc_id, n_words, score (sum of log10), n_backoff (words not known in their longest context), n_unseen (of these, not known at all)."""
+    words, size = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.octet_length("text")
+    total, size = (x or 0 for x in documents.agg(F.sum(words), F.sum(size)).first())
+    batches, ranges = max(1, -(-size // batch_bytes)), max(1, -(-total * order // range_grams))
+
+    def explode(rows):
+        _, found = ngrams(rows.column("text"), order)
+        grams, n = np.unique(np.concatenate([h for _, h in found]), return_counts=True)
+        # Ranges of the upper half of the hash, so that each holds a slice of the sorted n-grams.
+        place = ((grams >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        starts = np.flatnonzero(np.diff(place, prepend=np.uint64(ranges)))
+        batch = np.full(len(starts), rows.column("batch")[0].as_py())
+        columns = (place[starts].astype(np.int64), batch, lists(grams.view(np.int64), starts), lists(n, starts))
+        return pa.table(columns, names=["range", "batch", "grams", "n"])
+
+    def count(rows):
+        rows = rows.combine_chunks()
+        sent, n = (rows.column(c).combine_chunks() for c in ("grams", "n"))
+        lengths = sent.value_lengths().to_numpy()
+        _, which = np.unique(sent.flatten().to_numpy(), return_inverse=True)
+        known = np.bincount(which, n.flatten().to_numpy()).astype(np.int64)[which]
+        answer = lists(known, np.cumsum(lengths) - lengths)
+        return pa.table((rows.column("range"), rows.column("batch"), answer), names=["range", "batch", "n"])
+
+    def finish(rows, known):
+        row, found = ngrams(rows.column("text"), order)
+        _, which = np.unique(np.concatenate([h for _, h in found]), return_inverse=True)
+        parts = known.sort_by("range").column("n").combine_chunks().flatten().to_numpy()
+        counts, at = [], 0
+        for ends, hashes in found:
+            gram = which[at : at + len(hashes)]
+            here = np.zeros(len(row), np.int64)
+            here[ends] = parts[gram] - own_counts(row[ends], gram)
+            counts.append(here)
+            at += len(hashes)
+        value, missed, unseen = word_logs(row, counts, total, backoff)
+        n = rows.num_rows
+        sums = [np.bincount(row, x, minlength=n)[:n] for x in (value, missed, unseen)]
+        columns = (rows.column("doc_id").cast(pa.int64()), per_row(row, n), sums[0].astype(float), sums[1].astype(np.int64), sums[2].astype(np.int64))
+        return pa.table(columns, names=["doc_id", "n_words", "score", "n_backoff", "n_unseen"])
+
+    named = documents.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).alias("batch"))
+    texts = named.groupBy("batch")
+    known = texts.applyInArrow(explode, SENT_DDL).groupBy("range").applyInArrow(count, KNOWN_DDL)
+    return texts.cogroup(known.groupBy("batch")).applyInArrow(finish, FOUND_DDL)

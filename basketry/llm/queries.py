@@ -174,23 +174,27 @@ WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
   FROM documents
-), words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM texts),
-frequent AS (
-  SELECT word FROM words GROUP BY word HAVING count(*) >= 2e-6::DOUBLE * (SELECT count(*) FROM words)
-), classes AS (
-  SELECT r, pos, coalesce(f.word, chr(1)) AS c FROM words w LEFT JOIN frequent f ON w.word = f.word
-), singles AS (SELECT c, count(*)::DOUBLE AS n FROM classes GROUP BY c),
-pairs AS (SELECT a.r, a.c AS x, b.c AS y FROM classes a JOIN classes b ON a.r = b.r AND b.pos = a.pos + 1),
-counts AS (SELECT x, y, count(*)::DOUBLE AS n FROM pairs GROUP BY ALL HAVING count(*) >= 2),
-scored AS (
-  SELECT r, CASE WHEN p.n IS NOT NULL THEN log10(p.n) - log10(a.n)
-    ELSE log10(0.4::DOUBLE * b.n / (SELECT count(*) FROM words)) END AS s, p.n IS NULL AS missed
-  FROM pairs JOIN singles a ON a.c = x JOIN singles b ON b.c = y LEFT JOIN counts p USING (x, y)
-  UNION ALL
-  SELECT r, log10(n / (SELECT count(*) FROM words)), false FROM classes JOIN singles USING (c) WHERE pos = 1
+), words AS (SELECT r, len(w) AS n, unnest(w) AS z, generate_subscripts(w, 1) AS pos FROM texts),
+grams AS (SELECT *, lag(z) OVER (PARTITION BY r ORDER BY pos) AS y, lag(z, 2) OVER (PARTITION BY r ORDER BY pos) AS x FROM words),
+others AS (
+  SELECT r, pos, n, least(pos, 3) AS longest,
+    count(*) OVER (PARTITION BY z) - count(*) OVER (PARTITION BY r, z) AS n1,
+    CASE WHEN pos > 1 THEN count(*) OVER (PARTITION BY y, z) - count(*) OVER (PARTITION BY r, y, z) ELSE 0 END AS n2,
+    CASE WHEN pos > 2 THEN count(*) OVER (PARTITION BY x, y, z) - count(*) OVER (PARTITION BY r, x, y, z) ELSE 0 END AS n3
+  FROM grams
+), contexts AS (
+  SELECT *, lag(n1) OVER (PARTITION BY r ORDER BY pos) AS c1, lag(n2) OVER (PARTITION BY r ORDER BY pos) AS c2,
+    CASE WHEN n3 > 0 THEN 3 WHEN n2 > 0 THEN 2 WHEN n1 > 0 THEN 1 ELSE 0 END AS reached
+  FROM others
+), scored AS (
+  SELECT r, (longest - reached) * log10(0.4::DOUBLE) + CASE reached WHEN 3 THEN log10(n3::DOUBLE) - log10(c2::DOUBLE)
+      WHEN 2 THEN log10(n2::DOUBLE) - log10(c1::DOUBLE) WHEN 1 THEN log10(n1::DOUBLE) - log10(((SELECT count(*) FROM words) - n)::DOUBLE)
+      ELSE -log10((SELECT count(*) FROM words)::DOUBLE) END AS s,
+    CAST(reached < longest AS INTEGER) AS missed, CAST(reached = 0 AS INTEGER) AS unseen
+  FROM contexts
 )
-SELECT doc_id, len(w) AS n_words, coalesce(round(sum(s), 6), 0) AS score,
-  CAST(coalesce(sum(CASE WHEN missed THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_backoff
+SELECT doc_id, len(w) AS n_words, coalesce(round(sum(s), 6), 0) AS score, CAST(coalesce(sum(missed), 0) AS BIGINT) AS n_backoff,
+  CAST(coalesce(sum(unseen), 0) AS BIGINT) AS n_unseen
 FROM texts LEFT JOIN scored USING (r) GROUP BY r, doc_id, w"""
 
 
