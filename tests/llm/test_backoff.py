@@ -75,3 +75,10 @@ def test_texts_are_shuffled_once(spark, capsys):
     found.collect()
     found.explain("simple")
     assert "ReusedExchange" in plan + capsys.readouterr().out
+
+
+def test_packing():
+    for numbers in ([], [0], [0, 1, 255, 256, 2**64 - 1], list(range(1000))):
+        numbers = np.array(numbers, np.uint64)
+        assert np.array_equal(backoff.unpack(backoff.pack(numbers)), numbers)
+        assert np.array_equal(backoff.unpack_few(backoff.pack_few(numbers.view(np.int64), 1), 1), numbers.view(np.int64))
