@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # List lengths and thresholds used by the registered queries.
 LIST = 20
 SHOWN = 6
+SOLVED = 1e-3
 NOW_MILLIS = 1_556_436_808_000
 SHARDS = 4
 SEARCH = "widget|ring"
@@ -502,6 +503,16 @@ def als_factor_shape(spark, sf_dir):
     )
 
 
+@query
+def als_residuals(spark, sf_dir):
+    """Whether the model's factors solve the normal equations of every user's ratings."""
+    ratings = tables.order_ratings(spark, sf_dir)
+    ratings = stored(history.upsert(ratings, ratings.limit(0)), "rated")
+    model = als.train(ratings)
+    found = als.user_residuals(ratings, als.user_vectors(model), als.product_vectors(model))
+    return found.select("userId", "n", (F.col("residual") < SOLVED).alias("solved"))
+
+
 @query
 def als_predict(spark, sf_dir):
     """Predictions for every pair rated by an event, from the model of the order ratings."""

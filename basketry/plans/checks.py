@@ -319,6 +319,8 @@ CHECKS: dict[str, str] = {
     "als_factor_shape": f"""WITH {R_ORDER}
         SELECT DISTINCT 'user' AS kind, userId AS id, 100::INTEGER AS dims, true AS finite FROM r_order
         UNION ALL SELECT DISTINCT 'product', productId, 100::INTEGER, true FROM r_order""",
+    "als_residuals": f"""WITH {R_ORDER}
+        SELECT userId, count(DISTINCT productId) AS n, true AS solved FROM r_order GROUP BY userId""",
     "factor_user_recs": """
         SELECT x.vec_id::INTEGER AS userId,
                row_number() OVER (PARTITION BY x.vec_id ORDER BY d DESC, y_id)::INTEGER AS rank,
