@@ -254,3 +254,25 @@ def test_whole_lists_and_lookups(spark):
     asked = spark.createDataFrame([(1, 3), (3, 2), (5, 3), (2, 5), (1, 1), (7, 99)], "productId int, otherId int")
     got = {(r.productId, r.otherId): r.sim for r in similarity.sim_between(asked, s).collect()}
     assert got == {(1, 3): 1.0, (3, 2): 0.9, (5, 3): 0.5, (2, 5): 0.0, (1, 1): 0.0, (7, 99): 0.0}
+
+
+def test_tiles_of_distant_clusters_are_skipped(spark):
+    generator = np.random.default_rng(11)
+    centres = generator.normal(size=(12, 8))
+    points = np.concatenate([c + 0.05 * generator.normal(size=(60, 8)) for c in centres]) * generator.uniform(0.1, 9, (720, 1))
+    made = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "item int, vector array<double>")
+    units = points / np.linalg.norm(points, axis=1, keepdims=True)
+    cosines = np.round(units @ units.T, 9)
+    np.fill_diagonal(cosines, -1)
+    placed, partners = vectors.clustered(made, 0.9, 32, 40)
+    clusters = placed.select("cluster").distinct().count()
+    assert placed.count() == 720 and partners.count() < 0.5 * clusters**2
+    assert placed.groupBy("block").count().agg({"count": "max"}).first()[0] < 64
+    for threshold in (0.9, 0.3, -0.5):
+        want = {(int(a), int(b)): cosines[a, b] for a, b in zip(*np.nonzero(cosines > threshold))}
+        found = {(r.a, r.b): r.sim for r in vectors.vector_pairs(made, threshold, block_items=32).collect()}
+        assert found.keys() == want.keys() and all(abs(found[p] - want[p]) < 1e-8 for p in want)
+    lists = vectors.vector_pairs(made, 0.3, 3, block_items=32).collect()
+    for item in range(0, 720, 37):
+        best = sorted((-r.sim, r.b) for r in lists if r.a == item)[:3]
+        assert [b for _, b in best] == [b for _, b in sorted((-c, b) for b, c in enumerate(cosines[item]) if c > 0.3)[:3]]
