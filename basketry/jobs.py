@@ -40,8 +40,8 @@ SHARDS = 256
 
 
 def rating_table(spark: SparkSession, base: str) -> KeyedTable:
-    """Ratings by user: those loaded, and of every (user, product) rated since, the newest."""
-    return KeyedTable(spark, f"{base}/{RATING}", schemas.RATING, ["userId", "productId"], ("timestamp",))
+    """Ratings by user, also looked up by product: those loaded, and of every (user, product) rated since, the newest."""
+    return KeyedTable(spark, f"{base}/{RATING}", schemas.RATING, ["userId", "productId"], ("timestamp",), ("productId",))
 
 
 def list_table(spark: SparkSession, base: str) -> KeyedTable:

@@ -76,8 +76,8 @@ def block_pairs(lists: DataFrame, most_blocks: int | None = None) -> DataFrame:
 
     ``lists``: (feature, block, list, info) and ``blocks``, how many blocks the feature is spread
     over, which may be left out if no feature has more than ``most_blocks``. On the diagonal
-    ``right`` is NULL and stands for ``left``. Blocks of one feature meet by joining on the feature
-    and a lane; a feature of many blocks has many lanes, so no task pairs up a hot feature alone.
+    ``right`` is NULL and stands for ``left``. Blocks of one feature meet in a grid of lanes
+    (:func:`lane_sides`), so no task pairs up a hot feature alone.
     """
     same = lists.where(F.size("list") > 1).select(
         "feature",
@@ -95,22 +95,36 @@ def block_pairs(lists: DataFrame, most_blocks: int | None = None) -> DataFrame:
         spread = lists.where("blocks > 1").withColumn("lanes", lanes)
     else:
         spread = lists.withColumn("lanes", F.lit(1))
+    left, right = lane_sides(spread)
+    cross = left.join(right, ["feature", "lane_i", "lane_j"]).where("i < j")
+    return same.unionByName(cross.drop("lane_i", "lane_j"))
+
+
+def lane_sides(spread: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of a feature's blocks, dealt over a grid of ``lanes`` x ``lanes`` cells.
+
+    A left block goes to the cells of its row, a right block to those of its column. With one lane for
+    every ``LANE_BLOCKS`` blocks a cell has about that many blocks on either side, however hot the feature.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.col("lanes") - 1))
+    own = F.pmod("block", "lanes")
     left = spread.select(
         "feature",
-        F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"),
+        own.alias("lane_i"),
+        every.alias("lane_j"),
         F.col("block").alias("i"),
         F.col("list").alias("left"),
         F.col("info").alias("info_left"),
     )
     right = spread.select(
         "feature",
-        F.pmod("block", "lanes").alias("lane"),
+        every.alias("lane_i"),
+        own.alias("lane_j"),
         F.col("block").alias("j"),
         F.col("list").alias("right"),
         F.col("info").alias("info_right"),
     )
-    cross = left.join(right, ["feature", "lane"]).where("i < j")
-    return same.unionByName(cross.drop("lane"))
+    return left, right
 
 
 def kept(similarity: Similarity) -> Similarity:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import split_list
+from basketry.operators.running import running_total
 from basketry.session import stored
 
 from .common import (
@@ -37,31 +38,29 @@ class _Block:
         vectors = entries.field(2)
         self.row = np.repeat(np.arange(len(self.ids)), np.diff(vectors.offsets.to_numpy()))
         tags = vectors.flatten()
-        self.tag = np.array(tags.field(0).to_pylist(), dtype=object)
+        self.tag = tags.field(0).to_numpy(zero_copy_only=False)
         self.weight = tags.field(1).to_numpy(zero_copy_only=False)
 
-    def matrix(self, column: dict[str, int], values: np.ndarray) -> np.ndarray:
-        at = np.array([column.get(t, -1) for t in self.tag.tolist()], dtype=np.int64)
-        kept = at >= 0
+    def matrix(self, column: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Values by item and by the tags of ``column``, which is sorted and not empty."""
+        at = np.minimum(np.searchsorted(column, self.tag), len(column) - 1)
+        kept = column[at] == self.tag
         dense = np.zeros((len(self.ids), len(column)))
         dense[self.row[kept], at[kept]] = values[kept]
         return dense
 
 
-def _cosines(feature: str, left: _Block, right: _Block, diagonal: bool, threshold: float):
+def _cosines(feature: int, left: _Block, right: _Block, diagonal: bool, threshold: float):
     """Pairs over the threshold whose first common tag, rarest first, is ``feature``.
 
     The same pair also meets at its other common tags and is left to the first one.
     """
-    shared = set(left.tag.tolist()) & set(right.tag.tolist())
-    column = {t: i for i, t in enumerate(sorted(shared))}
-    weight = dict(zip(left.tag.tolist(), left.weight.tolist()))
-    mine = (-weight[feature], feature)
-    earlier = {t: i for i, t in enumerate(t for t in column if (-weight[t], t) < mine)}
+    column = np.intersect1d(left.tag, right.tag)
+    earlier = column[column < feature]
     dots = left.matrix(column, left.weight) @ right.matrix(column, right.weight).T
     scale = np.sqrt(left.norm2[:, None] * right.norm2[None, :])
     keep = dots > (threshold - SLACK) * scale
-    if earlier:
+    if len(earlier):
         ones_a, ones_b = np.ones(len(left.tag)), np.ones(len(right.tag))
         keep &= left.matrix(earlier, ones_a) @ right.matrix(earlier, ones_b).T == 0
     if diagonal:
@@ -84,17 +83,32 @@ def _kernel(threshold: float):
     return run
 
 
-def weighted_tags(groups: DataFrame) -> DataFrame:
-    """(item, feature, w) of tag sets (rep, copies, tags); w = ln((products + 1) / (with tag + 1)).
+def tag_weights(groups: DataFrame) -> DataFrame:
+    """(feature, w) of the tags of sets (rep, copies, tags); w = ln((products + 1) / (with tag + 1)).
 
     A tag carried by every product weighs 0 and is left out.
     """
-    words = groups.select(F.col("rep").alias("item"), "copies", F.explode("tags").alias("feature"))
+    words = groups.select("copies", F.explode("tags").alias("feature"))
     total = groups.agg(F.sum("copies")).scalar()
     idf = words.groupBy("feature").agg(
         F.round(F.ln((total + 1) / (F.sum("copies") + 1)), 12).alias("w")
     )
-    return words.join(idf.where("w > 0"), "feature").select("item", "feature", "w")
+    return idf.where("w > 0")
+
+
+def weighted_tags(groups: DataFrame) -> DataFrame:
+    """(item, feature, w) of tag sets (rep, copies, tags)."""
+    words = groups.select(F.col("rep").alias("item"), F.explode("tags").alias("feature"))
+    return words.join(tag_weights(groups), "feature").select("item", "feature", "w")
+
+
+def numbered_tags(groups: DataFrame) -> DataFrame:
+    """As :func:`weighted_tags`, with numbers for tags: they count up from the rarest tag, ties by name."""
+    ranked = tag_weights(groups).withColumn("all", F.lit(0))
+    numbers = running_total(ranked, "all", [F.desc("w"), F.asc("feature")], F.lit(1), "number")
+    words = groups.select(F.col("rep").alias("item"), F.explode("tags").alias("feature"))
+    found = words.join(numbers, "feature")
+    return found.select("item", F.col("number").cast("bigint").alias("feature"), "w")
 
 
 def prefix_entries(weighted: DataFrame, threshold: float) -> DataFrame:
@@ -117,7 +131,7 @@ def prefix_entries(weighted: DataFrame, threshold: float) -> DataFrame:
 
 
 def tag_pairs(entries: DataFrame, threshold: float, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(a, b, sim), each pair once, with cosine > threshold, from the entries of :func:`prefix_entries`.
+    """(a, b, sim), each pair once, with cosine > threshold, from :func:`prefix_entries` of numbered tags.
 
     Only items that share such a tag meet, each with its whole vector. A tag with many items is split
     into blocks.
@@ -153,7 +167,7 @@ def tag_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
     same = ["key", "tags"]
     groups = tagged.groupBy(*same).agg(F.min("item").alias("rep"), F.count("*").alias("copies"))
     groups = stored(groups, "tag-sets")
-    entries = stored(prefix_entries(weighted_tags(groups), threshold), "tag-entries")
+    entries = stored(prefix_entries(numbered_tags(groups), threshold), "tag-entries")
     known = groups.join(entries.select(F.col("item").alias("rep")), "rep", "left_semi")
     members = tagged.join(known, same).select("item", "rep")
     return similarity(both_ways(tag_pairs(entries, threshold)), known, members)

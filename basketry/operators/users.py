@@ -9,8 +9,12 @@ from basketry import schemas
 from basketry.functions import java_string_hash
 
 
-def register(users: DataFrame, requests: DataFrame, now_millis: int) -> DataFrame:
-    """New user rows for the requested names that no user has yet; a name asked for twice gives one."""
+def register(users: DataFrame, requests: DataFrame, now_millis: int | None = None) -> DataFrame:
+    """New user rows for the requested names that no user has yet; a name asked for twice gives one.
+
+    They are stamped with the time of the query unless another one is given.
+    """
+    now = F.unix_millis(F.current_timestamp()) if now_millis is None else F.lit(now_millis)
     names = requests.select("username").distinct()
     unknown = names.join(users.select("username"), "username", "left_anti")
     return schemas.conform(
@@ -18,7 +22,7 @@ def register(users: DataFrame, requests: DataFrame, now_millis: int) -> DataFram
             java_string_hash(F.col("username")).alias("userId"),
             "username",
             F.lit(True).alias("first"),
-            F.lit(now_millis).alias("timestamp"),
+            now.alias("timestamp"),
             F.expr("CAST(array() AS array<string>)").alias("prefGenres"),
         ),
         schemas.USER,

@@ -15,6 +15,7 @@ from basketry.operators import ratings as history
 from basketry.operators import realtime, serving, similarity, statistics, users
 from basketry.session import fresh_path, stored
 from basketry.sources import files, sinks, tables
+from basketry.sources.keyed import KeyedTable
 from basketry.streaming import events as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +87,22 @@ def sink_roundtrip(spark, sf_dir):
     return files.read_table(spark, path, schemas.RATING)
 
 
+@query
+def product_read(spark, sf_dir):
+    """The ratings of the most rated product, read from a table laid out by user."""
+    rated = tables.order_ratings(spark, sf_dir)
+    kept = KeyedTable(spark, fresh_path(spark, "rating-table"), schemas.RATING, ["userId", "productId"], also=("productId",))
+    kept.load(rated, 8)
+    most = rated.groupBy("productId").count().orderBy(F.desc("count"), "productId").limit(1)
+    return kept.lookup_other(most, "productId")
+
+
+@query
+def hot_products(spark, sf_dir):
+    """How many of 200 tasks the ratings of each hot product would fill in the join of the stream."""
+    return stream.hot_products(tables.event_ratings(spark, sf_dir), 200)
+
+
 @query
 def sink_overwrite(spark, sf_dir):
     """A table written twice holds the second rows alone."""

@@ -373,3 +373,9 @@ CHECKS["rating_merge_rows"] = CHECKS["rating_upsert"]
 CHECKS["rating_merge"] = f"""SELECT productId, round(avg(score), 6) AS avg
     FROM ({CHECKS["rating_upsert"]}) GROUP BY productId"""
 CHECKS["item_cf_orders_members"] = f"WITH {R_ORDER + co_rating('r_order', 0.1)} SELECT productId, sameAs FROM rep"
+CHECKS["product_read"] = f"""WITH {R_ORDER}
+    SELECT * FROM r_order WHERE productId =
+        (SELECT productId FROM r_order GROUP BY productId ORDER BY count(*) DESC, productId LIMIT 1)"""
+CHECKS["hot_products"] = f"""WITH {R_EVENT}
+    SELECT productId, ceil(count(*) * 200 / (SELECT count(*) FROM r_event)::DOUBLE)::INTEGER AS salts
+    FROM r_event GROUP BY productId HAVING count(*) * 1000 >= (SELECT count(*) FROM r_event)"""

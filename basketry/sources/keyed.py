@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.session import LOCAL_ROWS, children, read_text, remove, write_text
-from basketry.sources.sinks import sharded
+from basketry.sources.sinks import second_keys, sharded
 
 # Look-ups of so many keys name them to the file scan, which then skips row groups; more are joined.
 NAMED_KEYS = 1000
@@ -61,11 +61,12 @@ def looked_up(spark: SparkSession, path: str, schema: str, ids: DataFrame, colum
 class KeyedTable:
     """Rows with one winner a key among changes: the greatest by the columns ``newest``, then the latest version.
 
-    Rows that :meth:`load` wrote stay as they are until their key changes.
+    Rows that :meth:`load` wrote stay as they are until their key changes. ``also`` names keys beside the first
+    that rows are looked up by.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], newest: tuple[str, ...] = ()):
-        self.spark, self.path, self.schema, self.keys, self.newest = spark, path, schema, keys, newest
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], newest: tuple[str, ...] = (), also: tuple[str, ...] = ()):
+        self.spark, self.path, self.schema, self.keys, self.newest, self.also = spark, path, schema, keys, newest, also
         self.values = [c for c in schema.names if c not in keys]
 
     # ---- lists of live folders, one small file a commit, numbered 2 * version, plus 1 after rewriting shards
@@ -105,7 +106,9 @@ class KeyedTable:
         order = ["shard", *self.keys]
         # Ranges let a large shard spread over tasks; a batch of changes has one file a shard.
         dealt = own.repartitionByRange(*order) if ranges else self._in_order(own)
-        dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("shard").parquet(target)
+        writer = dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("shard")
+        # A batch of changes is too small to be worth the filters.
+        writer.options(**second_keys(self.also if whole else ())).parquet(target)
         found = [x.partition("=")[2] for x in children(self.spark, target) if x.startswith("shard=")]
         return [[version, whole, int(x)] for x in found]
 
@@ -175,6 +178,16 @@ class KeyedTable:
         """The rows that a version took in."""
         return self._scan([f for f in self.folders() if f[0] == version and not f[1]]).select(*self.schema.names)
 
+    def lookup_other(self, ids: DataFrame, column: str) -> DataFrame:
+        """The rows of some values of another key; row groups whose Bloom filters rule them all out are skipped."""
+        if column not in self.keys:
+            raise ValueError(f"{column} is no key")
+        some = ids.select(column).distinct()
+        few = [r[0] for r in some.limit(NAMED_KEYS + 1).collect()]
+        if len(few) > NAMED_KEYS:
+            return self.read().join(some, column, "left_semi")
+        return self._read(self.folders(), F.col(column).isin(sorted(x for x in few if x is not None)))
+
     def lookup(self, ids: DataFrame) -> DataFrame:
         """The rows of some values of the first key; only their shards are read."""
         key = self.keys[0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,15 +13,24 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def overwrite_for_lookup(df: DataFrame, path: str, *keys: str, files: int | None = None) -> None:
-    """Replace the table, range-partitioned and sorted by ``keys``.
+def second_keys(columns: Iterable[str]) -> dict[str, str]:
+    """Write options: Bloom filters by which a read by other columns than the sorted ones skips row groups."""
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return options | ({"parquet.bloom.filter.adaptive.enabled": "true"} if options else {})
+
+
+def overwrite_for_lookup(
+    df: DataFrame, path: str, *keys: str, files: int | None = None, also: Iterable[str] = ()
+) -> None:
+    """Replace the table, range-partitioned and sorted by ``keys``; ``also`` names columns of other point reads.
 
     Each file then covers a narrow key range, so a point read skips all other files by their
     parquet statistics. Listing further columns after the lookup key lets the ranges split
     inside one hot key.
     """
     parts = [files, *keys] if files else list(keys)
-    df.repartitionByRange(*parts).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    ranged = df.repartitionByRange(*parts).sortWithinPartitions(*keys)
+    ranged.write.mode("overwrite").options(**second_keys(also)).parquet(path)
 
 
 def sharded(df: DataFrame, shards: int, key: str = "userId") -> DataFrame:

@@ -99,16 +99,37 @@ def counts_by_time(ratings: DataFrame, width: str = "1 day", delay: str = "2 hou
     return spans.select(F.col("window.start").alias("windowStart"), "ratings", "scores")
 
 
-def join_recs(ratings: DataFrame, recs: DataFrame, salts: int = 4) -> DataFrame:
+# Products with one in so many ratings or more are hot, so there are at most so many of them.
+HOT_SHARE = 1000
+
+
+def hot_products(ratings: DataFrame, tasks: int, share: int = HOT_SHARE) -> DataFrame:
+    """(productId, salts) of products with at least one in ``share`` of the ratings taken in so far.
+
+    ``salts`` is how many of ``tasks`` equal tasks the product's ratings would fill.
+    """
+    counts = ratings.groupBy("productId").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    salts = F.ceil(F.col("n") * tasks / total).cast("int")
+    return counts.where(F.col("n") * share >= total).select("productId", salts.alias("salts"))
+
+
+def join_recs(ratings: DataFrame, recs: DataFrame, salts: int = 4, hot: DataFrame | None = None) -> DataFrame:
     """Each rating event with the stored list of its product; no list gives an empty one.
 
-    Streams are not re-planned at run time, so events of a hot product are spread over ``salts``
-    partitions, each of which gets the list.
+    Streams are not re-planned at run time, so events of a hot product are spread over partitions,
+    each of which gets the list: over as many as ``hot`` (see :func:`hot_products`) says, which is broadcast as it has
+    ``HOT_SHARE`` rows at most, others over one; without ``hot`` every product over ``salts``.
     """
     empty = F.array().cast(recs.schema["recs"].dataType)
-    salted = ratings.withColumn("salt", F.pmod(F.xxhash64("userId", "timestamp"), F.lit(salts)).cast("int"))
-    copies = recs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(copies, ["productId", "salt"], "left").drop("salt")
+    spread = F.lit(salts)
+    if hot is not None:
+        hot = F.broadcast(hot)
+        ratings, recs = (df.join(hot, "productId", "left") for df in (ratings, recs))
+        spread = F.coalesce("salts", F.lit(1))
+    salted = ratings.withColumn("salt", F.pmod(F.xxhash64("userId", "timestamp"), spread).cast("int"))
+    copies = recs.withColumn("salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+    joined = salted.drop("salts").join(copies.drop("salts"), ["productId", "salt"], "left").drop("salt")
     return joined.withColumn("recs", F.coalesce("recs", empty))
 
 

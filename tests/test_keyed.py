@@ -164,3 +164,56 @@ def test_lists_are_not_read_beyond_need(spark, tmp_path):
     assert len({re.search(r"shard=\d+", f)[0] for f in read.inputFiles()}) == 1
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(rank,24)" in plan and "In(item" in plan.replace("EqualTo(item", "In(item")
+
+
+def scanned(df):
+    """Rows that the file scans of an executed query gave out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            total += node.metrics().get("numOutputRows").get().value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_second_key_skips_files(spark, tmp_path):
+    """Products lie across all users' files; without a dictionary only the filters can tell which files hold one."""
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set("parquet.enable.dictionary", "false")
+    try:
+        many = spark.range(32_000).selectExpr(
+            "CAST(id AS INT) userId", "CAST(abs(hash(id)) % 1000003 AS INT) productId", "1D score", "id timestamp"
+        )
+        asked = many.where("userId = 77").select("productId")
+        read = {}
+        for also in ((), ("productId",)):
+            one = KeyedTable(spark, str(tmp_path / f"t{len(also)}"), schemas.RATING, ["userId", "productId"], ("timestamp",), also)
+            one.load(many, 16)
+            found = one.lookup_other(asked, "productId")
+            read[len(also)] = scanned(found)
+            assert rows(found, "userId") == rows(many.join(asked, "productId", "left_semi").select(*found.columns), "userId")
+        assert read[0] > 16_000 and read[1] <= 4 * 2_500
+        one.append(ratings(spark, [(77, asked.first()[0], 9.0, 10**6)]), 2)
+        assert [r.score for r in one.lookup_other(asked, "productId").where("userId = 77").collect()] == [9.0]
+    finally:
+        settings.unset("parquet.enable.dictionary")
+
+
+def test_second_key_with_many_values(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "NAMED_KEYS", 1)
+    one = table(spark, tmp_path / "t")
+    one.load(ratings(spark, [(1, 2, 1.0, 1), (2, 3, 1.0, 1), (3, 4, 1.0, 1)]), 2)
+    asked = spark.createDataFrame([(2,), (3,), (9,), (None,)], "productId int")
+    assert [r.userId for r in rows_of(one.lookup_other(asked, "productId"))] == [1, 2]
+    with pytest.raises(ValueError):
+        one.lookup_other(asked.withColumnRenamed("productId", "score"), "score")
+
+
+def rows_of(df):
+    return sorted(df.collect())

@@ -276,3 +276,31 @@ def test_tiles_of_distant_clusters_are_skipped(spark):
     for item in range(0, 720, 37):
         best = sorted((-r.sim, r.b) for r in lists if r.a == item)[:3]
         assert [b for _, b in best] == [b for _, b in sorted((-c, b) for b, c in enumerate(cosines[item]) if c > 0.3)[:3]]
+
+
+def test_a_hot_feature_meets_in_a_grid(spark):
+    """Every pair of blocks once, and no cell of the grid with more than its share of blocks on either side."""
+    lists = spark.range(300).selectExpr("7L feature", "CAST(id AS INT) block", "300 blocks", "array(id, id + 1) list", "0 info")
+    left, right = common.lane_sides(lists.withColumn("lanes", F.lit(5)))
+    for side in (left, right):
+        cells = side.groupBy("feature", "lane_i", "lane_j").count().collect()
+        assert len(cells) == 25 and {r["count"] for r in cells} == {60}
+    met = common.block_pairs(lists).select("i", "j").collect()
+    assert len(met) == len(set(met)) == 300 * 301 // 2
+
+
+def test_numbers_of_tags_count_up_from_the_rarest(spark):
+    sets = [(1, 1, ["a", "b", "z"]), (2, 2, ["b", "c", "z"]), (3, 1, ["a", "d", "z"])]
+    groups = spark.createDataFrame(sets, "rep int, copies long, tags array<string>")
+    named = {(r.item, r.feature): r.w for r in tags.weighted_tags(groups).collect()}
+    order = sorted({(-w, f) for (_, f), w in named.items()})
+    want = {(i, order.index((-w, f)), w) for (i, f), w in named.items()}
+    assert {(r.item, r.feature, r.w) for r in tags.numbered_tags(groups).collect()} == want
+    assert "z" not in {f for _, f in named}
+
+
+def test_a_tag_on_half_of_all_products(spark):
+    data = [(p, "n", "u", "c", f"hot|own{p // 2}" if p % 2 else f"own{p // 2}") for p in range(20_000)]
+    similar = similarity.tag_similarity(spark.createDataFrame(data, schemas.PRODUCT), 0.4)
+    pairs = {(r.item, r.other) for r in similar.pairs.collect()}
+    assert pairs == {(p, p ^ 1) for p in range(20_000)}

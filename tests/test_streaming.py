@@ -154,3 +154,37 @@ def test_kafka_source_needs_its_connector(spark):
         assert "kafka" in str(error).lower()
     else:
         assert lines.isStreaming and lines.columns == ["value"]
+
+
+def test_salts_follow_the_measured_share(spark):
+    """Half of all events on one product: its events spread over tasks, and cold products are not copied."""
+    known = spark.range(4000).selectExpr(
+        "CAST(id AS INT) userId", "CAST(if(id % 2 = 0, 4000, id) AS INT) productId", "1D score", "id timestamp"
+    )
+    hot = stream.hot_products(known, 8, share=100)
+    assert [tuple(r) for r in hot.collect()] == [(4000, 4)]
+    recs = spark.createDataFrame([(p, [(p + 1, 0.5)]) for p in range(0, 4001)], schemas.PRODUCT_RECS)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:  # streams are not re-planned
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        largest = {}
+        for name, salts in (("none", hot.where("false")), ("measured", hot)):
+            joined = stream.join_recs(known, recs, hot=salts)
+            assert joined.where("size(recs) = 1 AND recs[0].productId = productId + 1").count() == 4000
+            held = joined.where("productId = 4000").groupBy(F.spark_partition_id().alias("p")).count()
+            largest[name] = max(r["count"] for r in held.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert largest["none"] == 2000 and largest["measured"] <= 1100
+
+
+def test_measured_salts_in_a_stream(spark, tmp_path):
+    source = Source(tmp_path)
+    source.add([marked((1, 2, 3.0, 4)), marked((1, 99, 3.0, 5))])
+    recs = spark.createDataFrame([(2, [(7, 0.9), (8, 0.5)])], schemas.PRODUCT_RECS)
+    hot = spark.createDataFrame([(2, 3), (5, 2)], "productId int, salts int")
+    joined = run(stream.join_recs(ratings_of(spark, source), recs, hot=hot), tmp_path, "joined")
+    assert joined.columns == stream.join_recs(ratings_of(spark, source), recs).columns
+    assert {r["productId"]: len(r["recs"]) for r in joined.collect()} == {2: 2, 99: 0}

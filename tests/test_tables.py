@@ -1,5 +1,7 @@
 """Scans, sinks, statistics, rating and user tables, serving."""
 
+import time
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -215,3 +217,11 @@ def test_shared_dir(spark, monkeypatch):
     with pytest.raises(ValueError):
         session.shared_dir(Fake("spark://h:1"))
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+def test_register_stamps_with_the_current_time(spark):
+    known = spark.createDataFrame([], schemas.USER)
+    asked = spark.createDataFrame([("new",)], "username string")
+    before = time.time() * 1000
+    stamp = users.register(known, asked).first()["timestamp"]
+    assert before - 1 <= stamp <= time.time() * 1000
