@@ -18,8 +18,8 @@ finds passages of long items.
 
 Windows that more than ``SHARED`` items hold, such as a common line of instructions, are not joined with all
 of them: they count for an item that another window proposes, and items with the same common windows are
-one part, named by the shortest of them. So a document is found whatever it holds, but of items that it
-meets only in their common part just that one is named.
+one part, matched once as the shortest of them. What a document covers of a part it covers of every such item,
+so a part that is found names all of them whose own number of windows allows it.
 
 Windows of ``LONG`` tokens are looked up by halves first, so possible names cost readings of half a window.
 
@@ -467,12 +467,13 @@ def clashing(pairs: Column) -> Column:
 KEY = ["window", "size", "verbatim"]
 
 
-def shared_parts(items: DataFrame, shared: int = SHARED) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Windows of at most ``shared`` items, the items' other windows, and one part for each different lot of the latter.
+def shared_parts(items: DataFrame, shared: int = SHARED) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Windows of at most ``shared`` items, the items' other windows, one part for each different lot of the latter, its items.
 
     An item's windows that many items hold are its common part. Items with equal common parts, wherever in the
     item they begin, are told apart only by other windows; for the common part alone the shortest of them
-    (the smallest id among equals) stands for all, since its covered share is the largest.
+    (the smallest id among equals) is matched, since its covered share is the largest. The last table has
+    (item_id, n_windows) of the shortest and ``same``, the (n_windows, item_id) of all, itself included.
     """
     held = items.groupBy(*KEY).agg(F.count_distinct("item_id", "n_windows").alias("holders"))
     often = held.where(F.col("holders") > shared).select(*KEY, F.lit(True).alias("often"))
@@ -482,17 +483,22 @@ def shared_parts(items: DataFrame, shared: int = SHARED) -> tuple[DataFrame, Dat
         F.min("item_pos").alias("first"), F.collect_set(F.struct(*KEY, "item_pos", "item_slots")).alias("lot")
     )
     lots = lots.withColumn("lot", F.array_sort(F.transform("lot", lambda w: w.withField("item_pos", w.item_pos - F.col("first")))))
-    parts = lots.groupBy("lot").agg(F.min(F.struct("n_windows", "item_id")).alias("short"))
-    return rare, common, parts.select("short.item_id", "short.n_windows", F.inline("lot"))
+    # Equal lots by two hashes, so that a lot is not carried to each of its items.
+    lots = lots.withColumns({"h1": F.xxhash64("lot"), "h2": F.xxhash64(F.lit(1), "lot")})
+    parts = lots.groupBy("h1", "h2").agg(F.min(F.struct("n_windows", "item_id")).alias("short"), F.min_by("lot", "n_windows").alias("lot"))
+    parts = stored(parts, "common-parts")
+    others = lots.groupBy("h1", "h2").agg(F.collect_list(F.struct("n_windows", "item_id")).alias("same"))
+    members = parts.select("h1", "h2", "short.item_id", "short.n_windows").join(others, ["h1", "h2"]).drop("h1", "h2")
+    return rare, common, parts.select("short.item_id", "short.n_windows", F.inline("lot")), members
 
 
-def matches(
+def found_items(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL, cover: float = COVER,
     long: int = LONG, length: int = RUN, shared: int = SHARED,
 ) -> DataFrame:
-    """node, doc_id, item_id, covered share, whether all placeholder values are the item's own."""
+    """As :func:`matches`, and ``ids``, all items found thereby: of a part, those that the covered windows suffice for."""
     items = stored(item_windows(benchmark, window, literal, long), "item-windows")
-    rare, common, parts = shared_parts(items, shared)
+    rare, common, parts, members = shared_parts(items, shared)
     hits = stored(document_windows(documents, items, window, literal), "window-hits")
     by_item = ["node", "doc_id", "item_id", "n_windows", "part"]
     columns = ["item_id", "n_windows", "item_pos", "item_slots", *KEY]
@@ -530,26 +536,37 @@ def matches(
         together("places").alias("n_covered"), together("own_places").alias("n_own"), F.bool_or("run").alias("run")
     )
     share = F.col("n_covered") / F.col("n_windows")
+    # Items of a part are listed, not paired with documents; the shortest has the largest share.
+    found = covered.where((share >= cover) | F.col("run")).join(members.withColumn("part", F.lit(True)), ["item_id", "n_windows", "part"], "left")
+    enough = F.filter("same", lambda s: F.col("run") | (F.col("n_covered") / s.n_windows >= cover))
+    ids = F.when(F.col("part"), F.transform(enough, lambda s: s.item_id)).otherwise(F.array("item_id"))
     best = F.max(F.struct(share.alias("covered"), (F.col("n_own") == F.col("n_covered")).alias("same_values"))).alias("best")
-    finds = covered.where((share >= cover) | F.col("run")).groupBy("node", "doc_id", "item_id").agg(best)
-    return finds.select("node", "doc_id", "item_id", "best.covered", "best.same_values")
+    finds = found.withColumn("ids", ids).groupBy("node", "doc_id", "item_id").agg(best, F.flatten(F.collect_list("ids")).alias("ids"))
+    return finds.select("node", "doc_id", "item_id", "best.covered", "best.same_values", "ids")
+
+
+def matches(documents: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """node, doc_id, item_id, covered share, whether all placeholder values are the item's own.
+
+    Of items met only in their equal common parts, the shortest stands for all.
+    """
+    return found_items(documents, benchmark, **settings).drop("ids")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """One row a contaminated document: its items, the largest covered share, and whether values differ."""
-    found = matches(documents, benchmark, **settings)
-    items = F.array_join(F.transform(F.sort_array(F.collect_set("item_id")), lambda i: i.cast("string")), ",")
-    return found.groupBy("node", "doc_id").agg(
-        F.count_distinct("item_id").alias("n_items"),
-        items.alias("items"),
+    found = found_items(documents, benchmark, **settings).groupBy("node", "doc_id").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"),
         F.max("covered").alias("covered"),
         (~F.bool_and("same_values")).alias("reparameterised"),
     )
+    items = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return found.select("node", "doc_id", F.size("ids").cast("bigint").alias("n_items"), items.alias("items"), "covered", "reparameterised")
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The rows, with all their columns, of documents that no item contaminates."""
     name = unused(documents.columns, "row_name")
-    nodes = contaminated(documents, benchmark, **settings).select(F.col("node").alias(name))
+    nodes = matches(documents, benchmark, **settings).select(F.col("node").alias(name))
     named = documents.withColumn(name, row_key(F.col("doc_id"), F.col("text")))
     return named.join(nodes.hint("shuffle_hash"), name, "left_anti").drop(name)

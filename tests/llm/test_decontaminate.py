@@ -213,6 +213,21 @@ def test_shared_windows_lose_no_document(spark):
         assert {k: v[0] for k, v in found(shared).items()} == {k: v[0] for k, v in every.items()}
 
 
+def test_every_item_with_a_common_part_is_named(spark):
+    """The items of a document do not depend on how many items share a window; longer items need more of it."""
+    words = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    part = " ".join(LINE.split()[:11])  # no run of 13: the share of the item decides
+    items = [(i, f"{part} q{i}a q{i}b q{i}c") for i in range(4)] + [(9, f"{part} {words}"), (10, f"{LINE} {words[::-1]}"), (11, f"{LINE} {words}")]
+    texts = [part, f"so {LINE} it is", f"then {LINE} and {part} again", "nothing of the kind is to be found in here", items[2][1]]
+    found = lambda shared: {
+        r.doc_id: (r.n_items, r["items"]) for r in check.contaminated(docs(spark, texts), benchmark(spark, items), shared=shared).collect()
+    }
+    every = found(1000)
+    assert every[0] == (4, "0,1,2,3") and every[1] == (6, "0,1,2,3,10,11")
+    for shared in (0, 2, 5):
+        assert found(shared) == every
+
+
 def test_clashes_and_runs(spark):
     import random
 
