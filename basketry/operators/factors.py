@@ -11,12 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.similarity.common import DIGITS, FOUND_DDL, SLACK, found_batches, runs, task_count
+from basketry.operators.similarity.common import FOUND_DDL, SLACK, best_cells, block_size, found_batches, runs, tile_tasks
 from basketry.session import stored
 
-BLOCK_ITEMS = 2048
 NORM_RANGES = 64
-STRIP_ROWS = 512
 
 
 def dot(left: Column, right: Column) -> Column:
@@ -66,14 +64,8 @@ class _Sides:
         if not all(self.sides):
             return
         (users, left), (products, right) = ([np.concatenate(x) for x in zip(*side)] for side in self.sides)
-        for start in range(0, len(users), STRIP_ROWS):
-            dots = np.round(left[start : start + STRIP_ROWS] @ right.T, DIGITS)
-            keep = dots > 0
-            if n < len(products):
-                keep &= dots >= np.partition(dots, -n, axis=1)[:, -n][:, None]
-            rows, columns = np.nonzero(keep)
-            found = dots[rows, columns]
-            yield from found_batches(users[start + rows], products[columns], found, np.ones(len(found)))
+        for rows, columns, dots in best_cells(left, right, 0.0, n):
+            yield from found_batches(users[rows], products[columns], dots, np.ones(len(dots)))
 
 
 def _kernel(n: int):
@@ -142,17 +134,17 @@ def _best(found: DataFrame, n: int) -> DataFrame:
     return found.select("a", "b", "dot").withColumn("rank", place).where(F.col("rank") <= n)
 
 
-def _meet(users: DataFrame, products: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """The n best of each user in each block it names in ``blocks``, and the tiles (i, j) this takes."""
+def _meet(users: DataFrame, products: DataFrame, n: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """The n best of each user in each block it names in ``blocks``, and the tiles (i, j) this takes, ``most`` at most."""
     left = users.select("i", F.explode("blocks").alias("j"), F.lit(0).alias("side"), "item", "vector")
     tiles = left.select("i", "j").distinct()
     right = products.join(tiles, "j").select("i", "j", F.lit(1).alias("side"), "item", "vector")
-    dealt = left.unionByName(right).repartition(task_count(users), "i", "j").sortWithinPartitions("i", "j", "side")
+    dealt = left.unionByName(right).repartition(tile_tasks(users, most), "i", "j").sortWithinPartitions("i", "j", "side")
     return dealt.mapInArrow(_kernel(n), FOUND_DDL), tiles
 
 
 def lists_and_tiles(
-    users: DataFrame, products: DataFrame, n: int = 20, block_items: int = BLOCK_ITEMS, ranges: int = NORM_RANGES
+    users: DataFrame, products: DataFrame, n: int = 20, block_items: int | None = None, ranges: int = NORM_RANGES
 ) -> tuple[DataFrame, DataFrame]:
     """As :func:`user_lists`, and the tiles (i, j) of a block of users and one of products that were multiplied."""
     counts = [
@@ -166,27 +158,28 @@ def lists_and_tiles(
         numbers = vectors.select(F.col(key).cast("bigint").alias("item"), F.col("vector").cast("array<double>").alias("vector"))
         return numbers.withColumn("norm", F.sqrt(dot(F.col("vector"), F.col("vector"))))
 
-    user_blocks = max(1, math.ceil(counts[0][0] / block_items))
+    of_users, of_products = (block_items or block_size(c[0], c[1]) for c in counts)
+    user_blocks = max(1, math.ceil(counts[0][0] / of_users))
     left = side(users, "userId").withColumn("i", F.pmod(F.xxhash64("item"), F.lit(user_blocks)).cast("int"))
     right = side(products, "productId")
-    placed = norm_ranges(right, block_items, ranges)
+    placed = norm_ranges(right, of_products, ranges)
     right = right.withColumn("range", placed.of(F.col("norm")))
     right = stored(right.select("item", "vector", placed.block("item").alias("j")), "products-by-norm")
-    found, tiles = _meet(left.withColumn("blocks", placed.blocks(None)), right, n)
+    found, tiles = _meet(left.withColumn("blocks", placed.blocks(None)), right, n, user_blocks * (placed.last[0] + 1))
     best = _best(found, n)
     if placed.cuts:
         first = stored(best, "first-lists")
         least = first.where(F.col("rank") == n).select(F.col("a").alias("item"), "dot")
         reach = F.coalesce("dot", F.lit(0.0))
         further = left.join(least, "item", "left").withColumn("blocks", placed.blocks(reach)).where(F.size("blocks") > 0)
-        found, more = _meet(further, right, n)
+        found, more = _meet(further, right, n, user_blocks * placed.last[-1])
         best, tiles = _best(first.select("a", "b", "dot").unionByName(found.select("a", "b", "dot")), n), tiles.unionByName(more)
     lists = best.select(F.col("a").cast("int").alias("userId"), "rank", F.col("b").cast("int").alias("productId"), F.col("dot").alias("score"))
     return lists, tiles
 
 
 def user_lists(
-    users: DataFrame, products: DataFrame, n: int = 20, block_items: int = BLOCK_ITEMS, ranges: int = NORM_RANGES
+    users: DataFrame, products: DataFrame, n: int = 20, block_items: int | None = None, ranges: int = NORM_RANGES
 ) -> DataFrame:
     """(userId, rank, productId, score): the n best products of each user with a prediction above 0.
 

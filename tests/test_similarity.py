@@ -71,6 +71,28 @@ def test_raters(spark, monkeypatch, block_items, lanes, chunk_rows, threshold):
     same(expand(similar), cosine_of_sets(by_product, threshold))
 
 
+@pytest.mark.parametrize("hot_user, work", [(7, 16_000_000), (4096, 300), (7, 300)])
+def test_raters_of_few_and_of_many_items(spark, monkeypatch, hot_user, work):
+    monkeypatch.setattr(raters, "HOT_USER", hot_user)
+    monkeypatch.setattr(raters, "BLOCK_WORK", work)
+    monkeypatch.setattr(raters, "EXPAND_AT_ONCE", 50)
+    monkeypatch.setattr(raters.common_rater_pairs, "__defaults__", (20,))
+    data = skewed_raters(9)
+    similar = similarity.rater_similarity(spark.createDataFrame([(u, p, 1.0, 0) for u, p in data], schemas.RATING), 0.1)
+    by_product = defaultdict(set)
+    for u, p in data:
+        by_product[p].add(u)
+    same(expand(similar), cosine_of_sets(by_product, 0.1))
+
+
+def test_a_user_sends_a_row_for_each_block_and_not_for_every_two(spark):
+    entries = spark.range(40).selectExpr("7L feature", "CAST(id AS INT) item", "5 n", "0 level", "CAST(id AS INT) block")
+    strips = raters._strips(entries).collect()
+    assert len(strips) == 39 and sum(len(r["items"]) for r in strips) == 40 * 41 // 2 - 1
+    met = {(r["items"][0], b) for r in strips for b in r["items"][1:]}
+    assert met == {(a, b) for a in range(40) for b in range(a + 1, 40)}
+
+
 def test_products_of_one_hot_user_make_no_pairs_among_each_other(spark):
     data = [(0, p, 1.0, 0) for p in range(500)]
     similar = similarity.rater_similarity(spark.createDataFrame(data, schemas.RATING))
@@ -278,6 +300,34 @@ def test_tiles_of_distant_clusters_are_skipped(spark):
         assert [b for _, b in best] == [b for _, b in sorted((-c, b) for b, c in enumerate(cosines[item]) if c > 0.3)[:3]]
 
 
+def test_best_cells_over_many_strips_and_chunks(monkeypatch):
+    monkeypatch.setattr(common, "STRIP_ROWS", 7)
+    monkeypatch.setattr(common, "STRIP_COLUMNS", 11)
+    left = np.random.default_rng(5).normal(size=(40, 4)).round(1)
+    left[20:30] = left[3]
+    dots = np.round(left @ left.T, 9)
+    np.fill_diagonal(dots, -np.inf)
+    for least, k in ((0.0, None), (0.5, 3), (-9.0, 12), (0.0, 60)):
+        bound = np.full(40, -np.inf) if k is None or k >= 40 else np.sort(np.where(dots > least, dots, -np.inf), axis=1)[:, -k]
+        want = {(i, j) for i in range(40) for j in range(40) if dots[i, j] > least and dots[i, j] >= bound[i]}
+        got = [(int(i), int(j)) for a, b, _ in common.best_cells(left, left, least, k, True) for i, j in zip(a, b)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("spread", [0.01, 10.0])
+def test_copies_of_vectors_grow_no_faster_than_the_vectors(spark, monkeypatch, spread):
+    """Each vector travels to a bounded number of tiles, with clusters and without."""
+    monkeypatch.setattr(common, "LEAST_BLOCK", 16)
+    monkeypatch.setattr(vectors, "LEAST_BLOCK", 16)
+    generator = np.random.default_rng(13)
+    for n in (1000, 4000):
+        points = generator.normal(size=(20, 5))[generator.integers(0, 20, n)] + spread * generator.normal(size=(n, 5))
+        made = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "item int, vector array<double>")
+        met = vectors.meetings(made, 0.4, common.block_size(n, 5), n)[0]
+        assert met.count() <= n * vectors.MOST_COPIES * (common.VECTOR_BLOCKS + 1)
+        assert met.select("item").distinct().count() == n
+
+
 def test_a_hot_feature_meets_in_a_grid(spark):
     """Every pair of blocks once, and no cell of the grid with more than its share of blocks on either side."""
     lists = spark.range(300).selectExpr("7L feature", "CAST(id AS INT) block", "300 blocks", "array(id, id + 1) list", "0 info")
