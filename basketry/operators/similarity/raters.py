@@ -32,111 +32,86 @@ BLOCK_ITEMS = 2048
 CHUNK_ROWS = BLOCK_ITEMS**2
 BROADCAST_BLOCKS = 100_000
 EXPAND_AT_ONCE = 2_000_000
-STRIP_ROWS = 256
+# A user with more items sends them block by block.
+HOT_USER = 4096
+# Pairs of a block's items with others, user by user, that one task is to count.
+BLOCK_WORK = 16_000_000
 
 
-class _Side:
-    """Positions of the items seen so far in one block of a tile."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and row offsets of an array column."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
 
-    def __init__(self) -> None:
-        self.position: dict[int, int] = {}
-        self.raters: list[int] = []
 
-    def codes(self, ids: np.ndarray, raters: np.ndarray) -> np.ndarray:
-        unique, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-        known = np.empty(len(unique), dtype=np.int64)
-        for i, item in enumerate(unique.tolist()):
-            at = self.position.get(item)
-            if at is None:
-                at = self.position[item] = len(self.raters)
-                self.raters.append(int(raters[first[i]]))
-            known[i] = at
-        return known[inverse]
+class _Strip:
+    """Common-rater counts of one block of items with all items, added up user by user.
 
-    def ids(self) -> np.ndarray:
-        return np.fromiter(self.position, dtype=np.int64, count=len(self.position))
-
-
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ids, rater counts and row offsets of an array<struct<item, n>> column."""
-    offsets = column.offsets.to_numpy()
-    entries = column.flatten()
-    ids, raters = (entries.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-    return ids, raters, offsets - offsets[0]
-
-
-class _Tile:
-    """Common-rater counts between two blocks of items, added up user by user."""
+    Counts are kept of pairs that occur, sorted; a pair is one number, the smaller id above the larger.
+    """
 
     def __init__(self, key: tuple) -> None:
         self.key = key
-        self.diagonal = key[0] == key[1]
-        self.whole = key[3] == 1
-        self.left = _Side()
-        self.right = self.left if self.diagonal else _Side()
-        self.common = np.zeros((64, 64))
+        self.whole = key[2] == 1
+        self.found: list[tuple[np.ndarray, ...]] = []
+        self.pending = self.held = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
-        ids, raters, offset_a = _flat(batch.column("left"))
-        codes_a = self.left.codes(ids, raters)
-        if self.diagonal:
-            codes_b, offset_b = codes_a, offset_a
-        else:
-            ids, raters, offset_b = _flat(batch.column("right"))
-            codes_b = self.right.codes(ids, raters)
-        self._grow()
-        length_a, length_b = np.diff(offset_a), np.diff(offset_b)
-        work = np.cumsum(length_a * length_b)
+        items, offset = _flat(batch.column("items"))
+        raters = _flat(batch.column("raters"))[0].astype(np.float64)
+        first, inner = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("first", "inner"))
+        row = np.repeat(np.arange(len(first)), first)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(first) - first, first)
+        at = offset[row] + place
+        begin = np.where(inner[row], at + 1, offset[row] + first[row])
+        spans = offset[row + 1] - begin
+        work = np.cumsum(spans)
         start = 0
         while start < len(work):
             done = work[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(work, done + EXPAND_AT_ONCE, side="right")))
-            spans = np.repeat(length_b[start:end], length_a[start:end])
-            shift = np.cumsum(spans) - spans - np.repeat(offset_b[start:end], length_a[start:end])
-            at_b = np.arange(int(spans.sum())) - np.repeat(shift, spans)
-            at_a = np.repeat(codes_a[offset_a[start] : offset_a[end]], spans)
-            np.add.at(self.common.reshape(-1), at_a * self.common.shape[1] + codes_b[at_b], 1.0)
+            length = spans[start:end]
+            other = np.arange(int(length.sum())) + np.repeat(begin[start:end] - np.cumsum(length) + length, length)
+            one = np.repeat(at[start:end], length)
+            low, high = np.minimum(items[one], items[other]).astype(np.int64), np.maximum(items[one], items[other]).astype(np.int64)
+            self.found.append(((low << 32) | (high & 0xFFFFFFFF), np.ones(len(one)), raters[one] * raters[other]))
+            self.pending += len(one)
+            if self.pending > max(EXPAND_AT_ONCE, self.held):
+                self._add_up()
             start = end
 
-    def _grow(self) -> None:
-        need = (len(self.left.raters), len(self.right.raters))
-        have = self.common.shape
-        if need[0] > have[0] or need[1] > have[1]:
-            bigger = np.zeros([h if n <= h else max(n, 2 * h) for n, h in zip(need, have)])
-            bigger[: have[0], : have[1]] = self.common
-            self.common = bigger
+    def _add_up(self) -> None:
+        keys, counts, squares = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        counts = np.add.reduceat(counts[order], edges) if len(edges) else counts
+        self.found = [(keys[edges], counts, squares[order][edges])]
+        self.pending, self.held = 0, len(edges)
 
     def pairs(self, threshold: float) -> Iterator[pa.RecordBatch]:
-        """Pairs over the threshold; every counted pair if the tile is one of several chunks."""
-        ids_a, ids_b = self.left.ids(), self.right.ids()
-        raters_a = np.array(self.left.raters, dtype=float)
-        raters_b = np.array(self.right.raters, dtype=float)
-        for start in range(0, len(ids_a), STRIP_ROWS):
-            strip = slice(start, min(start + STRIP_ROWS, len(ids_a)))
-            common = self.common[strip, : len(ids_b)]
-            scale = np.sqrt(raters_a[strip, None] * raters_b[None, :])
-            keep = common > ((threshold - SLACK) * scale if self.whole else 0.0)
-            keep &= common > 0
-            if self.diagonal:
-                keep &= ids_a[strip, None] < ids_b[None, :]
-            rows, columns = np.nonzero(keep)
-            a, b = ids_a[start + rows], ids_b[columns]
-            yield from found_batches(
-                np.minimum(a, b), np.maximum(a, b), common[rows, columns], scale[rows, columns]
-            )
+        """Pairs over the threshold; every counted pair if the block is one of several chunks."""
+        if not self.found:
+            return
+        self._add_up()
+        keys, common, squares = self.found[0]
+        scale = np.sqrt(squares)
+        keep = common > ((threshold - SLACK) * scale if self.whole else 0.0)
+        high = (keys[keep] & 0xFFFFFFFF).astype(np.uint32).view(np.int32).astype(np.int64)
+        yield from found_batches(keys[keep] >> 32, high, common[keep], scale[keep])
 
 
 def _kernel(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile = None
-        for key, batch in runs(batches, ["i", "j", "chunk", "chunks"]):
-            if tile is None or tile.key != key:
-                if tile is not None:
-                    yield from tile.pairs(threshold)
-                tile = _Tile(key)
-            tile.add(batch)
-        if tile is not None:
-            yield from tile.pairs(threshold)
+        strip = None
+        for key, batch in runs(batches, ["i", "chunk", "chunks"]):
+            if strip is None or strip.key != key:
+                if strip is not None:
+                    yield from strip.pairs(threshold)
+                strip = _Strip(key)
+            strip.add(batch)
+        if strip is not None:
+            yield from strip.pairs(threshold)
 
     return run
 
@@ -154,13 +129,13 @@ def _levelled(items: DataFrame, threshold: float) -> DataFrame:
 
 
 def _placed(items: DataFrame, block_items: int) -> tuple[DataFrame, int]:
-    """Adds ``block``: items hashed into blocks of about ``block_items`` within their level.
+    """Adds ``block``: items hashed into blocks of about ``block_items``, or ``work`` for one task, within their level.
 
     Also gives the number of blocks.
 
     One row a level, at most the number of distinct counts, is joined to the items.
     """
-    width = F.ceil(F.count("*") / block_items).cast("int")
+    width = F.greatest(F.ceil(F.count("*") / block_items), F.ceil(F.sum("work") / BLOCK_WORK)).cast("int")
     before = F.sum("width").over(Window.orderBy("level").rowsBetween(Window.unboundedPreceding, -1))
     levels = items.groupBy("level").agg(width.alias("width"))
     levels = stored(levels.withColumn("start", F.coalesce(before, F.lit(0)).cast("int")), "levels")
@@ -169,43 +144,63 @@ def _placed(items: DataFrame, block_items: int) -> tuple[DataFrame, int]:
     return placed, levels.agg(F.sum("width")).first()[0] or 0
 
 
+def _strips(entries: DataFrame) -> DataFrame:
+    """(feature, i, items, raters, first, inner) of users with one list each: their items in block i, then those of later blocks."""
+    by_user = entries.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("block", "level", "item", "n"))).alias("e"))
+    by_block = by_user.withColumn("i", F.explode(F.array_distinct("e.block")))
+    left = F.filter("e", lambda x: x.block == F.col("i"))
+    by_block = by_block.withColumn("left", left).withColumn("at", F.col("left")[0].level)
+    later = F.filter("e", lambda x: (x.block > F.col("i")) & (F.abs(x.level - F.col("at")) <= 1))
+    rows = by_block.select("feature", "i", F.size("left").alias("first"), F.concat("left", later).alias("e")).where(F.size("e") > 1)
+    return rows.select("feature", "i", F.col("e.item").alias("items"), F.col("e.n").alias("raters"), "first", F.lit(True).alias("inner"))
+
+
+def _tiles(entries: DataFrame, blocks: int) -> DataFrame:
+    """As :func:`_strips`, of users whose items travel as one list a block: a row for every two blocks."""
+    entry = F.struct("item", "n")
+    lists = entries.groupBy("feature", "block", "level").agg(F.collect_list(entry).alias("list")).withColumnRenamed("level", "info")
+    if blocks > LANE_BLOCKS:
+        spread = lists.groupBy("feature").agg(F.count("*").alias("blocks"))
+        lists = lists.join(spread, "feature")
+    rows = block_pairs(lists, most_blocks=blocks).where(F.abs(F.col("info_left") - F.col("info_right")) <= 1)
+    rows = rows.withColumn("e", F.when(F.col("right").isNull(), F.col("left")).otherwise(F.concat("left", "right")))
+    return rows.select(
+        "feature", "i", F.col("e.item").alias("items"), F.col("e.n").alias("raters"), F.size("left").alias("first"),
+        F.col("right").isNull().alias("inner"),
+    )
+
+
 def common_rater_pairs(
     rated: DataFrame, items: DataFrame, threshold: float, block_items: int = BLOCK_ITEMS
 ) -> DataFrame:
     """(a, b, sim), a < b, with cosine > threshold.
 
     ``rated``: distinct (feature, item), feature being the user; ``items``: (item, n) with n raters,
-    only these take part. A user's items travel as one list per block, so even a user who rated
-    everything sends block lists to the tiles and no item pairs. ``chunks`` splits the users of a
-    tile with many; counts of such a tile are added up before the threshold is applied.
+    only these take part. For each block with an item of the user's, one row has the user's items there and
+    those of later blocks, so a user of many blocks sends a list to each and not a row for every two. The items
+    of a user with more than ``HOT_USER`` travel as one list per block, and every two lists meet. ``chunks`` splits
+    the users of a block with many; counts of such a block are added up before the threshold is applied.
     """
-    placed, blocks = _placed(_levelled(items, threshold), block_items)
-    entry = F.struct(F.col("item").cast("bigint").alias("item"), "n")
-    lists = stored(
-        rated.join(placed, "item")
-        .groupBy("feature", "block", "level")
-        .agg(F.collect_list(entry).alias("list")),
-        "rater-lists",
-    )
-    rows = lists.groupBy("block").agg(F.count("*").alias("rows"))
+    ints = items.select(F.col("item").cast("int").alias("item"), F.col("n").cast("int").alias("n"))
+    taken = rated.select("feature", F.col("item").cast("int").alias("item")).join(ints, "item")
+    sizes = stored(taken.groupBy("feature").agg(F.count("*").alias("rated")), "rater-sizes")
+    same_user = F.col("feature").eqNullSafe(F.col("user"))
+    taken = stored(taken.join(sizes.withColumnRenamed("feature", "user"), same_user).drop("user"), "rater-items")
+    work = taken.groupBy("item", "n").agg(F.sum(F.least("rated", F.lit(HOT_USER))).alias("work"))
+    placed, blocks = _placed(_levelled(work, threshold), block_items)
+    entries = stored(taken.join(placed.drop("n", "work"), "item"), "rater-entries")
+    rows = entries.groupBy(F.col("block").alias("i")).agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
     if blocks <= BROADCAST_BLOCKS:  # one small row per block
         rows = F.broadcast(rows)
-    informed = lists.join(rows, "block")
-    informed = informed.withColumn("info", F.struct("level", "rows")).drop("level", "rows")
-    if blocks > LANE_BLOCKS:
-        spread = lists.groupBy("feature").agg(F.count("*").alias("blocks"))
-        informed = informed.join(spread, "feature")
-    rows = F.least("info_left.rows", "info_right.rows")
-    tiles = (
-        block_pairs(informed, most_blocks=blocks)
-        .where(F.abs(F.col("info_left.level") - F.col("info_right.level")) <= 1)
-        .withColumn("chunks", F.ceil(rows / CHUNK_ROWS).cast("int"))
+    strips = _strips(entries.where(F.col("rated") <= HOT_USER)).unionByName(_tiles(entries.where(F.col("rated") > HOT_USER), blocks))
+    strips = (
+        strips.join(rows, "i")
         .withColumn("chunk", F.pmod(F.xxhash64("feature"), F.col("chunks")).cast("int"))
-        .select("i", "j", "chunk", "chunks", "left", "right")
-        .repartition(task_count(rated), "i", "j", "chunk")
-        .sortWithinPartitions("i", "j", "chunk")
+        .select("i", "chunk", "chunks", "items", "raters", "first", "inner")
+        .repartition(task_count(rated), "i", "chunk")
+        .sortWithinPartitions("i", "chunk")
     )
-    counted = tiles.mapInArrow(_kernel(threshold), FOUND_DDL)
+    counted = strips.mapInArrow(_kernel(threshold), FOUND_DDL)
     total = counted.groupBy("a", "b").agg(F.sum("dot").alias("dot"), F.first("scale").alias("scale"))
     return over(total, threshold)
 
