@@ -129,13 +129,16 @@ def _levelled(items: DataFrame, threshold: float) -> DataFrame:
 
 
 def _placed(items: DataFrame, block_items: int) -> tuple[DataFrame, int]:
-    """Adds ``block``: items hashed into blocks of about ``block_items``, or ``work`` for one task, within their level.
+    """Adds ``block``: items hashed into blocks of about ``block_items``, or if given ``work`` for one task, within their level.
 
     Also gives the number of blocks.
 
     One row a level, at most the number of distinct counts, is joined to the items.
     """
-    width = F.greatest(F.ceil(F.count("*") / block_items), F.ceil(F.sum("work") / BLOCK_WORK)).cast("int")
+    width = F.ceil(F.count("*") / block_items)
+    if "work" in items.columns:
+        width = F.greatest(width, F.ceil(F.sum("work") / BLOCK_WORK))
+    width = width.cast("int")
     before = F.sum("width").over(Window.orderBy("level").rowsBetween(Window.unboundedPreceding, -1))
     levels = items.groupBy("level").agg(width.alias("width"))
     levels = stored(levels.withColumn("start", F.coalesce(before, F.lit(0)).cast("int")), "levels")
