@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.bitmaps import BITS, bitmap, passes
 from basketry.llm.near_dup import row_key
-from basketry.llm.words import BASE, Hasher, Slice, batch, lowered, mixed, per_row, space_words, text_slices, unused
+from basketry.llm.words import BASE, Hasher, Slice, batch, lowered, mixed, per_row, released, space_words, text_slices, unused
 from basketry.session import stored
 
 WINDOW = 6
@@ -384,7 +384,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, literal: int = LITE
                     yield batch(ITEM, *zip(*out, strict=True))
 
     return benchmark.where("item_id IS NOT NULL").select("item_id", "text").mapInArrow(
-        run,
+        released(run),
         "item_id bigint, n_windows int, size int, verbatim boolean, names bigint, window bigint, "
         "left bigint, right bigint, item_pos bigint, item_slots array<string>",
     )
@@ -441,7 +441,7 @@ def document_windows(
                     yield batch(HIT, nodes.take(where), ids.take(where), *rest)
 
     named = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("node"), "doc_id", "text")
-    return named.mapInArrow(run, "node binary, doc_id bigint, size int, verbatim boolean, window bigint, pos bigint, slots array<string>")
+    return named.mapInArrow(released(run), "node binary, doc_id bigint, size int, verbatim boolean, window bigint, pos bigint, slots array<string>")
 
 
 def has_run(places: Column, n: int) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.words import unused
+from basketry.llm.words import released, unused
 from basketry.session import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -95,7 +95,7 @@ def copies(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
     order = [F.col("source").asc_nulls_last(), "size", "doc_id", "row_hash"]
     ranged = stored(
         measured.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            _places, "doc_id bigint, source string, size bigint, row_hash bigint, part int, place bigint"
+            released(_places), "doc_id bigint, source string, size bigint, row_hash bigint, part int, place bigint"
         ),
         "ranged",
     )

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.bitmaps import bitmap, passes
-from basketry.llm.words import Hasher, Slice, mixed, per_row, space_words, text_slices, unused, windows
+from basketry.llm.words import Hasher, Slice, mixed, per_row, released, space_words, text_slices, unused, windows
 from basketry.session import stored
 
 SHINGLE = 5
@@ -122,7 +122,7 @@ def sketches(documents: DataFrame) -> DataFrame:
                 )
 
     named = documents.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("node"), "text")
-    return named.mapInArrow(run, "doc_id bigint, node binary, n_shingles bigint, same binary, bands array<bigint>")
+    return named.mapInArrow(released(run), "doc_id bigint, node binary, n_shingles bigint, same binary, bands array<bigint>")
 
 
 def by_group(batches) -> Iterator[list[tuple]]:
@@ -225,7 +225,7 @@ def texts_of(documents: DataFrame, groups: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(2)], names=["node", "text"])
 
     named = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("node"), "text")
-    return named.select("node", key, "text").mapInArrow(run, "node binary, text string")
+    return named.select("node", key, "text").mapInArrow(released(run), "node binary, text string")
 
 
 def confirmed(groups: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
@@ -234,7 +234,7 @@ def confirmed(groups: DataFrame, documents: DataFrame, percent: int) -> DataFram
     # The groups' side of a partition is small; the texts need no sort.
     with_text = texts_of(documents, groups).join(groups.hint("shuffle_hash"), "node").select("hub", "part", "node", "text", "class", "pivot")
     dealt = with_text.repartition("hub", "part").sortWithinPartitions("hub", "part", "node")
-    return dealt.mapInArrow(confirm_task(percent), "a binary, b binary")
+    return dealt.mapInArrow(released(confirm_task(percent)), "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:

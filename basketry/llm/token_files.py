@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import sys
 import types
 import zlib
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.words import SEPARATOR, Hasher, Slice, lowered, runs, text_slices
+from basketry.llm.words import SEPARATOR, Hasher, Slice, lowered, released, runs, text_slices, trim
 from basketry.session import fresh_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,8 +45,9 @@ SAMPLE_IDS = 4096
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
-# Each Python worker keeps the ids of so many pieces, some 50 bytes each, then starts over.
+# Each Python worker keeps the ids of so many pieces, and of so many bytes in all, then starts over.
 KNOWN_PIECES = 2_000_000
+KNOWN_BYTES = 48 << 20
 
 FRAMES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("seq", pa.int64()), ("frame", pa.binary())])
 BLOCKS = pa.schema(
@@ -92,6 +94,11 @@ class Known:
     def __len__(self) -> int:
         return sum(len(p[0]) for p in self.parts)
 
+    @property
+    def size(self) -> int:
+        """Bytes in use."""
+        return self.used * self.pool.itemsize + self.written + sum(x.nbytes for p in self.parts for x in p)
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """By key: place and number of the ids, place and number of the bytes; the numbers are -1 for unknown ones."""
         found = np.full((4, len(keys)), -1, np.int64)
@@ -134,6 +141,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # Spark's tasks fill the cores; threads of each worker would only hold memory of their own. Read at the first batch.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -174,7 +183,7 @@ class Encoder:
         keys, first, which = np.unique(self.hasher.ranges(data, start, end), return_index=True, return_inverse=True)
         found = self.known.find(keys)
         new = np.flatnonzero(found[1] < 0)
-        if len(self.known) + len(new) > KNOWN_PIECES:
+        if len(self.known) + len(new) > KNOWN_PIECES or (len(new) and self.known.size > KNOWN_BYTES):
             self.known = Known(self.width)
             new = np.arange(len(keys))
         if len(new):
@@ -239,6 +248,7 @@ def id_batches(path: str, end_id: int):
             for piece in text_slices(rows.column(1)):
                 ids = [np.concatenate([x, end]).tobytes() for x in encoder.encode(piece)]
                 yield rows.column(0).slice(piece.first, len(ids)), ids, encoder.width
+            trim()
 
     return run
 
@@ -263,7 +273,7 @@ def train_dictionary(documents: DataFrame, path: str, end_id: int = END_ID) -> b
             size = np.dtype(width).itemsize
             yield pa.RecordBatch.from_arrays([pa.array([x[: SAMPLE_IDS * size] for x in arrays], pa.binary())], names=["ids"])
 
-    rows = sample.mapInArrow(run, "ids binary").collect()
+    rows = sample.mapInArrow(released(run), "ids binary").collect()
     samples = sorted(bytes(r.ids) for r in rows)
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
@@ -300,7 +310,7 @@ def encode_frames(documents: DataFrame, path: str, dictionary: bytes, end_id: in
             )
             seq += len(arrays)
 
-    return documents.select("doc_id", "text").mapInArrow(run, ddl(FRAMES))
+    return documents.select("doc_id", "text").mapInArrow(released(run), ddl(FRAMES))
 
 
 def block_task(sha256: str):
@@ -345,7 +355,7 @@ def write(documents: DataFrame, path: str, tokenizer: str | None = None, end_id:
     frames = stored(encode_frames(documents, tokenizer, dictionary, end_id), "frames")
     order = ["doc_id", "crc", "n_tokens", "seq"]
     ordered = frames.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(block_task(sha256), ddl(BLOCKS)).write.parquet(f"{path}/blocks")
+    ordered.mapInArrow(released(block_task(sha256)), ddl(BLOCKS)).write.parquet(f"{path}/blocks")
     blocks = spark.read.schema(ddl(BLOCKS)).parquet(f"{path}/blocks")
     # One row a shard, and as many shards as there were writing tasks.
     totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens"))
@@ -396,7 +406,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             )
 
     blocks = spark.read.schema(ddl(BLOCKS)).parquet(f"{path}/blocks").drop("block", "n_tokens")
-    read = blocks.mapInArrow(run, ddl(READ))
+    read = blocks.mapInArrow(released(run), ddl(READ))
     shards = spark.read.schema(SHARDS_DDL).parquet(f"{path}/shards")
     start = (F.col("at") + F.col("before")).alias("start")
     return read.join(shards.select("shard", "before"), "shard").select("doc_id", start, "n_tokens", "ids_crc32")
@@ -423,7 +433,7 @@ def read_documents(spark: SparkSession, path: str, wanted: DataFrame) -> DataFra
     blocks = spark.read.schema(ddl(BLOCKS)).parquet(f"{path}/blocks").select("shard", "block", "data")
     frame = F.substring("data", F.col("offset").cast("int") + 1, F.col("length").cast("int")).alias("frame")
     found = entries.join(blocks, ["shard", "block"]).select("doc_id", frame, "dictionary_sha256")
-    return found.mapInArrow(run, "doc_id bigint, ids array<int>")
+    return found.mapInArrow(released(run), "doc_id bigint, ids array<int>")
 
 
 def token_files(documents: DataFrame) -> DataFrame:

@@ -105,3 +105,28 @@ def test_pieces_that_share_a_hash(tokenizer, monkeypatch):
     encoder = tf.Encoder(tf.tokenizer_path())
     got = [x.tolist() for p in text_slices(pa.array(texts), 30) for x in encoder.encode(p)]
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_known_pieces_are_bounded_in_bytes(tokenizer, monkeypatch):
+    """Few but long pieces, which a number of pieces does not bound."""
+    import pyarrow as pa
+
+    from basketry.llm.words import text_slices
+
+    monkeypatch.setattr(tf, "KNOWN_BYTES", 1 << 16, raising=False)
+    texts = [f"w{i} " + "abcdefgh"[i % 8] * 5000 + chr(97 + i % 26) for i in range(200)]
+    encoder, most, got = tf.Encoder(tf.tokenizer_path()), 0, []
+    for p in text_slices(pa.array(texts), 10_000):
+        got += [x.tolist() for x in encoder.encode(p)]
+        most = max(most, encoder.known.written)
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert most < (1 << 16) + 20_000
+
+
+def test_a_task_gives_free_memory_back(monkeypatch):
+    from basketry.llm import words
+
+    given = []
+    monkeypatch.setattr(words, "trim", lambda: given.append(len(given)))
+    assert list(words.released(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3]
+    assert given == [0, 1]
