@@ -109,11 +109,11 @@ def indexed_candidates(events: DataFrame, ratings: DataFrame, index: Index, n: i
     reach = rated.groupBy("userId").agg((F.count("*") + n + 1).alias("reach"))
     trigger = events.select("userId", F.col("productId").alias("item")).join(reach, "userId", "left")
     trigger = trigger.withColumn("reach", F.coalesce("reach", F.lit(n + 1)))
-    trigger = gathered(trigger.join(index.reps_of(events.select(F.col("productId").alias("item"))), "item"), "triggers")
+    trigger = gathered(trigger.join(index.reps_of(events.select(F.col("productId").alias("item"))), "item"), "triggers", source=events)
     trigger = trigger.withColumnRenamed("item", "trigger")
     furthest = trigger.groupBy(F.col("rep").alias("item")).agg(F.max("reach").alias("furthest"))
     near = index.lists_of(trigger.select(F.col("rep").alias("item"))).join(furthest, "item")
-    near = gathered(near.where("rank <= furthest AND ahead < furthest"), "near")
+    near = gathered(near.where("rank <= furthest AND ahead < furthest"), "near", source=events)
     several = near.where("size > 1")
     members = index.members_of(several.select(F.col("other").alias("rep"))).select(
         F.col("rep").alias("other"), "place", F.col("item").alias("productId")
@@ -160,8 +160,8 @@ def indexed_recs(
     """
     events = gathered(latest_rating(events), "latest")
     newest = recent_ratings(ratings, n_recent) if recents is None else recents
-    recents = gathered(newest.where(F.col("position") <= n_recent), "recent-ratings")
-    candidates = gathered(indexed_candidates(events, ratings, index, n_candidates), "candidates")
+    recents = gathered(newest.where(F.col("position") <= n_recent), "recent-ratings", source=events)
+    candidates = gathered(indexed_candidates(events, ratings, index, n_candidates), "candidates", source=events)
     scored = indexed_scores(candidates, recents, index, threshold)
     return to_user_recs(events.select("userId"), ranked_scores(scored))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from basketry import schemas
 from basketry.operators import realtime, similarity
 from basketry.operators.running import running_total
+from basketry.session import gathered
 from basketry.sources import keyed
 from basketry.sources.keyed import KeyedTable
 
@@ -217,3 +218,34 @@ def test_second_key_with_many_values(spark, tmp_path, monkeypatch):
 
 def rows_of(df):
     return sorted(df.collect())
+
+
+def test_a_large_batch_spreads_over_files(spark, tmp_path, monkeypatch):
+    """More rows than go through the driver are dealt by ranges of the key, not one task a shard."""
+    monkeypatch.setattr(keyed, "LOCAL_ROWS", 10)
+    one = table(spark, tmp_path / "t")
+    one.load(spark.createDataFrame([], schemas.RATING), 1)
+    new = spark.range(5000).selectExpr("CAST(id AS INT) userId", "CAST(id % 7 AS INT) productId", "1D score", "id timestamp")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        one.append(new, 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(one.changes(2).inputFiles()) > 1
+    assert rows(one.read(), "userId") == rows(new, "userId")
+
+
+def test_steps_of_a_large_batch_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(100).mapInArrow(counted, "id bigint")
+    large, small = gathered(spark.range(100), "large", rows=5), gathered(spark.range(5), "small", rows=5)
+    assert small.isLocal() and not large.isLocal()
+    assert gathered(df, "step", rows=5, source=large).count() == 100
+    assert seen.value == 100
+    assert gathered(spark.range(3), "step", rows=5, source=small).isLocal()
