@@ -57,3 +57,44 @@ def test_odd_documents_and_labels(spark):
 def test_one_label_only(spark):
     labels = spark.createDataFrame([(0, 1), (1, 1)], "doc_id bigint, quality int")
     assert [r.score for r in ranking.classify(docs(spark, ["a b", "c"]), labels).collect()] == [0.5, 0.5]
+
+
+def learnt(spark, texts, quality):
+    """Model of the rows of these texts and labels, and the one of the same rows in memory."""
+    import pyarrow as pa
+
+    from basketry.llm.words import Hasher, text_slices
+
+    table = docs(spark, texts)
+    labels = spark.createDataFrame([(i, int(q)) for i, q in enumerate(quality)], "doc_id bigint, quality int")
+    held = [r[0] for r in table.select(ranking.held_out(table.doc_id)).collect()]
+    x = np.concatenate([ranking.features(s, Hasher()) for s in text_slices(pa.array(texts))])[~np.array(held)]
+    return ranking.train(table, labels), ranking.fit(x, np.array(quality)[~np.array(held)])
+
+
+def alike(a, b):
+    assert np.abs(b.weights).max() > 0.1
+    for one, other in zip(a, b):
+        assert np.allclose(one, other, rtol=1e-9, atol=1e-9)
+
+
+def made(rows, seed=5):
+    rng = np.random.default_rng(seed)
+    good = rng.random(rows) < 0.6
+    marks = rng.integers(1, 6, rows) + 4 * ~good
+    return [f"text {'Word ' * int(k)}of {i}" + "! " * int(m) for i, (k, m) in enumerate(zip(rng.integers(1, 9, rows), marks))], good
+
+
+def test_all_labelled_rows_are_learnt(spark):
+    texts, good = made(36_000)
+    good[30_000:] = ~good[30_000:]
+    alike(*learnt(spark, texts, good))
+
+
+def test_blocks_make_the_pairs_of_the_whole(spark, monkeypatch):
+    """Fewer and more good rows than bad rows have turns, and than a block has turns."""
+    monkeypatch.setattr(ranking, "BLOCK_ROWS", 16)
+    for share in (0.02, 0.3, 0.97):
+        texts, _ = made(900)
+        good = np.random.default_rng(7).random(900) < share
+        alike(*learnt(spark, texts, good))
