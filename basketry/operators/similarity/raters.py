@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,15 +148,62 @@ def _placed(items: DataFrame, block_items: int) -> tuple[DataFrame, int]:
     return placed, levels.agg(F.sum("width")).first()[0] or 0
 
 
+def _same_as_before(column: pa.Array) -> np.ndarray:
+    """Whether each value, nulls alike, equals the one before."""
+    now, before = column.slice(1), column.slice(0, max(0, len(column) - 1))
+    equal = pc.or_(pc.fill_null(pc.equal(now, before), False), pc.and_(pc.is_null(now), pc.is_null(before)))
+    return np.concatenate([[False], equal.to_numpy(zero_copy_only=False)])[: len(column)]
+
+
+def _user_strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: entries sorted by feature, block, level and item into the rows of :func:`_strips`."""
+
+    def strips(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Of whole users. Blocks are numbered by level, so what an item's block meets follows it without a gap."""
+        block, level, item, n = (rows.column(k).to_numpy() for k in ("block", "level", "item", "n"))
+        new_user = ~_same_as_before(rows.column("feature"))
+        user = np.cumsum(new_user) - 1
+        begin = np.flatnonzero(new_user | np.concatenate([[True], block[1:] != block[:-1]]))
+        first = np.diff(begin, append=len(block))
+        # Levels do not fall within a user, so users and levels make one rising number.
+        width = int(level.max()) + 3
+        end = np.searchsorted(user * width + level, user[begin] * width + level[begin] + 1, side="right")
+        kept = end - begin > 1
+        begin, end, first = begin[kept], end[kept], first[kept]
+        total = np.cumsum(end - begin)
+        start = 0
+        while start < len(begin):
+            done = total[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(total, done + EXPAND_AT_ONCE, side="right")))
+            length = (end - begin)[start:stop]
+            edges = np.concatenate([[0], np.cumsum(length)])
+            at = np.arange(edges[-1]) + np.repeat(begin[start:stop] - edges[:-1], length)
+            lists = [pa.ListArray.from_arrays(edges.astype(np.int32), pa.array(x[at])) for x in (item, n)]
+            some = begin[start:stop]
+            columns = [rows.column("feature").take(pa.array(some)), pa.array(block[some]), *lists, pa.array(first[start:stop].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.ones(len(some), bool))], names=["feature", "i", "items", "raters", "first", "inner"])
+            start = stop
+
+    waiting: list[pa.RecordBatch] = []
+    for rows in batches:
+        if not len(rows):
+            continue
+        together = pa.Table.from_batches([*waiting, rows]).combine_chunks().to_batches()[0]
+        last = np.flatnonzero(~_same_as_before(together.column("feature")))[-1]
+        if last:
+            yield from strips(together.slice(0, last))
+        waiting = [together.slice(last)]
+    if waiting:
+        yield from strips(waiting[0])
+
+
 def _strips(entries: DataFrame) -> DataFrame:
     """(feature, i, items, raters, first, inner) of users with one list each: their items in block i, then those of later blocks."""
-    by_user = entries.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("block", "level", "item", "n"))).alias("e"))
-    by_block = by_user.withColumn("i", F.explode(F.array_distinct("e.block")))
-    left = F.filter("e", lambda x: x.block == F.col("i"))
-    by_block = by_block.withColumn("left", left).withColumn("at", F.col("left")[0].level)
-    later = F.filter("e", lambda x: (x.block > F.col("i")) & (F.abs(x.level - F.col("at")) <= 1))
-    rows = by_block.select("feature", "i", F.size("left").alias("first"), F.concat("left", later).alias("e")).where(F.size("e") > 1)
-    return rows.select("feature", "i", F.col("e.item").alias("items"), F.col("e.n").alias("raters"), "first", F.lit(True).alias("inner"))
+    rows = entries.select("feature", *(F.col(k).cast("int").alias(k) for k in ("block", "level", "item", "n")))
+    order = ["feature", "block", "level", "item"]
+    kind = entries.schema["feature"].dataType.simpleString()
+    ddl = f"feature {kind}, i int, items array<int>, raters array<int>, first int, inner boolean"
+    return rows.repartition(task_count(entries), "feature").sortWithinPartitions(*order).mapInArrow(_user_strips, ddl)
 
 
 def _tiles(entries: DataFrame, blocks: int) -> DataFrame:

@@ -354,3 +354,36 @@ def test_a_tag_on_half_of_all_products(spark):
     similar = similarity.tag_similarity(spark.createDataFrame(data, schemas.PRODUCT), 0.4)
     pairs = {(r.item, r.other) for r in similar.pairs.collect()}
     assert pairs == {(p, p ^ 1) for p in range(20_000)}
+
+
+def test_strips_of_users(spark):
+    """A row for each block of a user's: its items, then those of later blocks up to one level above; null is a user too."""
+    generator = random.Random(3)
+    entries = []
+    for user in [None, *range(40)]:
+        for item in generator.sample(range(60), generator.choice([1, 2, 9, 30])):
+            block = item % 7
+            entries.append((user, item, 5 + block // 2, block, block // 2))
+    df = spark.createDataFrame(entries, "feature int, item int, n int, block int, level int")
+    wanted = []
+    for user, _, _, i, at in {(e[0], 0, 0, e[3], e[4]) for e in entries}:
+        own = [e for e in entries if e[0] == user]
+        left = sorted(e[1] for e in own if e[3] == i)
+        later = sorted(e[1] for e in own if e[3] > i and abs(e[4] - at) <= 1)
+        if len(left + later) > 1:
+            wanted.append((-1 if user is None else user, i, len(left), left, later))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        found = raters._strips(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(r.inner and [5 + x % 7 // 2 for x in r["items"]] == r.raters for r in found)
+    got = [(-1 if r.feature is None else r.feature, r.i, r.first, sorted(r["items"][: r.first]), sorted(r["items"][r.first :])) for r in found]
+    assert sorted(got) == sorted(wanted)
+
+
+def test_strips_are_made_in_blocks(spark):
+    """No list is filtered row by row for every block of a user."""
+    df = spark.createDataFrame([(1, 2, 5, 0, 0)], "feature int, item int, n int, block int, level int")
+    plan = raters._strips(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "MapInArrow" in plan
